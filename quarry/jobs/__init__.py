@@ -1,6 +1,6 @@
 """Registered queries: importing this package fills ``registry.QUERIES``."""
 
-from quarry.jobs import composite  # noqa: F401
+from quarry.jobs import composite, projection  # noqa: F401
 from quarry.jobs.registry import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]
