@@ -1,6 +1,6 @@
 """Registered queries: importing this package fills ``registry.QUERIES``."""
 
-from quarry.jobs import aggregates, composite, joins, projection  # noqa: F401
+from quarry.jobs import aggregates, complex, composite, joins, ordering, projection, scalar  # noqa: F401
 from quarry.jobs.registry import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]

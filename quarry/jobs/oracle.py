@@ -163,7 +163,9 @@ FROM events e JOIN customer c ON e.user_id = c.c_custkey"""),
 
 def sround(expr: str, places: int) -> str:
     """Spark's ``round`` (HALF_UP on the decimal form of a double) in DuckDB."""
-    return f"CAST(round(CAST({expr} AS DECIMAL(38, 9)), {places}) AS DOUBLE)"
+    # Spark rounds BigDecimal(Double.toString(x)); DuckDB's double->text cast
+    # also yields the shortest round-trip digits, so go through text.
+    return f"CAST(round(CAST(CAST({expr} AS VARCHAR) AS DECIMAL(38, 18)), {places}) AS DOUBLE)"
 
 
 def _needed(sql: str) -> list[str]:
