@@ -1,6 +1,7 @@
 """Registered queries: importing this package fills ``registry.QUERIES``."""
 
-from quarry.jobs import aggregates, complex, composite, joins, ordering, projection, scalar  # noqa: F401
+from quarry.jobs import (  # noqa: F401
+    aggregates, change, complex, composite, joins, ordering, projection, scalar)
 from quarry.jobs.registry import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]
