@@ -1,7 +1,7 @@
 """Registered queries: importing this package fills ``registry.QUERIES``."""
 
 from quarry.jobs import (  # noqa: F401
-    aggregates, change, complex, composite, joins, ordering, projection, scalar)
+    aggregates, change, complex, composite, joins, ordering, projection, scalar, streams)
 from quarry.jobs.registry import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]
