@@ -1,0 +1,56 @@
+"""Scale-related helpers: sized broadcast, shuffle sizing, lineage cuts.
+
+Nothing here forces a physical plan Catalyst would not pick; the helpers
+decide between two user-level plans using sizes Spark itself reports.
+"""
+
+from __future__ import annotations
+
+import math
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from quarry.session import checkpoint_root
+
+
+def scan_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes on disk under ``path`` (a file listing, files are not opened)."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("length")
+    return int(files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0])
+
+
+def broadcast_if_small(df: DataFrame, size_bytes: int, limit_bytes: int = 64 * 1024 * 1024) -> DataFrame:
+    """Broadcast hint only when the measured input size is under ``limit_bytes``.
+
+    ``size_bytes`` must be a measured bound (e.g. ``scan_bytes`` of the
+    dimension's files); above the limit the plan stays a shuffle join and AQE
+    may still convert it at runtime from real shuffle statistics.
+    """
+    return F.broadcast(df) if size_bytes <= limit_bytes else df
+
+
+def shuffle_partitions_for(input_bytes: int, target_partition_bytes: int = 128 * 1024 * 1024,
+                           minimum: int = 8, maximum: int = 100_000) -> int:
+    """Partitions so each shuffle partition holds about ``target_partition_bytes``."""
+    return max(minimum, min(maximum, math.ceil(input_bytes / target_partition_bytes)))
+
+
+def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
+    """Reliable checkpoint into the cluster's shared checkpoint directory.
+
+    Survives executor loss (data is on shared storage, not executor disks).
+    """
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=eager)
+
+
+def salted_key(col: str, buckets: int, seed_col: str | None = None):
+    """A salt in [0, buckets) to spread one hot key over several tasks.
+
+    Use as an extra grouping key for a first partial aggregation, then
+    aggregate again without it.  ``seed_col`` makes the salt deterministic
+    (hash of a row id) so a retried task recomputes the same assignment.
+    """
+    src = F.col(seed_col) if seed_col else F.monotonically_increasing_id()
+    return F.pmod(F.xxhash64(F.col(col), src), F.lit(buckets)).cast("int")

@@ -8,7 +8,6 @@ directory at all (unit tests, local runs) do we create one ourselves.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -66,10 +65,6 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root
 
 
-def _strip_scheme(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh, unique directory under the shared checkpoint root.
 
@@ -77,8 +72,5 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     collides with an earlier one and nothing has to be cleared first.
     """
     root = checkpoint_root(spark)
-    path = f"{root.rstrip('/')}/quarry/{label}-{uuid.uuid4().hex[:12]}"
-    local = _strip_scheme(path)
-    if "://" not in local:
-        os.makedirs(local, exist_ok=True)
-    return path
+    # Not created here: Spark writers create it (and refuse an existing one).
+    return f"{root.rstrip('/')}/quarry/{label}-{uuid.uuid4().hex[:12]}"
