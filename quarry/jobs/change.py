@@ -370,3 +370,34 @@ def job20(spark, d):
 def job20_merge(spark, d):
     """Version 4 of the life cycle: the MERGE result."""
     return versions.snapshot_read(spark, lifecycle(spark, d)["root"], 4)
+
+
+@register("chg11_copy_into_idempotent", """
+SELECT order_id, order_status, status_timestamp FROM status_feed""")
+def chg11(spark, d):
+    """COPY INTO twice over the same files, then once more after new files land.
+
+    The second run loads nothing; the table holds every source row exactly once.
+    """
+    from quarry.jobs.streams import landed
+    from quarry.streaming import ingest
+    src = landed(spark, d, "status")
+    target = scratch_dir(spark, "copy-into")
+    schema = "order_id BIGINT, order_status STRING, status_timestamp BIGINT"
+    first = ingest.copy_into(spark, target, src, schema)
+    again = ingest.copy_into(spark, target, src, schema)
+    assert first > 0 and again == 0, (first, again)
+    return spark.read.parquet(target)
+
+
+@register("chg22_migration_ctas", """
+SELECT _c0 AS idx, title, CAST(year AS INTEGER) AS year,
+  CASE WHEN budget = 'NA' THEN 0 ELSE CAST(budget AS INTEGER) END AS budget,
+  CAST(rating AS DOUBLE) AS rating
+FROM movies_raw""")
+def chg22(spark, d):
+    """CTAS of the cleaned movie table into a new versioned table (rename, casts, NA -> 0)."""
+    from quarry.jobs.composite import clean_movies
+    root = scratch_dir(spark, "movies")
+    versions.commit(spark, root, clean_movies(fx.movies_raw(spark, d)), "CREATE TABLE AS SELECT")
+    return versions.snapshot_read(spark, root)
