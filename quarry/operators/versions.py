@@ -18,10 +18,12 @@ import datetime as dt
 import json
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+from quarry.sources import fs
+
 HISTORY_SCHEMA = ("version bigint, timestamp timestamp_ntz, operation string, "
                   "parameters string, num_rows bigint, num_files bigint, source string")
 
@@ -48,16 +50,21 @@ def history(spark: SparkSession, root: str) -> DataFrame:
 
 
 def latest_version(spark: SparkSession, root: str) -> int | None:
-    row = history(spark, root).agg(F.max("version").alias("v")).first()
-    return None if row is None or row["v"] is None else int(row["v"])
+    """Newest committed version, from the history directory listing.
+
+    A commit counts once its history row was written completely (the
+    writer's ``_SUCCESS`` marker); a listing is a metadata call, no Spark job.
+    """
+    hist = _hist_path(root)
+    done = []
+    for name in fs.list_names(spark, hist):
+        if name.startswith("commit=") and fs.exists(spark, f"{hist}/{name}/_SUCCESS"):
+            done.append(int(name.split("=", 1)[1]))
+    return max(done) if done else None
 
 
-def _files_and_rows(spark: SparkSession, path: str) -> tuple[int, int]:
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
-             .load(path).select("path"))
-    n_files = files.count()
-    n_rows = spark.read.parquet(path).count() if n_files else 0
-    return n_rows, n_files
+def _data_files(spark: SparkSession, path: str) -> int:
+    return sum(1 for n in fs.list_names(spark, path) if n.endswith(".parquet"))
 
 
 def commit(spark: SparkSession, root: str, df: DataFrame | None, operation: str,
@@ -74,8 +81,9 @@ def commit(spark: SparkSession, root: str, df: DataFrame | None, operation: str,
     n_rows = n_files = 0
     if df is not None:
         path = snapshot_path(root, version)
-        df.write.mode("overwrite").parquet(path)
-        n_rows, n_files = _files_and_rows(spark, path)
+        obs = Observation(f"commit_{version}")
+        df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
+        n_rows, n_files = int(obs.get.get("rows", 0)), _data_files(spark, path)
     ts = timestamp or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     row = [(version, ts, operation, json.dumps(dict(parameters or {}), sort_keys=True, default=str),
             n_rows, n_files, source)]
@@ -211,11 +219,8 @@ def vacuum(spark: SparkSession, root: str, retain_hours: float = 168.0, dry_run:
     if dry_run:
         return cand
     paths = [r["path"] for r in cand.collect()]     # one row per version: bounded metadata
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
     for p in paths:
         if not p.startswith(root.rstrip("/") + "/version="):
             raise ValueError(f"refusing to delete {p} outside {root}")
-        hp = jvm.org.apache.hadoop.fs.Path(p)
-        hp.getFileSystem(conf).delete(hp, True)
+        fs.delete(spark, p)
     return cand

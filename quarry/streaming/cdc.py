@@ -29,16 +29,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from quarry.sources import fs
+
 DELETED = "__deleted"
 BUCKET = "__bucket"
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
-
 def _latest(df: DataFrame, keys: Sequence[str], sequence_by: str) -> DataFrame:
     rest = [c for c in df.columns if c not in keys and c not in (sequence_by, DELETED)]
     newest = F.max(F.struct(F.col(sequence_by), F.col(DELETED), *[F.col(c) for c in rest])).alias("__r")
@@ -71,11 +67,13 @@ def apply_changes(spark: SparkSession, stream: DataFrame, root: str, keys: Seque
     src = stream.select(*keep)
 
     def batch_fn(batch_df: DataFrame, batch_id: int) -> None:
-        state = spark.read.parquet(state_path) if path_exists(spark, state_path) else None
+        state = spark.read.parquet(state_path) if fs.exists(spark, state_path) else None
         merged = merge_changes(state, batch_df, keys, sequence_by, delete_when, buckets)
         staged = f"{root.rstrip('/')}/_staging/batch={batch_id}"
         merged.write.mode("overwrite").parquet(staged)
-        (spark.read.parquet(staged).write.mode("overwrite")
+        # REBALANCE on the bucket: about one writer per bucket directory (few
+        # files), while AQE still splits a bucket that grew too large.
+        (spark.read.parquet(staged).hint("rebalance", BUCKET).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(state_path))
 
     q = (src.writeStream.foreachBatch(batch_fn).option("checkpointLocation", checkpoint)

@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import time
 import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
@@ -160,10 +161,13 @@ class FlowGraph:
             ds = self.datasets[name]
             events.append(self._event(update_id, "flow_definition", name, {"flow_definition": {
                 "output_dataset": name, "input_datasets": list(ds.inputs), "flow_type": ds.kind}}))
+            t0 = time.perf_counter()
             metrics = self._materialise(ds)
+            seconds = round(time.perf_counter() - t0, 3)
+            progress = {"status": "COMPLETED", "seconds": seconds}
             if metrics is not None:
-                events.append(self._event(update_id, "flow_progress", name, {"flow_progress": {
-                    "status": "COMPLETED", "data_quality": {"expectations": metrics}}}))
+                progress["data_quality"] = {"expectations": metrics}
+            events.append(self._event(update_id, "flow_progress", name, {"flow_progress": progress}))
         self._write_events(events)
         return update_id
 

@@ -77,20 +77,22 @@ def apply_hints(schema: StructType, hints: str | Mapping[str, str | DataType]) -
     return StructType(fields)
 
 
-def rescued_column(raw: Column, schema: StructType) -> Column:
+def rescued_column(raw: Column, typed: Column, schema: StructType) -> Column:
     """JSON object of fields that are unknown to ``schema`` or do not fit its type.
 
-    Parses the line a second time as ``map<string,string>``; a key is rescued
-    when it is not a schema field, or when its raw value is non-null but the
-    typed parse gave NULL.  NULL when nothing was rescued.
+    ``typed`` is the line already parsed with ``schema``; the line is parsed
+    once more as ``map<string,string>``.  A key is rescued when it is not a
+    schema field, or when its raw value is non-null but the typed value came
+    out NULL.  NULL when nothing was rescued.
     """
     as_map = F.from_json(raw, "map<string,string>")
-    typed = F.from_json(raw, schema)
     known = F.array(*[F.lit(f.name) for f in schema.fields])
-    # A struct of "did the typed value come out NULL" per field, looked up by key.
-    null_flags = F.create_map(*[x for f in schema.fields for x in (F.lit(f.name), typed[f.name].isNull())])
-    bad = F.map_filter(as_map, lambda k, v: (~F.array_contains(known, k)) |
-                       (v.isNotNull() & F.coalesce(F.element_at(null_flags, k), F.lit(False))))
+    unknown = F.map_filter(as_map, lambda k, v: ~F.array_contains(known, k))
+    misfits = F.filter(F.array(*[
+        F.when(typed[f.name].isNull() & as_map[f.name].isNotNull(),
+               F.struct(F.lit(f.name).alias("key"), as_map[f.name].alias("value")))
+        for f in schema.fields]), lambda x: x.isNotNull())
+    bad = F.map_concat(F.map_from_entries(misfits), unknown)
     return F.when(F.size(bad) > 0, F.to_json(bad))
 
 
@@ -101,9 +103,11 @@ def read_json_stream(spark: SparkSession, path: str, schema: StructType, rescue:
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     lines = r.load(path).select("value", F.col("_metadata.file_path").alias("source_file"))
-    parsed = lines.select(F.from_json("value", schema).alias("j"), "source_file",
-                          *([rescued_column(F.col("value"), schema).alias("_rescued_data")] if rescue else []))
-    return parsed.select("j.*", "source_file", *(["_rescued_data"] if rescue else []))
+    parsed = lines.select("value", F.from_json("value", schema).alias("j"), "source_file")
+    if not rescue:
+        return parsed.select("j.*", "source_file")
+    return parsed.select("j.*", "source_file",
+                         rescued_column(F.col("value"), F.col("j"), schema).alias("_rescued_data"))
 
 
 def read_csv_stream(spark: SparkSession, path: str, schema: StructType, header: bool = True,
