@@ -14,8 +14,8 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 
-def first_letter(text: str | None) -> str | None:
-    """Row-at-a-time: first character of a string."""
+def first_letter(text):
+    """Row-at-a-time: first character of a string (no type hints: a plain Python UDF)."""
     return None if text is None else text[:1]
 
 

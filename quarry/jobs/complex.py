@@ -25,7 +25,7 @@ def cpx01(spark, d):
     return s.select("order_id", F.col("items.item_id").alias("item_id"), F.col("items.quantity").alias("quantity"))
 
 
-@register("cpx02_size", "SELECT event_id, len(items) AS n_items FROM events_nested")
+@register("cpx02_size", "SELECT event_id, CAST(len(items) AS INTEGER) AS n_items FROM events_nested")
 def cpx02(spark, d):
     return fx.events_nested(spark, d).select("event_id", F.size("items").alias("n_items"))
 
@@ -129,7 +129,8 @@ def cpx13(spark, d):
 
 @register("cpx14_from_json_struct", """
 SELECT event_id, device, event_name, event_timestamp, geo.city AS city, geo.state AS state,
-  ecommerce.purchase_revenue_in_usd AS purchase_revenue_in_usd, len(items) AS n_items, traffic_source, user_id
+  ecommerce.purchase_revenue_in_usd AS purchase_revenue_in_usd, CAST(len(items) AS INTEGER) AS n_items,
+  traffic_source, user_id
 FROM events_nested""")
 def cpx14(spark, d):
     raw = fx.events_raw(spark, d)

@@ -77,7 +77,7 @@ def job03(spark, d):
 
 @register("job04_event_parsing", """
 SELECT e.user_id AS key, e.event_id AS "offset", e.device, e.event_name, e.event_timestamp,
-  e.geo.city AS city, item.item_id AS item_id, item.quantity AS quantity, len(e.items) AS n_items
+  e.geo.city AS city, item.item_id AS item_id, item.quantity AS quantity, CAST(len(e.items) AS INTEGER) AS n_items
 FROM (SELECT *, unnest(items) AS item FROM events_nested) e""")
 def job04(spark, d):
     """Binary envelope -> text -> JSON struct -> columns -> one row per item."""

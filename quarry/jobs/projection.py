@@ -165,7 +165,7 @@ def prj17(spark, d):
 
 
 @register("prj18_isnan", """
-SELECT count_if(isnan(ratio)) AS nan_rows, count_if(NOT isnan(ratio)) AS number_rows
+SELECT CAST(count_if(isnan(ratio)) AS BIGINT) AS nan_rows, CAST(count_if(NOT isnan(ratio)) AS BIGINT) AS number_rows
 FROM (SELECT CASE WHEN event_type = 'error' THEN CAST('NaN' AS DOUBLE) ELSE value END AS ratio FROM events)""")
 def prj18(spark, d):
     from quarry.sources.tables import table
@@ -233,7 +233,7 @@ def nul04(spark, d):
 
 
 @register("nul05_count_if", """
-SELECT count_if(email IS NULL) AS email_nulls, count_if(updated IS NULL) AS updated_nulls,
+SELECT CAST(count_if(email IS NULL) AS BIGINT) AS email_nulls, CAST(count_if(updated IS NULL) AS BIGINT) AS updated_nulls,
        count(*) FILTER (WHERE user_id IS NULL) AS user_id_nulls
 FROM users_dirty""")
 def nul05(spark, d):

@@ -17,7 +17,7 @@ _EMAIL_RE = r"^([a-zA-Z0-9_\-\.]+)@([a-zA-Z0-9_\-\.]+)\.([a-zA-Z]{2,5})$"
 SELECT customer_id, address,
   string_split(address, ' ')[1] AS house_number,
   split_part(address, ' ', 1) || '|' || substr(address, strpos(address, ' ') + 1) AS split_limit_2,
-  len(string_split(address, ' ')) AS n_words
+  CAST(len(string_split(address, ' ')) AS INTEGER) AS n_words
 FROM cdc_feed WHERE address IS NOT NULL""")
 def fun01(spark, d):
     c = fx.cdc_feed(spark, d).filter(F.col("address").isNotNull())
@@ -56,7 +56,7 @@ def fun04(spark, d):
 
 @register("fun05_masking_functions", """
 SELECT c_custkey, concat('***', right(c_name, 4)) AS masked,
-  repeat('*', length(c_name) - 2) || right(c_name, 2) AS masked_all_but_two, length(c_name) AS name_len
+  repeat('*', length(c_name) - 2) || right(c_name, 2) AS masked_all_but_two, CAST(length(c_name) AS INTEGER) AS name_len
 FROM customer""")
 def fun05(spark, d):
     c = table(spark, d, "customer")
@@ -91,8 +91,9 @@ def fun08(spark, d):
 
 
 @register("fun09_date_parts", """
-SELECT event_id, year(ts) AS year, month(ts) AS month, dayofweek(ts) + 1 AS dayofweek,
-  minute(ts) AS minute, second(ts) AS second
+SELECT event_id, CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month,
+  CAST(dayofweek(ts) + 1 AS INTEGER) AS dayofweek, CAST(minute(ts) AS INTEGER) AS minute,
+  CAST(second(ts) AS INTEGER) AS second
 FROM events""")
 def fun09(spark, d):
     e = table(spark, d, "events")

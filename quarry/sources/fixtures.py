@@ -149,12 +149,15 @@ def sales(spark: SparkSession, d: str) -> DataFrame:
         (F.col("l_extendedprice") / F.col("l_quantity")).alias("price_in_usd"),
         F.col("l_quantity").cast("bigint").alias("quantity"),
     )
+    # The distinct item count comes from the collected (per-order, bounded)
+    # item array: a count_distinct next to collect_list would make Spark
+    # rewrite the aggregate with an Expand and a second aggregation.
     per_order = (li.join(p, li.l_partkey == p.p_partkey)
                    .groupBy("l_orderkey")
                    .agg(F.sum("l_quantity").cast("bigint").alias("total_item_quantity"),
                         F.round(F.sum("l_extendedprice"), 2).alias("purchase_revenue_in_usd"),
-                        F.count_distinct("l_partkey").alias("unique_items"),
-                        F.array_sort(F.collect_list(item)).alias("items")))
+                        F.array_sort(F.collect_list(item)).alias("items"))
+                   .withColumn("unique_items", F.size(F.array_distinct("items.item_id")).cast("bigint")))
     return (per_order.join(o, per_order.l_orderkey == o.o_orderkey)
             .join(u, F.col("o_custkey") == u.uid, "left")
             .select(F.col("o_orderkey").alias("order_id"), "email",
