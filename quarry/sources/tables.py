@@ -5,16 +5,14 @@ parquet scan, so callers never need to pre-select.
 
 Two practical points:
 
-* The DataFrame of each path is built once per session and reused, so the
-  parquet footers (schema) are read once, not by every query.
-* Scan parallelism floor: a file with a single row group is read by one
-  task, and every narrow operator after the scan (JSON parsing, explode,
-  partial aggregation) then runs in that one task.  When a scan yields fewer
-  splits than ``quarry.scan.minPartitions`` (default: the session's default
-  parallelism) the rows are spread round-robin right after the scan.  At
-  cluster scale a table has thousands of splits and this is a no-op; the
-  column pruning and filter pushdown still reach the scan below the
-  exchange.
+* The schemas of the base tables are declared, so a read needs no footer
+  inference job, and the DataFrame of each path is built once per session.
+* Optional scan parallelism floor (off by default): an unsplittable input
+  (one row group, or a compressed text file) is read by one task, and every
+  narrow operator after the scan then runs in that task.  Setting
+  ``quarry.scan.minPartitions`` spreads such scans round-robin right after
+  reading (column pruning and filter pushdown still reach the scan).  A
+  table with many splits is never touched.
 """
 
 from __future__ import annotations
@@ -29,12 +27,33 @@ TABLES = (
 # Tables bounded by the TPC-H definition (25 and 5 rows) need no spreading.
 TINY = ("region", "nation")
 
+# The declared schemas of the base tables.
+SCHEMAS = {
+    "region": "r_regionkey INT, r_name STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, p_retailprice DOUBLE",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+              "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE, "
+                "l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING, "
+                "l_linestatus STRING, l_shipdate TIMESTAMP_NTZ",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+    "documents": "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT",
+    "embeddings": "vec_id BIGINT, embedding ARRAY<FLOAT>, label INT",
+    "pages": "page_id BIGINT, url STRING, html STRING",
+    "benchmark": "item_id BIGINT, text STRING",
+    "labels": "doc_id BIGINT, quality INT, toxic INT",
+    "conversations": "conv_id BIGINT, turn BIGINT, role STRING, text STRING",
+}
+
 _CACHE: dict[tuple[str, str], DataFrame] = {}
 
 
 def _min_partitions(spark: SparkSession) -> int:
     conf = spark.conf.get("quarry.scan.minPartitions", None)
-    return int(conf) if conf else spark.sparkContext.defaultParallelism
+    return int(conf) if conf else 0
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,9 +64,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     key = (spark.sparkContext.applicationId, path)
     df = _CACHE.get(key)
     if df is None:
-        df = spark.read.parquet(path)
+        df = spark.read.schema(SCHEMAS[name]).parquet(path)
         want = _min_partitions(spark)
-        if name not in TINY and df.rdd.getNumPartitions() < want:
+        if want and name not in TINY and df.rdd.getNumPartitions() < want:
             df = df.repartition(want)
         _CACHE[key] = df
     return df
