@@ -2,7 +2,9 @@
 
 A full ``orderBy`` is a range-partitioned shuffle (sampled bounds, no single
 task holds everything); ``orderBy().limit(k)`` plans as TakeOrderedAndProject,
-a per-partition top-k merged on the driver in k-sized pieces.
+a per-partition top-k merged on the driver in k-sized pieces.  Global sorts
+end with a unique tie-breaker column: rows sharing a hot sort value then
+still spread over several range partitions instead of one task.
 """
 
 from __future__ import annotations
@@ -16,10 +18,10 @@ from quarry.sources.tables import table
 
 
 @register("srt01_sort_asc_desc", """
-SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC""")
+SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey""")
 def srt01(spark, d):
     o = table(spark, d, "orders").select("o_orderkey", "o_totalprice")
-    return o.orderBy("o_orderkey").sort(F.col("o_totalprice").desc())
+    return o.sort(F.col("o_totalprice").desc(), F.col("o_orderkey"))
 
 
 @register("srt02_multi_key_mixed", """
@@ -32,9 +34,10 @@ def srt02(spark, d):
 
 
 @register("srt03_desc_nulls_last", """
-SELECT user_id, email FROM users_dirty ORDER BY email DESC NULLS LAST""")
+SELECT user_id, email FROM users_dirty ORDER BY email DESC NULLS LAST, user_id""")
 def srt03(spark, d):
-    return fx.users_dirty(spark, d).select("user_id", "email").orderBy(F.col("email").desc_nulls_last())
+    return (fx.users_dirty(spark, d).select("user_id", "email")
+            .orderBy(F.col("email").desc_nulls_last(), F.col("user_id").asc_nulls_last()))
 
 
 @register("srt04_limit")

@@ -2,8 +2,19 @@
 
 Each function takes the current table state and returns the next state; the
 caller writes it as a new snapshot (``quarry.operators.versions``).  Nothing
-is collected: MERGE is one full-outer join on the key plus a CASE chain, so it
-shuffles target and source once on the merge key (AQE splits a skewed key).
+is collected.  MERGE is planned so that the (large) target is never shuffled
+when the (usually small) source is small:
+
+* matched clauses: ``target LEFT JOIN source`` on the key plus a CASE chain;
+  AQE turns it into a broadcast hash join when the source's measured size is
+  under the broadcast threshold, otherwise it is a sort-merge join (AQE
+  splits a skewed key);
+* inserts: source rows whose key matched no target row, found by
+  semi-joining the target's key column against the distinct source keys
+  (again broadcastable) and anti-joining the source with that small result.
+
+A full outer join would always shuffle the whole target (Spark cannot
+broadcast either side of a full outer join).
 
 SQL semantics kept:
 * a NULL predicate never selects a row (UPDATE/DELETE keep it untouched);
@@ -75,13 +86,16 @@ class MergeError(ValueError):
 def check_single_match(target: DataFrame, source: DataFrame, on: Sequence[str]) -> None:
     """Fail when some target key is matched by more than one source row.
 
-    One aggregation of the source by key (partial aggregate first), semi-joined
-    to the target keys; only a boolean reaches the driver.
+    First the source alone: keys occurring more than once (one aggregation,
+    partial on the map side).  Only when there are such keys - rare - are
+    they semi-joined to the target's key column.  Only a boolean reaches the
+    driver.
     """
     dup = (source.where(_and([F.col(k).isNotNull() for k in on]))
-                 .groupBy(*on).count().where(F.col("count") > 1)
-                 .join(target.select(*on), list(on), "left_semi"))
-    if not dup.isEmpty():
+                 .groupBy(*on).count().where(F.col("count") > 1).select(*on))
+    if dup.isEmpty():
+        return
+    if not target.select(*on).join(dup, list(on), "left_semi").isEmpty():
         raise MergeError("MERGE: a target row matches more than one source row")
 
 
@@ -93,7 +107,9 @@ def merge(target: DataFrame, source: DataFrame, on: Sequence[str], clauses: Sequ
     (NULL for existing rows), as a merge with schema evolution does.
     """
     on = list(on)
-    if check and any(c.kind == "matched" for c in clauses):
+    matched = [(i, c) for i, c in enumerate(clauses) if c.kind == "matched"]
+    inserts = [(i, c) for i, c in enumerate(clauses) if c.kind == "not_matched"]
+    if check and matched:
         check_single_match(target, source, on)
     out_cols = list(target.columns)
     if evolve_schema:
@@ -103,20 +119,6 @@ def merge(target: DataFrame, source: DataFrame, on: Sequence[str], clauses: Sequ
         if c not in tgt.columns:
             tgt = tgt.withColumn(c, F.lit(None).cast(source.schema[c].dataType))
     types = {c: tgt.schema[c].dataType for c in out_cols}
-    t = tgt.select(*out_cols, F.lit(True).alias("__t")).alias("t")
-    s = source.select(*source.columns, F.lit(True).alias("__s")).alias("s")
-    j = t.join(s, _and([F.col(f"t.{k}") == F.col(f"s.{k}") for k in on]), "full_outer")
-
-    in_t, in_s = F.col("t.__t").isNotNull(), F.col("s.__s").isNotNull()
-    scope = {"matched": in_t & in_s, "not_matched": in_s & ~in_t}
-    pick = None
-    for i, cl in enumerate(clauses):
-        cond = scope[cl.kind]
-        if cl.when is not None:
-            cond = cond & F.coalesce(_expr(cl.when), F.lit(False))
-        pick = F.when(cond, F.lit(i)) if pick is None else pick.when(cond, F.lit(i))
-    pick = F.lit(-1) if pick is None else pick.otherwise(F.lit(-1))
-    j = j.withColumn("__clause", pick)
 
     def value(cl: Clause, c: str) -> Column:
         if cl.set == "*":
@@ -126,21 +128,54 @@ def merge(target: DataFrame, source: DataFrame, on: Sequence[str], clauses: Sequ
             return _expr(cl.set[c])
         return F.col(f"t.{c}") if cl.action == "update" else F.lit(None)
 
-    keep = in_t & (F.col("__clause") == -1)   # untouched target rows
-    for i, cl in enumerate(clauses):
-        if cl.action in ("update", "insert"):
+    def chain(pairs, scope: Column) -> Column:
+        pick = None
+        for i, cl in pairs:
+            cond = scope if cl.when is None else scope & F.coalesce(_expr(cl.when), F.lit(False))
+            pick = F.when(cond, F.lit(i)) if pick is None else pick.when(cond, F.lit(i))
+        return F.lit(-1) if pick is None else pick.otherwise(F.lit(-1))
+
+    def project(df: DataFrame, pairs, keep: Column, base) -> DataFrame:
+        cols = []
+        for c in out_cols:
+            v = None
+            for i, cl in pairs:
+                if cl.action == "delete":
+                    continue
+                branch = value(cl, c).cast(types[c])
+                v = F.when(F.col("__clause") == i, branch) if v is None else v.when(F.col("__clause") == i, branch)
+            b = base(c)
+            cols.append((b if v is None else v.otherwise(b)).alias(c))
+        return df.where(keep).select(*cols)
+
+    t = tgt.select(*out_cols).alias("t")
+    s = source.select(*source.columns, F.lit(True).alias("__s")).alias("s")
+    key_eq = _and([F.col(f"t.{k}") == F.col(f"s.{k}") for k in on])
+
+    # Target rows: unchanged, updated or deleted by the first matching clause.
+    if matched:
+        j = t.join(s, key_eq, "left").withColumn("__clause", chain(matched, F.col("s.__s").isNotNull()))
+        keep = F.col("__clause") == -1
+        for i, cl in matched:
+            if cl.action == "update":
+                keep = keep | (F.col("__clause") == i)
+        kept = project(j, matched, keep, lambda c: F.col(f"t.{c}").cast(types[c]))
+    else:
+        kept = t.select(*[F.col(c) for c in out_cols])
+    if not inserts:
+        return kept
+
+    # Source rows that matched no target row (NULL keys never match).
+    src_keys = source.select(*on).where(_and([F.col(k).isNotNull() for k in on])).distinct()
+    hit = tgt.select(*on).join(src_keys, on, "left_semi").distinct()
+    fresh = source.join(hit, on, "left_anti").select(*source.columns, F.lit(True).alias("__s")).alias("s")
+    ins = fresh.withColumn("__clause", chain(inserts, F.lit(True)))
+    keep = F.lit(False)
+    for i, cl in inserts:
+        if cl.action == "insert":
             keep = keep | (F.col("__clause") == i)
-    cols = []
-    for c in out_cols:
-        v = None
-        for i, cl in enumerate(clauses):
-            if cl.action == "delete":
-                continue
-            branch = value(cl, c).cast(types[c])
-            v = F.when(F.col("__clause") == i, branch) if v is None else v.when(F.col("__clause") == i, branch)
-        base = F.col(f"t.{c}")
-        cols.append((base if v is None else v.otherwise(base)).alias(c))
-    return j.where(keep).select(*cols)
+    added = project(ins, inserts, keep, lambda c: F.lit(None).cast(types[c]))
+    return kept.unionByName(added)
 
 
 def insert_only_merge(target: DataFrame, source: DataFrame, on: Sequence[str],

@@ -103,7 +103,13 @@ def version_as_of(spark: SparkSession, root: str, timestamp: dt.datetime | str)
 
 
 def _resolve_source(spark: SparkSession, root: str, version: int) -> tuple[str, int]:
-    """Follow shallow-clone pointers until a version with its own data."""
+    """Follow shallow-clone pointers until a version with its own data.
+
+    A version with its own data directory is read directly (a listing, no
+    job); only metadata-only commits look up their source in the history.
+    """
+    if fs.exists(spark, snapshot_path(root, version)):
+        return root, version
     row = history(spark, root).where(F.col("version") == version).select("operation", "source").first()
     if row is None:
         raise VersionNotFound(f"{root} has no version {version}")
@@ -150,15 +156,14 @@ def diff(spark: SparkSession, root: str, v_from: int, v_to: int) -> DataFrame:
 
 
 def detail(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
-    """Table detail: location, file count and bytes of one version (content not read)."""
+    """Table detail: location, file count and bytes of one version (a listing, content not read)."""
     if version is None:
         version = latest_version(spark, root)
     path = snapshot_path(root, version)
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
-             .load(path).select("path", "length"))
-    return files.agg(F.lit(path).alias("location"), F.lit(version).cast("bigint").alias("version"),
-                     F.count(F.lit(1)).alias("num_files"),
-                     F.coalesce(F.sum("length"), F.lit(0)).cast("bigint").alias("size_in_bytes"))
+    files = fs.list_files(spark, path, ".parquet")
+    return spark.createDataFrame(
+        [(path, int(version), len(files), sum(n for _, n in files))],
+        "location string, version bigint, num_files bigint, size_in_bytes bigint")
 
 
 def deep_clone(spark: SparkSession, source_root: str, target_root: str) -> list[int]:

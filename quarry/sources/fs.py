@@ -31,3 +31,12 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
 def delete(spark: SparkSession, path: str) -> bool:
     fs, p = _fs_path(spark, path)
     return bool(fs.delete(p, True))
+
+
+def list_files(spark: SparkSession, path: str, suffix: str = "") -> list[tuple[str, int]]:
+    """(name, length) of the files directly under ``path`` ending with ``suffix``."""
+    fs, p = _fs_path(spark, path)
+    if not fs.exists(p):
+        return []
+    return [(s.getPath().getName(), int(s.getLen())) for s in fs.listStatus(p)
+            if s.isFile() and s.getPath().getName().endswith(suffix)]
