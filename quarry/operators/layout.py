@@ -9,7 +9,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.operators import versions
@@ -38,29 +38,35 @@ def compact(spark: SparkSession, root: str, version: int | None = None,
                            {"files_before": n_before, "files_after": n_after, "bytes": total})
 
 
-def _bucket(c: Column, bounds: Sequence[float]) -> Column:
-    """Index of the quantile bucket of ``c``: number of boundaries below it."""
-    arr = F.array(*[F.lit(float(b)) for b in bounds])
-    return F.size(F.filter(arr, lambda b: b < c.cast("double"))).cast("long")
+def with_z_value(df: DataFrame, columns: Sequence[str], bits: int = 8, rel_error: float = 0.001,
+                 out: str = "__z") -> DataFrame:
+    """Add a bit-interleaved Morton key over quantile ranks of numeric ``columns``.
 
-
-def z_value(df: DataFrame, columns: Sequence[str], bits: int = 8, rel_error: float = 0.001) -> Column:
-    """Bit-interleaved Morton key over quantile ranks of ``columns``.
-
-    Quantile boundaries come from ``approxQuantile`` (one pass, bounded result:
-    2**bits - 1 numbers per column) and enter the plan as literals, so the key
-    is a plain JVM expression; no UDF, no global window.
+    Quantile boundaries come from ``approxQuantile`` (one pass, bounded
+    result: 2**bits - 1 numbers per column).  Each value's rank is found by
+    the JVM ``Bucketizer`` (a binary search over the boundaries), then the
+    rank bits are interleaved with shifts and masks.  No Python per row and
+    no global window.
     """
+    from pyspark.ml.feature import Bucketizer
+
     n = 2 ** bits
     probs = [i / n for i in range(1, n)]
     bounds = df.approxQuantile(list(columns), probs, rel_error)
-    buckets = [_bucket(F.col(c), sorted(set(b))) for c, b in zip(columns, bounds)]
+    tmp_in = [f"__zin{i}" for i in range(len(columns))]
+    tmp_out = [f"__zb{i}" for i in range(len(columns))]
+    staged = df.select("*", *[F.coalesce(F.col(c).cast("double"), F.lit(float("nan"))).alias(t)
+                              for c, t in zip(columns, tmp_in)])
+    splits = [[float("-inf"), *sorted(set(b)), float("inf")] for b in bounds]
+    ranked = Bucketizer(splitsArray=splits, inputCols=tmp_in, outputCols=tmp_out,
+                        handleInvalid="keep").transform(staged)
     k = len(columns)
     z = F.lit(0).cast("long")
     for bit in range(bits):
-        for i, b in enumerate(buckets):
-            z = z + F.shiftleft(F.shiftright(b, bit).bitwiseAND(F.lit(1)), bit * k + i)
-    return z
+        for i, col in enumerate(tmp_out):
+            rank = F.least(F.col(col).cast("long"), F.lit(n - 1))
+            z = z + F.shiftleft(F.shiftright(rank, bit).bitwiseAND(F.lit(1)), bit * k + i)
+    return ranked.withColumn(out, z).drop(*tmp_in, *tmp_out)
 
 
 def zorder(spark: SparkSession, root: str, columns: Sequence[str], version: int | None = None,
@@ -75,7 +81,6 @@ def zorder(spark: SparkSession, root: str, columns: Sequence[str], version: int
     df = versions.snapshot_read(spark, root, version)
     if num_files is None:
         num_files = compaction_plan(spark, root, version)[2]
-    z = z_value(df, columns, bits)
-    out = (df.withColumn("__z", z).repartitionByRange(num_files, "__z")
-             .sortWithinPartitions("__z").drop("__z"))
+    out = (with_z_value(df, columns, bits).repartitionByRange(num_files, "__z")
+           .sortWithinPartitions("__z").drop("__z"))
     return versions.commit(spark, root, out, "OPTIMIZE", {"zOrderBy": list(columns), "files_after": num_files})
