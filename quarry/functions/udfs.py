@@ -14,21 +14,26 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 
-def first_letter(text):
-    """Row-at-a-time: first character of a string (no type hints: a plain Python UDF)."""
-    return None if text is None else text[:1]
+# The Python bodies are built inside factories, so they are pickled by value
+# and shipped with the task: the executors' Python workers need no copy of
+# this package on their path.
+def first_letter_fn():
+    """Row-at-a-time body: first character of a string."""
+    def first_letter(text):
+        return None if text is None else text[:1]
+    return first_letter
 
 
-def first_letters(s: pd.Series) -> pd.Series:
-    """Vectorised: first character of every string in an Arrow batch."""
-    return s.str[:1]
+def first_letters_fn():
+    """Vectorised body: first character of every string in an Arrow batch."""
+    def first_letters(s: pd.Series) -> pd.Series:
+        return s.str[:1]
+    return first_letters
 
 
-# UDF objects are built on first use (they need an active session, and the
-# Python workers import this module without one).
 def first_letter_udf():
     """``udf(first_letter)`` - a row-at-a-time Python UDF."""
-    return F.udf(first_letter, "string")
+    return F.udf(first_letter_fn(), "string")
 
 
 def first_letter_decorated():
@@ -41,12 +46,12 @@ def first_letter_decorated():
 
 def first_letter_vectorized():
     """``@pandas_udf("string")``: one call per Arrow batch of rows."""
-    return F.pandas_udf(first_letters, "string")
+    return F.pandas_udf(first_letters_fn(), "string")
 
 
 def register_python(spark: SparkSession) -> None:
     """Make the Python forms callable from SQL."""
-    spark.udf.register("sql_first_letter", first_letter, "string")
+    spark.udf.register("sql_first_letter", first_letter_fn(), "string")
     spark.udf.register("sql_first_letter_vectorized", first_letter_vectorized())
 
 
