@@ -186,7 +186,7 @@ def _needed(sql: str) -> list[str]:
     return out
 
 
-def with_fixtures(sql: str, extra_ctes: str = "") -> str:
+def with_fixtures(sql: str, extra_ctes: str = "", recursive: bool = False) -> str:
     """Prefix ``sql`` with the fixture CTEs it uses (plus ``extra_ctes``)."""
     names = _needed(sql + " " + extra_ctes)
     parts = [f"{n} AS ({CTES[n][1].strip()})" for n in names]
@@ -194,4 +194,4 @@ def with_fixtures(sql: str, extra_ctes: str = "") -> str:
         parts.append(extra_ctes.strip())
     if not parts:
         return sql.strip()
-    return "WITH " + ",\n".join(parts) + "\n" + sql.strip()
+    return ("WITH RECURSIVE " if recursive else "WITH ") + ",\n".join(parts) + "\n" + sql.strip()

@@ -14,7 +14,8 @@ QUERIES: dict[str, QueryFn] = {}
 ORACLE: dict[str, str] = {}
 
 
-def register(name: str, sql: str | None = None, ctes: str = "") -> Callable[[QueryFn], QueryFn]:
+def register(name: str, sql: str | None = None, ctes: str = "",
+             recursive: bool = False) -> Callable[[QueryFn], QueryFn]:
     """Register ``fn(spark, sf_dir) -> DataFrame`` under ``name``.
 
     ``sql`` is the oracle query (DuckDB dialect) over the base tables; fixture
@@ -26,6 +27,6 @@ def register(name: str, sql: str | None = None, ctes: str = "") -> Callable[[Que
             raise ValueError(f"duplicate query {name}")
         QUERIES[name] = fn
         if sql is not None:
-            ORACLE[name] = with_fixtures(sql, ctes)
+            ORACLE[name] = with_fixtures(sql, ctes, recursive)
         return fn
     return deco

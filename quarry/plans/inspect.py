@@ -58,7 +58,7 @@ def summary(df: DataFrame) -> dict:
     phys = section(ext, "Physical Plan")
     return {
         "logical_filters": count_nodes(opt, "Filter"),
-        "exchanges": phys.count("Exchange"),
+        "exchanges": len(re.findall(r"(?<!Broadcast)Exchange", phys)),
         "broadcast_joins": phys.count("BroadcastHashJoin"),
         "sort_merge_joins": phys.count("SortMergeJoin"),
         "python_udfs": phys.count("BatchEvalPython") + phys.count("ArrowEvalPython"),

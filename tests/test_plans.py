@@ -44,3 +44,11 @@ def test_repeated_filters_merge(spark, sf_dir):
     e = table(spark, sf_dir, "events")
     q = e.filter("value > 1").filter("value > 1").filter("user_id >= 0")
     assert inspect.summary(q)["logical_filters"] == 1
+
+
+def test_merge_does_not_shuffle_the_target(spark, sf_dir):
+    """A small source is broadcast: the target scan feeds the join directly."""
+    phys = inspect.section(inspect.plan_text(QUERIES["chg03_merge_update_delete_insert"](spark, sf_dir)),
+                           "Physical Plan")
+    assert "BroadcastHashJoin" in phys and "LeftOuter" in phys
+    assert "FullOuter" not in phys and "SortMergeJoin" not in phys
