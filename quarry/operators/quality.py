@@ -39,10 +39,6 @@ class Rule:
         return F.coalesce(F.expr(self.expr), F.lit(False))
 
 
-class ExpectationFailed(RuntimeError):
-    """Raised (inside the Spark job) when a 'fail' rule sees a violating row."""
-
-
 def _fail_guard(rules: Sequence[Rule]) -> Column:
     """TRUE for passing rows; ``raise_error`` naming the first violated rule otherwise."""
     guard = F.lit(True)

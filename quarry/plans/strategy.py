@@ -45,12 +45,22 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager=eager)
 
 
-def salted_key(col: str, buckets: int, seed_col: str | None = None):
+def salted_key(key: str, seed_col: str, buckets: int):
     """A salt in [0, buckets) to spread one hot key over several tasks.
 
-    Use as an extra grouping key for a first partial aggregation, then
-    aggregate again without it.  ``seed_col`` makes the salt deterministic
-    (hash of a row id) so a retried task recomputes the same assignment.
+    Use it as an extra grouping key for a first aggregation, then aggregate
+    again without it (``two_phase_sum``).  The salt is a hash of a row
+    column, so a retried task recomputes the same assignment.
     """
-    src = F.col(seed_col) if seed_col else F.monotonically_increasing_id()
-    return F.pmod(F.xxhash64(F.col(col), src), F.lit(buckets)).cast("int")
+    return F.pmod(F.xxhash64(F.col(key), F.col(seed_col)), F.lit(buckets)).cast("int")
+
+
+def two_phase_sum(df: DataFrame, key: str, value: str, seed_col: str, buckets: int = 32) -> DataFrame:
+    """``sum(value)`` per ``key`` with the hot keys' rows split over ``buckets`` salts.
+
+    Only needed for aggregates without a map-side combine; Spark's partial
+    aggregation already pre-combines sum/count/max per task.
+    """
+    salted = (df.withColumn("__salt", salted_key(key, seed_col, buckets))
+                .groupBy(key, "__salt").agg(F.sum(value).alias("__part")))
+    return salted.groupBy(key).agg(F.sum("__part").alias(f"sum_{value}"))
