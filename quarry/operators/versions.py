@@ -3,7 +3,8 @@
 Layout under a table root (a directory on the shared file system):
 
     {root}/version=N/          parquet data of version N (written by Spark)
-    {root}/_history/commit=N/  one metadata row for commit N
+    {root}/_history/commit=N/  one metadata row for commit N (a JSON line
+                               plus a _SUCCESS marker, written last)
 
 History rows are the source of truth: a snapshot directory without its
 history row (a crashed writer) is invisible, and a retried commit simply
@@ -40,13 +41,16 @@ class VersionNotFound(ValueError):
     """The requested version does not exist or its files were vacuumed."""
 
 
+_TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+
+
 def history(spark: SparkSession, root: str) -> DataFrame:
     """All commits of a table: version, timestamp, operation, parameters, metrics."""
-    try:
-        h = spark.read.schema(HISTORY_SCHEMA).parquet(_hist_path(root))
-    except AnalysisException:
+    if latest_version(spark, root) is None:
         return spark.createDataFrame([], HISTORY_SCHEMA)
-    return h.select(*[c.split()[0] for c in HISTORY_SCHEMA.split(", ")])
+    h = (spark.read.schema(HISTORY_SCHEMA).option("timestampNTZFormat", _TS_FORMAT)
+         .option("pathGlobFilter", "part-*.json").json(_hist_path(root)))
+    return h.select(*[c.split()[0] for c in HISTORY_SCHEMA.split(", ")]).where(F.col("version").isNotNull())
 
 
 def latest_version(spark: SparkSession, root: str) -> int | None:
@@ -85,10 +89,14 @@ def commit(spark: SparkSession, root: str, df: DataFrame | None, operation: str,
         df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
         n_rows, n_files = int(obs.get.get("rows", 0)), _data_files(spark, path)
     ts = timestamp or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    row = [(version, ts, operation, json.dumps(dict(parameters or {}), sort_keys=True, default=str),
-            n_rows, n_files, source)]
-    (spark.createDataFrame(row, HISTORY_SCHEMA).coalesce(1)
-     .write.mode("overwrite").parquet(f"{_hist_path(root)}/commit={version}"))
+    row = {"version": version, "timestamp": ts.strftime("%Y-%m-%dT%H:%M:%S.%f"), "operation": operation,
+           "parameters": json.dumps(dict(parameters or {}), sort_keys=True, default=str),
+           "num_rows": n_rows, "num_files": n_files, "source": source}
+    # One metadata line written by the driver (no Spark job); the _SUCCESS
+    # marker, written last, is what makes the commit visible.
+    commit_dir = f"{_hist_path(root)}/commit={version}"
+    fs.write_text(spark, f"{commit_dir}/part-00000.json", json.dumps(row) + "\n")
+    fs.write_text(spark, f"{commit_dir}/_SUCCESS", "")
     return version
 
 

@@ -40,3 +40,19 @@ def list_files(spark: SparkSession, path: str, suffix: str = "") -> list[tuple[s
         return []
     return [(s.getPath().getName(), int(s.getLen())) for s in fs.listStatus(p)
             if s.isFile() and s.getPath().getName().endswith(suffix)]
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small text file atomically for readers: temp name, then rename."""
+    fs, p = _fs_path(spark, path)
+    jvm = spark.sparkContext._jvm
+    tmp = jvm.org.apache.hadoop.fs.Path(p.getParent(), "_tmp-" + p.getName())
+    out = fs.create(tmp, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+    if fs.exists(p):
+        fs.delete(p, False)
+    if not fs.rename(tmp, p):
+        raise OSError(f"could not rename {tmp} to {path}")
