@@ -25,7 +25,6 @@ _DEFAULT_CONF = {
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.streaming.forceDeleteTempCheckpointLocation": "true",
 }
 

@@ -67,12 +67,22 @@ def apply_changes(spark: SparkSession, stream: DataFrame, root: str, keys: Seque
     src = stream.select(*keep)
 
     def batch_fn(batch_df: DataFrame, batch_id: int) -> None:
-        state = spark.read.parquet(state_path) if fs.exists(spark, state_path) else None
+        # State counts once a write of it committed (_SUCCESS); a crashed
+        # first write is simply redone by the replayed batch.
+        has_state = fs.exists(spark, f"{state_path}/_SUCCESS")
+        state = spark.read.parquet(state_path) if has_state else None
         merged = merge_changes(state, batch_df, keys, sequence_by, delete_when, buckets)
-        staged = f"{root.rstrip('/')}/_staging/batch={batch_id}"
-        merged.write.mode("overwrite").parquet(staged)
+        if state is None:
+            # First state: a plain overwrite, which commits the _SUCCESS marker.
+            (merged.hint("rebalance", BUCKET).write.mode("overwrite")
+             .option("partitionOverwriteMode", "static").partitionBy(BUCKET).parquet(state_path))
+            return
+        # The new bucket contents read the old state: stage them first, then
+        # swap only the touched buckets in (dynamic partition overwrite).
         # REBALANCE on the bucket: about one writer per bucket directory (few
         # files), while AQE still splits a bucket that grew too large.
+        staged = f"{root.rstrip('/')}/_staging/batch={batch_id}"
+        merged.write.mode("overwrite").parquet(staged)
         (spark.read.parquet(staged).hint("rebalance", BUCKET).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(state_path))
 

@@ -65,6 +65,7 @@ class FlowGraph:
         self.spark, self.root, self.name, self.user = spark, root.rstrip("/"), name, user
         self.datasets: dict[str, Dataset] = {}
         self._views: dict[str, DataFrame] = {}
+        self._schemas: dict = {}      # sink schema of each materialised streaming table
 
     # ---- declaration ----------------------------------------------------
     def _add(self, ds: Dataset) -> None:
@@ -125,7 +126,7 @@ class FlowGraph:
             return v
         if ds.kind != "streaming":
             raise FlowError(f"{name} is a live table; read it with read()")
-        schema = self.spark.read.parquet(self.path(name)).schema
+        schema = self._schemas.get(name) or self.spark.read.parquet(self.path(name)).schema
         return self.spark.readStream.schema(schema).parquet(self.path(name))
 
     # ---- execution --------------------------------------------------------
@@ -204,6 +205,7 @@ class FlowGraph:
                          F.count_if(~r.passed).alias(f"{r.name}_failed")]
             out = out.observe(obs_name, *aggs)
         out = quality.apply(out, rules)
+        self._schemas[ds.name] = out.schema
         if ds.output_mode == "complete":
             path = self.path(ds.name)
             q = ingest.run_foreach_batch(out, lambda b, i: b.write.mode("overwrite").parquet(path), ckpt,
