@@ -75,6 +75,15 @@ def apply(df: DataFrame, rules: Sequence[Rule], observation: Observation | None
     return out
 
 
+def expect(df: DataFrame, rules: Sequence[Rule], name: str = "expectations") -> tuple[DataFrame, Observation]:
+    """``expect(df, rules) -> (df', metrics)``: apply rules; counts arrive with the first action.
+
+    ``observed_metrics(obs, rules)`` turns the observation into one dict per rule.
+    """
+    obs = Observation(name)
+    return apply(df, rules, obs), obs
+
+
 def metrics(df: DataFrame, rules: Sequence[Rule], dataset: str | None = None) -> DataFrame:
     """Per-rule pass/fail counts as a DataFrame (one aggregation pass).
 

@@ -100,6 +100,12 @@ def commit(spark: SparkSession, root: str, df: DataFrame | None, operation: str,
     return version
 
 
+def snapshot_write(spark: SparkSession, df: DataFrame, root: str, operation: str = "WRITE",
+                   parameters: Mapping | None = None) -> int:
+    """Write ``df`` as the next version of the table at ``root`` (see ``commit``)."""
+    return commit(spark, root, df, operation, parameters)
+
+
 def version_as_of(spark: SparkSession, root: str, timestamp: dt.datetime | str) -> int:
     """Newest version committed at or before ``timestamp``."""
     ts = F.lit(timestamp).cast("timestamp_ntz")

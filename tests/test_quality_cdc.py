@@ -72,3 +72,10 @@ def test_rescued_data_and_hints(spark):
     assert got == [(-1, '{"a":"oops","c":"3"}'), (1, None)]
     hinted = ingest.apply_hints(ingest.infer_schema(spark, root, "json", infer_types=False), "a DOUBLE")
     assert dict((f.name, f.dataType.simpleString()) for f in hinted.fields)["a"] == "double"
+
+
+def test_expect_returns_metrics(spark):
+    df = spark.createDataFrame([(1,), (None,), (3,)], "v int")
+    kept, obs = quality.expect(df, [Rule("not_null", "v IS NOT NULL", "drop")])
+    assert kept.count() == 2
+    assert quality.observed_metrics(obs, [Rule("not_null", "v IS NOT NULL", "drop")])[0]["failed_records"] == 1
