@@ -209,16 +209,15 @@ def with_generated(df: DataFrame, name: str, expr: str | Column, data_type: str
 
 
 def constraint_violations(df: DataFrame, constraints: Mapping[str, str | Column]) -> DataFrame:
-    """Rows breaking any CHECK / NOT NULL constraint, with the constraint name.
+    """Rows breaking any CHECK / NOT NULL constraint, one row per broken constraint.
 
-    A NULL check result passes (SQL CHECK semantics); NOT NULL is written
-    as ``col IS NOT NULL``.
+    A NULL check result passes (SQL CHECK semantics); NOT NULL is written as
+    ``col IS NOT NULL``.  One pass over ``df``: each row carries the array of
+    constraint names it breaks, which is exploded.
     """
-    parts = []
-    for name, c in constraints.items():
-        bad = df.where(~F.coalesce(_expr(c), F.lit(True))).withColumn("constraint", F.lit(name))
-        parts.append(bad)
-    return reduce(DataFrame.unionByName, parts)
+    broken = F.array(*[F.when(~F.coalesce(_expr(c), F.lit(True)), F.lit(name))
+                       for name, c in constraints.items()])
+    return (df.withColumn("constraint", F.explode(F.filter(broken, lambda x: x.isNotNull()))))
 
 
 def enforce_constraints(df: DataFrame, constraints: Mapping[str, str | Column]) -> DataFrame:

@@ -87,19 +87,20 @@ def expect(df: DataFrame, rules: Sequence[Rule], name: str = "expectations") ->
 def metrics(df: DataFrame, rules: Sequence[Rule], dataset: str | None = None) -> DataFrame:
     """Per-rule pass/fail counts as a DataFrame (one aggregation pass).
 
-    Columns: dataset, name, action, passed_records, failed_records.
+    Columns: dataset, name, action, passed_records, failed_records.  All
+    rules are counted in a single aggregate row, which is then turned into
+    one row per rule (explode of an array of structs), so the data is read
+    once whatever the number of rules.
     """
     aggs = []
     for i, r in enumerate(rules):
         aggs += [F.count_if(r.passed).alias(f"p{i}"), F.count_if(~r.passed).alias(f"f{i}")]
-    row = df.agg(*aggs)
-    pieces = []
-    for i, r in enumerate(rules):
-        pieces.append(row.select(F.lit(dataset).cast("string").alias("dataset"), F.lit(r.name).alias("name"),
-                                 F.lit(r.action).alias("action"),
-                                 F.col(f"p{i}").alias("passed_records"),
-                                 F.col(f"f{i}").alias("failed_records")))
-    return reduce(DataFrame.unionByName, pieces)
+    per_rule = F.array(*[
+        F.struct(F.lit(dataset).cast("string").alias("dataset"), F.lit(r.name).alias("name"),
+                 F.lit(r.action).alias("action"), F.col(f"p{i}").alias("passed_records"),
+                 F.col(f"f{i}").alias("failed_records"))
+        for i, r in enumerate(rules)])
+    return df.agg(*aggs).select(F.explode(per_rule).alias("m")).select("m.*")
 
 
 def observed_metrics(observation: Observation, rules: Sequence[Rule], dataset: str | None = None) -> list[dict]:

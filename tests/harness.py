@@ -8,6 +8,10 @@ from __future__ import annotations
 
 import datetime as dt
 import math
+import os
+
+# QUARRY_EXACT_FLOATS=1 compares doubles bit for bit (no rounding).
+EXACT = os.environ.get("QUARRY_EXACT_FLOATS") == "1"
 
 import duckdb
 from pyspark.sql import Row
@@ -35,7 +39,7 @@ def norm(v, sort_lists=False):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        r = round(v, 6)
+        r = v if EXACT else round(v, 6)
         return 0.0 if r == 0 else r
     if isinstance(v, (bytes, bytearray, memoryview)):
         return bytes(v)
