@@ -30,8 +30,8 @@ SUPPLIER_ROWS_SQL = """supplier_rows AS (
 
 UPDATES_SQL = """updates AS (
   SELECT c_custkey AS id, c_name AS name, c_acctbal * 2 AS value, c_mktsegment AS segment, c_nationkey AS nation,
-         CASE c_custkey % 7 WHEN 0 THEN 'update' WHEN 3 THEN 'delete' ELSE 'insert' END AS type
-  FROM customer WHERE c_custkey % 7 IN (0, 3, 5)
+         CASE c_custkey % 7 WHEN 0 THEN 'update' WHEN 3 THEN 'delete' WHEN 5 THEN 'insert' ELSE 'skip' END AS type
+  FROM customer
   UNION ALL
   SELECT s_suppkey + 2000000, s_name, s_acctbal, 'SUPPLIER', s_nationkey, 'insert' FROM supplier)"""
 
@@ -51,10 +51,15 @@ def supplier_rows(spark: SparkSession, d: str, offset: int = 1000000) -> DataFra
 
 
 def updates(spark: SparkSession, d: str) -> DataFrame:
-    """Change rows: every 7th customer updated, others deleted or re-inserted, new suppliers."""
-    c = table(spark, d, "customer").where((F.col("c_custkey") % 7).isin(0, 3, 5))
+    """A change row for every customer (update / delete / insert / skip) plus new suppliers.
+
+    'skip' rows match their target row but satisfy no clause, so they leave it
+    untouched, as a change feed row without an applicable action does.
+    """
+    c = table(spark, d, "customer")
     kind = (F.when(F.col("c_custkey") % 7 == 0, "update")
-             .when(F.col("c_custkey") % 7 == 3, "delete").otherwise("insert"))
+             .when(F.col("c_custkey") % 7 == 3, "delete")
+             .when(F.col("c_custkey") % 7 == 5, "insert").otherwise("skip"))
     cust = c.select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"),
                     (F.col("c_acctbal") * 2).alias("value"), F.col("c_mktsegment").alias("segment"),
                     F.col("c_nationkey").alias("nation"), kind.alias("type"))
