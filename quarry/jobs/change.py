@@ -250,7 +250,7 @@ def lifecycle(spark: SparkSession, d: str) -> dict:
     versions.commit(spark, root, C.delete(read(2), "value < 0"), "DELETE", {"predicate": "value < 0"})
     versions.commit(spark, root, C.merge(read(3), updates(spark, d), ["id"], STUDENT_CLAUSES), "MERGE",
                     {"predicate": "t.id = s.id"})
-    layout.compact(spark, root, 4, target_file_bytes=64 * 1024)
+    layout.compact(spark, root, 4)
     versions.restore(spark, root, 2)
     _LIFECYCLES[key] = {"root": root}
     return _LIFECYCLES[key]
@@ -303,10 +303,10 @@ def chg17(spark, d):
 
 @register("chg18_zorder", "SELECT * FROM accounts", ctes=ACCOUNTS_SQL)
 def chg18(spark, d):
-    """Z-order by (value, nation): same rows, clustered file layout."""
+    """Z-order by (value, nation): same rows, clustered file layout (~128 MB files)."""
     root = scratch_dir(spark, "zorder")
     versions.commit(spark, root, accounts(spark, d), "CREATE TABLE AS SELECT")
-    v = layout.zorder(spark, root, ["value", "nation"], num_files=4)
+    v = layout.zorder(spark, root, ["value", "nation"])
     return versions.snapshot_read(spark, root, v)
 
 

@@ -20,7 +20,7 @@ from quarry.operators import versions
 from quarry.session import scratch_dir
 from quarry.sources import files
 from quarry.sources import fixtures as fx
-from quarry.sources.tables import table
+from quarry.sources.tables import files_for, table
 from quarry.streaming import ingest
 
 USERS_SCHEMA = StructType([
@@ -52,8 +52,9 @@ def users_csv(spark: SparkSession, d: str) -> str:
     """users as tab-separated CSV with a header (4 files)."""
     def build():
         p = scratch_dir(spark, "users-csv")
-        (fx.users(spark, d).repartition(4).write.options(**_TS).option("sep", "\t").option("header", True)
-         .csv(p))
+        n = files_for(spark, d, "customer", minimum=4)
+        (fx.users(spark, d).repartition(n).write.options(**_TS)
+         .option("sep", "\t").option("header", True).csv(p))
         return p
     return _land(spark, d, "users_csv", build)
 
@@ -71,7 +72,7 @@ def users_by_segment_json(spark: SparkSession, d: str) -> str:
 def events_json(spark: SparkSession, d: str) -> str:
     def build():
         p = scratch_dir(spark, "events-json")
-        fx.events_nested(spark, d).repartition(4).write.json(p)
+        fx.events_nested(spark, d).repartition(files_for(spark, d, "events", minimum=4)).write.json(p)
         return p
     return _land(spark, d, "events_json", build)
 
@@ -80,7 +81,7 @@ def events_raw_json(spark: SparkSession, d: str) -> str:
     """The message envelope as JSON (binary columns become base64 text)."""
     def build():
         p = scratch_dir(spark, "events-raw-json")
-        fx.events_raw(spark, d).repartition(4).write.json(p)
+        fx.events_raw(spark, d).repartition(files_for(spark, d, "events", minimum=4)).write.json(p)
         return p
     return _land(spark, d, "events_raw_json", build)
 
@@ -356,7 +357,7 @@ def src32(spark, d):
         p = scratch_dir(spark, "status-extra")
         extra = fx.status_feed(spark, d).withColumn(
             "note", F.when(F.col("order_id") % 5 == 0, F.lit("late")))
-        ingest.land_files(extra, p, "json", n_files=4, order_by="order_id")
+        ingest.land_files(extra, p, "json", n_files=files_for(spark, d, "orders", minimum=4), order_by="order_id")
         return p
     path = _land(spark, d, "status_extra", build)
     s = ingest.cloud_files(spark, path, "json",

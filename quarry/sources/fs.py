@@ -56,3 +56,9 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         fs.delete(p, False)
     if not fs.rename(tmp, p):
         raise OSError(f"could not rename {tmp} to {path}")
+
+
+def path_bytes(spark: SparkSession, path: str) -> int:
+    """Total bytes of a file or of everything under a directory (a metadata call)."""
+    fs, p = _fs_path(spark, path)
+    return int(fs.getContentSummary(p).getLength()) if fs.exists(p) else 0

@@ -76,3 +76,20 @@ def register_views(spark: SparkSession, sf_dir: str) -> None:
     """Expose every base table as a temp view of the same name."""
     for name in TABLES:
         table(spark, sf_dir, name).createOrReplaceTempView(name)
+
+
+def table_bytes(spark: SparkSession, sf_dir: str, *names: str) -> int:
+    """On-disk size of base tables (file-system metadata, nothing is read)."""
+    from quarry.sources import fs
+    return sum(fs.path_bytes(spark, f"{sf_dir.rstrip('/')}/{n}.parquet") for n in names)
+
+
+def files_for(spark: SparkSession, sf_dir: str, *names: str, minimum: int = 1,
+              target_bytes: int = 128 * 1024 * 1024) -> int:
+    """Output files / partitions for data derived from ``names``: ~target_bytes each.
+
+    Keeps writers proportional to the data: a handful at test scale, tens of
+    thousands at 100 TB (never a fixed small count that funnels everything
+    through a few tasks).
+    """
+    return max(minimum, -(-table_bytes(spark, sf_dir, *names) // target_bytes))
