@@ -122,9 +122,16 @@ def cpx12(spark, d):
 
 @register("cpx13_schema_of_json")
 def cpx13(spark, d):
-    """Schema inferred from one sample JSON value (a DDL string)."""
+    """Infer a schema from one sampled JSON value of the data, parse every row with it.
+
+    Rows-only: the DDL text is Spark's spelling.  Returns the DDL next to the
+    number of rows parsed and of values found.
+    """
     e = table(spark, d, "events")
-    return e.select(F.schema_of_json(F.lit('{"k": 87}')).alias("ddl")).limit(1)
+    ddl = shape.infer_json_schema(e, "props")
+    parsed = e.select(F.from_json("props", ddl).alias("j"))
+    return parsed.agg(F.lit(ddl).alias("ddl"), F.count(F.lit(1)).alias("rows"),
+                      F.count("j.k").alias("values_found"))
 
 
 @register("cpx14_from_json_struct", """
