@@ -64,3 +64,30 @@ def two_phase_sum(df: DataFrame, key: str, value: str, seed_col: str, buckets: i
     salted = (df.withColumn("__salt", salted_key(key, seed_col, buckets))
                 .groupBy(key, "__salt").agg(F.sum(value).alias("__part")))
     return salted.groupBy(key).agg(F.sum("__part").alias(f"sum_{value}"))
+
+
+def scale_conf(input_bytes: int, executor_memory_bytes: int = 16 * 1024 ** 3, executor_cores: int = 4,
+               total_cores: int | None = None) -> dict[str, str]:
+    """Spill-aware settings for a job reading ``input_bytes``.
+
+    * each task gets ``executor_memory / cores``; a shuffle partition is sized
+      to a quarter of that (room for sort buffers and hash maps), capped at
+      256 MB and AQE's advisory size is set to the same value;
+    * ``spark.sql.shuffle.partitions`` = input / partition size (AQE then
+      coalesces small ones), and at least two waves of the cluster's cores;
+    * ``spark.sql.files.maxPartitionBytes`` follows the same per-task budget.
+
+    Pass the result as ``build_session(extra=scale_conf(...))``.
+    """
+    per_task = executor_memory_bytes // max(1, executor_cores)
+    part = max(32 * 1024 ** 2, min(256 * 1024 ** 2, per_task // 4))
+    n = math.ceil(input_bytes / part)
+    if total_cores:
+        n = max(n, 2 * total_cores)
+    return {
+        "spark.sql.shuffle.partitions": str(max(8, n)),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(part),
+        "spark.sql.files.maxPartitionBytes": str(part),
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+    }
