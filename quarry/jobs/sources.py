@@ -157,7 +157,7 @@ def src10(spark, d):
 
 
 @register("src11_nested_schema", """
-SELECT event_id, geo.city AS city, ecommerce.purchase_revenue_in_usd AS revenue, len(items) AS n_items,
+SELECT event_id, geo.city AS city, ecommerce.purchase_revenue_in_usd AS revenue, CAST(len(items) AS INTEGER) AS n_items,
        items[1].item_id AS first_item FROM events_nested""")
 def src11(spark, d):
     df = files.read_json(spark, events_json(spark, d), EVENTS_SCHEMA)

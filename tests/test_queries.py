@@ -7,6 +7,7 @@ still run and return a stable schema.
 import pytest
 
 import __spark_entry__ as entry
+from check_types import SPARK_TO_DUCK
 from harness import compare
 
 QUERIES = entry.queries()
@@ -19,6 +20,10 @@ def test_query(spark, con, sf_dir, name):
     if name in ORACLE:
         ok, msg = compare(df, con, ORACLE[name])
         assert ok, msg
+        rel = con.sql(ORACLE[name])
+        duck_types = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+        spark_types = {c: SPARK_TO_DUCK.get(t, t) for c, t in df.dtypes}
+        assert spark_types == duck_types
     else:
         assert df.count() >= 0
         assert df.columns

@@ -84,3 +84,15 @@ def test_flow_orders_inputs_first_and_reads_once(spark):
     assert g.read("silver").count() == 5
     log = g.event_log()
     assert log.where("event_type = 'create_update'").count() == 2
+
+
+def test_copy_into_loads_each_file_once(spark):
+    from quarry.streaming import ingest
+    root = scratch_dir(spark, "t-copy")
+    src, target = f"{root}/src", f"{root}/target"
+    spark.range(0, 10).selectExpr("id", "id * 2 AS v").coalesce(2).write.json(src)
+    assert ingest.copy_into(spark, target, src, "id BIGINT, v BIGINT") == 10
+    assert ingest.copy_into(spark, target, src, "id BIGINT, v BIGINT") == 0
+    spark.range(10, 15).selectExpr("id", "id * 2 AS v").coalesce(1).write.mode("append").json(src)
+    assert ingest.copy_into(spark, target, src, "id BIGINT, v BIGINT") == 5
+    assert spark.read.parquet(target).count() == 15
