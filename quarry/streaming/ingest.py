@@ -45,23 +45,35 @@ def land_files(df: DataFrame, path: str, fmt: str = "json", n_files: int = 8,
     return path
 
 
-def infer_schema(spark: SparkSession, path: str, fmt: str = "json", infer_types: bool = True,
-                 sampling_ratio: float = 1.0, options: Mapping[str, str] | None = None) -> StructType:
-    """Schema of the files already in ``path`` (a batch read, done once).
+def sample_files(spark: SparkSession, path: str, max_files: int) -> list[str]:
+    """The first ``max_files`` data files under ``path`` (by name; no hidden / marker files)."""
+    from quarry.sources import fs
+    names = sorted(n for n in fs.list_names(spark, path) if not n.startswith(("_", ".")))
+    return [f"{path.rstrip('/')}/{n}" for n in names[:max_files]]
+
 
-    With ``infer_types=False`` every field is STRING, as a stream without
+def infer_schema(spark: SparkSession, path: str, fmt: str = "json", infer_types: bool = True,
+                 sampling_ratio: float = 1.0, options: Mapping[str, str] | None = None,
+                 max_files: int = 32) -> StructType:
+    """Schema of a sample of the files already in ``path`` (a batch read, done once).
+
+    Only the first ``max_files`` files are read, so inference costs a bounded
+    read however large the landing directory is; values that a later file
+    carries in another type land in ``_rescued_data``.  With
+    ``infer_types=False`` every field is STRING, as a stream without
     column-type inference reads it.
     """
+    sample = sample_files(spark, path, max_files) or [path]
     r = spark.read.options(**(options or {}))
     if fmt == "json":
         r = r.option("samplingRatio", sampling_ratio)
         if not infer_types:
             r = r.option("primitivesAsString", True)
-        return r.json(path).schema
+        return r.json(sample).schema
     if fmt == "csv":
         r = r.option("header", (options or {}).get("header", True)).option("inferSchema", infer_types)
-        return r.csv(path).schema
-    return r.format(fmt).load(path).schema
+        return r.csv(sample).schema
+    return r.format(fmt).load(sample).schema
 
 
 def apply_hints(schema: StructType, hints: str | Mapping[str, str | DataType]) -> StructType:
