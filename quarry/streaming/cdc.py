@@ -8,8 +8,10 @@ Each micro-batch (``foreachBatch``):
 2. reduces the batch to the newest change per key
    (``max(struct(seq, is_delete, ...))`` - a partial aggregate, so a key with a
    third of all changes is pre-combined in every task);
-3. reads only the state buckets the batch touches (semi-join on the bucket,
-   partition pruning), merges them with the batch the same way;
+3. reads only the state buckets the batch touches: the touched bucket ids
+   (at most ``buckets`` integers) filter the state's partition column, so
+   the scan prunes every other bucket directory; merges them with the batch
+   the same way;
 4. stages the new bucket contents, then swaps them in with a dynamic
    partition overwrite.
 
@@ -52,7 +54,8 @@ def merge_changes(state: DataFrame | None, changes: DataFrame, keys: Sequence[st
                   .withColumn(BUCKET, F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")))
     batch = _latest(batch, keys, sequence_by)
     if state is not None:
-        touched = state.join(batch.select(BUCKET).distinct(), BUCKET, "left_semi")
+        ids = [r[0] for r in batch.select(BUCKET).distinct().collect()]   # <= buckets small ints
+        touched = state.where(F.col(BUCKET).isin(ids))
         batch = _latest(touched.unionByName(batch, allowMissingColumns=True), keys, sequence_by)
     return batch
 
@@ -67,6 +70,13 @@ def apply_changes(spark: SparkSession, stream: DataFrame, root: str, keys: Seque
     src = stream.select(*keep)
 
     def batch_fn(batch_df: DataFrame, batch_id: int) -> None:
+        batch_df.persist()          # used twice: touched buckets, then the merge
+        try:
+            _apply_batch(batch_df, batch_id)
+        finally:
+            batch_df.unpersist()
+
+    def _apply_batch(batch_df: DataFrame, batch_id: int) -> None:
         # State counts once a write of it committed (_SUCCESS); a crashed
         # first write is simply redone by the replayed batch.
         has_state = fs.exists(spark, f"{state_path}/_SUCCESS")
