@@ -79,3 +79,17 @@ def test_expect_returns_metrics(spark):
     kept, obs = quality.expect(df, [Rule("not_null", "v IS NOT NULL", "drop")])
     assert kept.count() == 2
     assert quality.observed_metrics(obs, [Rule("not_null", "v IS NOT NULL", "drop")])[0]["failed_records"] == 1
+
+
+def test_cdc_reads_only_touched_buckets(spark):
+    import re
+    from quarry.plans import inspect
+    root = scratch_dir(spark, "t-prune")
+    ch = spark.createDataFrame([(i, f"n{i}", "UPDATE", i) for i in range(500)],
+                               "id int, name string, operation string, seq int")
+    cdc.merge_changes(None, ch, ["id"], "seq", "operation = 'DELETE'", 32).write.partitionBy("__bucket").parquet(root)
+    batch = _feed(spark, [(5, "x", "UPDATE", 999)])
+    merged = cdc.merge_changes(spark.read.parquet(root), batch, ["id"], "seq", "operation = 'DELETE'", 32)
+    filters = re.findall(r"PartitionFilters: \[(.*?)\]", inspect.plan_text(merged, "formatted"))
+    assert any(re.search(r"__bucket#\d+ = \d+", f) for f in filters), filters
+    assert {r["name"] for r in merged.collect()} == {"x"}
