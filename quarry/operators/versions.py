@@ -146,6 +146,8 @@ def snapshot_read(spark: SparkSession, root: str, version: int | None = None,
         if version is None:
             raise VersionNotFound(f"{root} has no versions")
     data_root, data_version = _resolve_source(spark, root, version)
+    if not fs.exists(spark, snapshot_path(data_root, data_version)):
+        raise VersionNotFound(f"{root} version {version}: files are gone (vacuumed)")
     try:
         return spark.read.parquet(snapshot_path(data_root, data_version))
     except AnalysisException as e:
