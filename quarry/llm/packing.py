@@ -25,6 +25,8 @@ own; an empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import re
+from array import array
 from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass, field
 
@@ -134,27 +136,66 @@ def plan(totals: Mapping[str, int], window: int, weights: Mapping[str, int] | No
 
 # --- tokens -------------------------------------------------------------------
 
-def word_encoder(model: bytes, most: int = 200_000) -> Callable[[list[str]], list[bytes]]:
+#: Words whose parts are plain to see: Latin-1 letters, digits and ASCII marks but for the apostrophe.
+_PLAIN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ0-9!-&(-/:-@\[-`{-~]*")
+_PLAIN_TEXT = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ0-9!-&(-/:-@\[-`{-~ \t\n]*")
+_PARTS = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9 \t\n]+")
+
+
+def byte_letters() -> dict[int, str]:
+    """The characters that a byte-level vocabulary writes for bytes: printable ones as they are, the others from 256 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
+def word_encoder(model: bytes, most: int = 300_000) -> Callable[[list[str]], list[bytes]]:
     """Encode texts with a tokenizer that drops white space, each distinct word once.
 
     Such a tokenizer never joins what a space, tab or line end parts, so a
-    text's ids are those of its words in turn.  Known words are kept (at most
-    ``most``); ids are little-endian unsigned 32-bit.
+    text's ids are those of its words in turn.  A plain text or word goes to the
+    tokenizer's model part by part (runs of letters, single digits, runs of
+    marks, as its pre-tokenizer parts them); any other goes through the whole
+    tokenizer.  Known words are kept (at most ``most``); ids are little-endian
+    unsigned 32-bit.
     """
     from tokenizers import Tokenizer
     t = Tokenizer.from_str(model.decode())
+    letters, bpe = byte_letters(), t.model
     memo: dict[str, bytes] = {}
+    known: dict[str, bytes] = {}
+
+    def learn(parts: list[str]) -> None:
+        for x in parts:
+            if x not in known:
+                seen = x if x.isascii() else "".join([letters[b] for b in x.encode()])
+                known[x] = array("I", [k.id for k in bpe.tokenize(seen)]).tobytes()
+
+    def plain(text: str) -> bytes:
+        parts = _PARTS.findall(text.lower())
+        try:
+            return b"".join([known[x] for x in parts])
+        except KeyError:
+            learn(parts)
+            return b"".join([known[x] for x in parts])
+
+    def mixed(text: str) -> bytes:
+        words = text.replace("\n", " ").replace("\t", " ").split(" ")
+        odd = []
+        for w in {w for w in words if w not in memo}:
+            if _PLAIN.fullmatch(w) and "<|" not in w:
+                memo[w] = plain(w)
+            else:
+                odd.append(w)
+        for w, e in zip(odd, t.encode_batch_fast(odd, add_special_tokens=False)):
+            memo[w] = np.array(e.ids, "<u4").tobytes()
+        return b"".join([memo[w] for w in words])
 
     def encode(texts: list[str]) -> list[bytes]:
-        words = [x.replace("\n", " ").replace("\t", " ").split(" ") for x in texts]
-        if len(memo) > most:
-            memo.clear()
-        new = list({w for ws in words for w in ws if w not in memo})
-        for k in range(0, len(new), 8192):
-            part = new[k:k + 8192]
-            for w, e in zip(part, t.encode_batch_fast(part, add_special_tokens=False)):
-                memo[w] = np.array(e.ids, "<u4").tobytes()
-        return [b"".join([memo[w] for w in ws]) for ws in words]
+        for d in (memo, known):
+            if len(d) > most:
+                d.clear()
+        return [plain(x) if _PLAIN_TEXT.fullmatch(x) and "<|" not in x else mixed(x) for x in texts]
 
     return encode
 

@@ -156,7 +156,7 @@ def test_word_encoder_equals_the_tokenizer(all_docs):
     from tokenizers import Tokenizer
     model = open(f"{TOKENIZERS}/word_bpe_49k.json", "rb").read()
     t, encode = Tokenizer.from_str(model.decode()), packing.word_encoder(model)
-    odd = ["it's we'LL", "a\u00a0b\u2003c", "e\u0301 \u0301x", "<|endoftext|> <|end oftext|>", "\x1c\x85a", "ẞ İ ﬁ", "12,345", "", "  ", "日本 語", "a\r\nb\x0bc\x0cd"]
+    odd = ["it's we'LL", "a\u00a0b\u2003c", "e\u0301 \u0301x", "<|endoftext|> <|end oftext|>", "\x1c\x85a", "ẞ İ ﬁ", "12,345", "", "  ", "日本 語", "ÀÉß÷×µªº ÿŸ", "don't x'S |> <|x|> <| a<b|c ~`^_\\", "".join(map(chr, range(1, 700))), "a\r\nb\x0bc\x0cd"]
     for text in odd + [x or "" for _, x, _ in all_docs]:
         assert encode([text])[0] == np.array(t.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), text[:80]
 
