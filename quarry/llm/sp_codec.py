@@ -29,6 +29,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from quarry.llm.common import file_bytes
@@ -196,19 +197,28 @@ def viterbi(words: list[str], p: Pieces) -> list[list[int]]:
             better = (score >= best[j, row]) & (score > -np.inf)
             row, at, score = row[better], at[better], score[better]
             best[j, row], back[j, row], which[j, row] = score, size, p.ids[size][at]
+    # walk all words back together; a word that has arrived stays at 0 and writes -2
+    row, at, steps = np.arange(n), np.full(n, length), []
+    while at.any():
+        steps.append(np.where(at > 0, which[at, row], -2))
+        at = np.where(at > 0, at - back[at, row], 0)
     out = []
-    for k, word in enumerate(words):
-        ids, j = [], length
-        while j:
-            i, size = int(which[j, k]), int(back[j, k])
-            if i < 0:
-                ids += [p.byte_ids[x] for x in reversed(word[j - 1].encode())]
-            elif p.text[i] != word[j - size:j]:
-                raise ValueError(f"two substrings of one hash: {p.text[i]!r}, {word[j - size:j]!r}")
-            else:
-                ids.append(i)
-            j -= size
-        out.append(ids[::-1])
+    for word, ids in zip(words, np.stack(steps[::-1], axis=1).tolist()):
+        ids = [i for i in ids if i != -2]
+        if -1 in ids:
+            ids = with_bytes(word, ids, p)
+        elif "".join([p.text[i] for i in ids]) != word:
+            raise ValueError(f"two substrings of one hash in {word!r}")
+        out.append(ids)
+    return out
+
+
+def with_bytes(word: str, ids: list[int], p: Pieces) -> list[int]:
+    """The ids of a word with the byte pieces of its unknown characters (-1)."""
+    out, at = [], 0
+    for i in ids:
+        out += [p.byte_ids[x] for x in word[at].encode()] if i < 0 else [i]
+        at += 1 if i < 0 else len(p.text[i])
     return out
 
 
@@ -260,6 +270,17 @@ def decode(ids: np.ndarray, p: Pieces) -> str:
     return raw.decode(errors="replace").replace(SPACE, " ")[1:]
 
 
+def slices(batch: pa.RecordBatch, column: str, rows: int = 2048, chars: int = 1 << 23) -> Iterator[pa.RecordBatch]:
+    """A batch in slices of at most ``rows`` rows and, but for a single row, about ``chars`` bytes of text."""
+    size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < batch.num_rows:
+        end = int(np.searchsorted(size, (size[at - 1] if at else 0) + chars, side="right"))
+        end = min(max(end, at + 1), at + rows)
+        yield batch.slice(at, end - at)
+        at = end
+
+
 def encode(docs: DataFrame, model_path: str, column: str = "text", out: str = "ids", kind: str = "bpe") -> DataFrame:
     """``docs`` with ``out``, the ids of ``column`` (null for a null text); ``kind`` is the model's type."""
     sent = docs.sparkSession.sparkContext.broadcast(pickle.dumps(vars(pieces(file_bytes(model_path), kind))))
@@ -267,8 +288,7 @@ def encode(docs: DataFrame, model_path: str, column: str = "text", out: str = "i
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         run = Encoder(Pieces(**pickle.loads(sent.value)))
         for b in batches:
-            for k in range(0, b.num_rows, 256):
-                part = b.slice(k, 256)
+            for part in slices(b, column):
                 texts = part.column(column).to_pylist()
                 ids = run([t or "" for t in texts])
                 col = pa.array([None if t is None else x for t, x in zip(texts, ids)], pa.list_(pa.int32()))
