@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from quarry.jobs.oracle import sround
 from quarry.jobs.registry import register
+from quarry.operators import shape
 from quarry.sources import fixtures as fx
 from quarry.sources.tables import table
 
@@ -161,7 +162,7 @@ GROUP BY order_id, email""")
 def agg14(spark, d):
     from quarry.jobs.joins import item_purchases
     ip = item_purchases(spark, d)
-    return ip.groupBy("order_id", "email").pivot("item_type", ITEM_TYPES).sum("quantity")
+    return shape.pivot_sum(ip, ["order_id", "email"], "item_type", ITEM_TYPES, "quantity")
 
 
 @register("agg15_pivot_count", """
@@ -169,7 +170,7 @@ SELECT user_id,
 """ + ",\n".join(f"  nullif(count(*) FILTER (WHERE event_name = '{n}'), 0) AS {n}" for n in EVENT_NAMES) + """
 FROM events_nested GROUP BY user_id""")
 def agg15(spark, d):
-    return fx.events_nested(spark, d).groupBy("user_id").pivot("event_name", EVENT_NAMES).count()
+    return shape.pivot_count(fx.events_nested(spark, d), ["user_id"], "event_name", EVENT_NAMES)
 
 
 @register("agg16_pivot_discovered_values", """
@@ -185,8 +186,8 @@ def agg16(spark, d):
 
 
 @register("agg17_global_aggregate_cast", """
-SELECT CAST(sum(total_item_quantity) AS INTEGER) AS total_quantity, CAST(count(*) AS INTEGER) AS orders
+SELECT CAST(sum(total_item_quantity) AS BIGINT) AS total_quantity, count(*) AS orders
 FROM sales""")
 def agg17(spark, d):
-    return fx.sales(spark, d).agg(F.sum("total_item_quantity").cast("int").alias("total_quantity"),
-                                  F.count(F.lit(1)).cast("int").alias("orders"))
+    return fx.sales(spark, d).agg(F.sum("total_item_quantity").cast("bigint").alias("total_quantity"),
+                                  F.count(F.lit(1)).alias("orders"))

@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, DateType, StringType, TimestampNTZType, TimestampType
 
 from quarry.operators import versions
 
@@ -38,25 +39,32 @@ def compact(spark: SparkSession, root: str, version: int | None = None,
                            {"files_before": n_before, "files_after": n_after, "bytes": total})
 
 
-def with_z_value(df: DataFrame, columns: Sequence[str], bits: int = 8, rel_error: float = 0.001,
-                 out: str = "__z") -> DataFrame:
-    """Add a bit-interleaved Morton key over quantile ranks of numeric ``columns``.
+def sort_rank(df: DataFrame, column: str):
+    """A number in the order of a column: itself, its time, or the first six bytes of its text."""
+    kind, c = df.schema[column].dataType, F.col(column)
+    if isinstance(kind, (TimestampType, TimestampNTZType, DateType)):
+        return F.unix_micros(c.cast("timestamp")).cast("double")
+    if isinstance(kind, (StringType, BinaryType)):
+        return F.conv(F.rpad(F.hex(F.substring(c.cast("binary"), 1, 6)), 12, "0"), 16, 10).cast("double")
+    return c.cast("double")
 
-    Quantile boundaries come from ``approxQuantile`` (one pass, bounded
-    result: 2**bits - 1 numbers per column).  Each value's rank is found by
-    the JVM ``Bucketizer`` (a binary search over the boundaries), then the
-    rank bits are interleaved with shifts and masks.  No Python per row and
-    no global window.
+
+def with_z_value(df: DataFrame, columns: Sequence[str], bits: int, out: str = "__z") -> DataFrame:
+    """Add a bit-interleaved Morton key over quantile ranks of ``columns``.
+
+    Quantile boundaries come from ``approxQuantile`` (one pass; 2**bits - 1
+    numbers per column).  Each value's rank is found by the JVM ``Bucketizer``
+    (a binary search over the boundaries), then the rank bits are interleaved
+    with shifts and masks.  No Python per row and no global window.
     """
     from pyspark.ml.feature import Bucketizer
 
     n = 2 ** bits
-    probs = [i / n for i in range(1, n)]
-    bounds = df.approxQuantile(list(columns), probs, rel_error)
     tmp_in = [f"__zin{i}" for i in range(len(columns))]
     tmp_out = [f"__zb{i}" for i in range(len(columns))]
-    staged = df.select("*", *[F.coalesce(F.col(c).cast("double"), F.lit(float("nan"))).alias(t)
+    staged = df.select("*", *[F.coalesce(sort_rank(df, c), F.lit(float("nan"))).alias(t)
                               for c, t in zip(columns, tmp_in)])
+    bounds = staged.approxQuantile(tmp_in, [i / n for i in range(1, n)], 1 / (4 * n))
     splits = [[float("-inf"), *sorted(set(b)), float("inf")] for b in bounds]
     ranked = Bucketizer(splitsArray=splits, inputCols=tmp_in, outputCols=tmp_out,
                         handleInvalid="keep").transform(staged)
@@ -70,17 +78,20 @@ def with_z_value(df: DataFrame, columns: Sequence[str], bits: int = 8, rel_error
 
 
 def zorder(spark: SparkSession, root: str, columns: Sequence[str], version: int | None = None,
-           num_files: int | None = None, bits: int = 8) -> int:
+           num_files: int | None = None) -> int:
     """OPTIMIZE .. ZORDER BY (columns): range-partition on the Morton key.
 
     Nearby values of all the columns land in the same files, so parquet
     row-group min/max statistics skip more files for filters on any of them.
+    The grid has about four cells a file, and a hash of the row is the second
+    range key, so a cell that holds many equal values is split as well.
     """
     if version is None:
         version = versions.latest_version(spark, root)
     df = versions.snapshot_read(spark, root, version)
     if num_files is None:
         num_files = compaction_plan(spark, root, version)[2]
-    out = (with_z_value(df, columns, bits).repartitionByRange(num_files, "__z")
-           .sortWithinPartitions("__z").drop("__z"))
+    bits = max(4, math.ceil((math.log2(num_files) + 2) / len(columns)))
+    out = (with_z_value(df, columns, bits).withColumn("__h", F.xxhash64(*df.columns))
+           .repartitionByRange(num_files, "__z", "__h").sortWithinPartitions("__z", "__h").drop("__z", "__h"))
     return versions.commit(spark, root, out, "OPTIMIZE", {"zOrderBy": list(columns), "files_after": num_files})

@@ -1,4 +1,4 @@
-"""Queries over the flow event log: audit, lineage, quality metrics, latest run.
+"""Queries over the flow event log: quality metrics and the latest run.
 
 The event log is a table with a JSON ``details`` text column; fields are
 reached with ``get_json_object`` and typed arrays with ``from_json``.
@@ -18,64 +18,13 @@ def latest_update_id(event_log: DataFrame) -> DataFrame:
             .agg(F.max_by(F.col("origin.update_id"), F.col("timestamp")).alias("update_id")))
 
 
-def audit(event_log: DataFrame) -> DataFrame:
-    """Who did what: timestamp, action, user name of every user_action event."""
-    d = F.col("details")
-    return (event_log.where(F.col("event_type") == "user_action")
-            .select("timestamp",
-                    F.get_json_object(d, "$.user_action.action").alias("action"),
-                    F.get_json_object(d, "$.user_action.user_name").alias("user_name")))
-
-
-def lineage(event_log: DataFrame, update_id: str | None = None) -> DataFrame:
-    """Direct predecessors of each dataset in one update (the latest when None)."""
-    log = event_log
+def expectation_metrics(event_log: DataFrame, update_id: str | None = None) -> DataFrame:
+    """Passing / failing records per dataset and expectation, summed over one update (the latest by default)."""
+    log = event_log.where(F.col("event_type") == "flow_progress")
     if update_id is None:
         log = log.join(latest_update_id(event_log), F.col("origin.update_id") == F.col("update_id"), "left_semi")
     else:
         log = log.where(F.col("origin.update_id") == update_id)
-    d = F.col("details")
-    return (log.where(F.col("event_type") == "flow_definition")
-            .select(F.get_json_object(d, "$.flow_definition.output_dataset").alias("output_dataset"),
-                    F.from_json(F.get_json_object(d, "$.flow_definition.input_datasets"), "array<string>")
-                    .alias("input_datasets")))
-
-
-def lineage_edges(event_log: DataFrame, update_id: str | None = None) -> DataFrame:
-    """(dataset, parent) pairs, one row per direct dependency."""
-    return (lineage(event_log, update_id)
-            .select(F.col("output_dataset").alias("dataset"), F.explode("input_datasets").alias("parent")))
-
-
-def transitive_lineage(edges: DataFrame, max_depth: int = 64) -> DataFrame:
-    """All ancestors of each dataset: the edge relation joined to a fixed point.
-
-    Each round adds one level via an equi-join (ancestor.parent = edge.dataset);
-    the loop stops when a round adds no new pair.  Lineage is cut with
-    ``checkpoint()`` (reliable, in the shared checkpoint folder) every round,
-    so the plan does not grow with the depth.
-    """
-    e = edges.select("dataset", "parent").distinct()
-    closure = e.withColumn("depth", F.lit(1))
-    known = closure.count()
-    for depth in range(2, max_depth + 1):
-        step = (closure.where(F.col("depth") == depth - 1).alias("c")
-                .join(e.alias("e"), F.col("c.parent") == F.col("e.dataset"))
-                .select(F.col("c.dataset"), F.col("e.parent"), F.lit(depth).alias("depth")))
-        fresh = step.join(closure, ["dataset", "parent"], "left_anti").dropDuplicates(["dataset", "parent"])
-        closure = closure.unionByName(fresh).checkpoint()
-        n = closure.count()
-        if n == known:
-            break
-        known = n
-    return closure.groupBy("dataset", "parent").agg(F.min("depth").alias("depth"))
-
-
-def expectation_metrics(event_log: DataFrame, update_id: str | None = None) -> DataFrame:
-    """Passing / failing records per dataset and expectation, summed over an update."""
-    log = event_log.where(F.col("event_type") == "flow_progress")
-    if update_id is not None:
-        log = log.where(F.col("origin.update_id") == update_id)
     exp = F.from_json(F.get_json_object("details", "$.flow_progress.data_quality.expectations"), EXPECTATIONS_TYPE)
     rows = log.select(F.explode(exp).alias("e"))
     return (rows.groupBy(F.col("e.dataset").alias("dataset"), F.col("e.name").alias("expectation"))

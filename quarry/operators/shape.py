@@ -30,14 +30,15 @@ def parse_json_value(raw: DataFrame, schema: StructType | str,
 
 
 def infer_json_schema(df: DataFrame, column: str = "value") -> str:
-    """DDL of the JSON in one sample value (``schema_of_json``), as text.
+    """DDL that fits every JSON value of a column: one distributed aggregate, the types merged.
 
-    Reads a single row; used once to fix a schema before the full parse.
+    Values that are no JSON are left out of the schema (and parse to NULL).
     """
-    sample = df.select(F.col(column).cast("string").alias("v")).where(F.col("v").isNotNull()).first()
-    if sample is None:
-        raise ValueError("no non-null JSON value to infer from")
-    return df.sparkSession.range(1).select(F.schema_of_json(F.lit(sample["v"]))).first()[0]
+    v = F.try_parse_json(F.col(column).cast("string"))
+    found = df.agg(F.schema_of_variant_agg(v).alias("s")).first()["s"]
+    if found is None or found == "VOID":
+        raise ValueError("no JSON value to infer from")
+    return found.replace("OBJECT<", "STRUCT<").replace("VOID", "STRING")
 
 
 def explode_items(df: DataFrame, column: str = "items", alias: str = "item") -> DataFrame:
@@ -48,23 +49,30 @@ def explode_items(df: DataFrame, column: str = "items", alias: str = "item") ->
 def event_and_cart_history(events: DataFrame, key: str = "user_id") -> DataFrame:
     """Per user: distinct event names and distinct cart item ids.
 
-    ``collect_set`` de-duplicates inside the partial aggregate, so the shuffle
-    carries at most one copy of each (user, value) per task; the result size
-    is bounded by the distinct-value domain, not the row count.
+    (user, kind, value) triples are made distinct first, across all tasks, so
+    a user's list holds each value once and no array of arrays is gathered.
     """
-    return (events.groupBy(key)
-            .agg(F.array_join(F.sort_array(F.collect_set("event_name")), ",").alias("event_history"),
-                 F.array_join(F.sort_array(F.array_distinct(F.flatten(F.collect_set("items.item_id")))), ",")
-                 .alias("cart_history")))
+    names = events.select(key, F.lit("event").alias("kind"), F.col("event_name").alias("value"))
+    ids = events.select(key, F.lit("item").alias("kind"), F.explode("items.item_id").alias("value"))
+    listed = lambda kind: F.array_join(F.sort_array(F.collect_list(
+        F.when(F.col("kind") == kind, F.col("value")))), ",")
+    return (names.unionByName(ids).distinct().groupBy(key)
+            .agg(listed("event").alias("event_history"), listed("item").alias("cart_history")))
 
 
 def pivot_sum(df: DataFrame, keys: Sequence[str], pivot_col: str, values: Sequence,
               measure: str) -> DataFrame:
-    """One column per listed pivot value, ``sum(measure)``; absent cells NULL."""
-    return df.groupBy(*keys).pivot(pivot_col, list(values)).sum(measure)
+    """One column per listed pivot value, ``sum(measure)``; absent cells NULL.
+
+    A conditional sum per value is one aggregation and one shuffle; ``pivot``
+    would aggregate (and shuffle) twice.
+    """
+    return df.groupBy(*keys).agg(*[F.sum(F.when(F.col(pivot_col) == v, F.col(measure))).alias(str(v)) for v in values])
 
 
 def pivot_count(df: DataFrame, keys: Sequence[str], pivot_col: str, values: Sequence | None = None) -> DataFrame:
-    """One column per pivot value, row counts; values discovered when not given."""
-    g = df.groupBy(*keys)
-    return (g.pivot(pivot_col, list(values)) if values is not None else g.pivot(pivot_col)).count()
+    """One column per pivot value, row counts, absent cells NULL; values discovered when not given."""
+    if values is None:
+        return df.groupBy(*keys).pivot(pivot_col).count()
+    return df.groupBy(*keys).agg(*[
+        F.nullif(F.count(F.when(F.col(pivot_col) == v, 1)), F.lit(0)).alias(str(v)) for v in values])

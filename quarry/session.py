@@ -57,7 +57,9 @@ def checkpoint_root(spark: SparkSession) -> str:
         if root:
             sc.setCheckpointDir(root)
     if not root:
-        # Unset: local/test session.  Make our own and register it.
+        # Unset: make our own, but only where one machine runs everything.
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="quarry-ckpt-")
         sc.setCheckpointDir(root)
         root = sc.getCheckpointDir() or root

@@ -3,16 +3,8 @@
 Tables are read lazily; Catalyst prunes columns and pushes filters into the
 parquet scan, so callers never need to pre-select.
 
-Two practical points:
-
-* The schemas of the base tables are declared, so a read needs no footer
-  inference job, and the DataFrame of each path is built once per session.
-* Optional scan parallelism floor (off by default): an unsplittable input
-  (one row group, or a compressed text file) is read by one task, and every
-  narrow operator after the scan then runs in that task.  Setting
-  ``quarry.scan.minPartitions`` spreads such scans round-robin right after
-  reading (column pruning and filter pushdown still reach the scan).  A
-  table with many splits is never touched.
+The schemas of the base tables are declared, so a read needs no footer
+inference job, and the DataFrame of each path is built once per session.
 """
 
 from __future__ import annotations
@@ -24,9 +16,6 @@ TABLES = (
     "events", "documents", "embeddings", "pages", "benchmark", "labels",
     "conversations",
 )
-# Tables bounded by the TPC-H definition (25 and 5 rows) need no spreading.
-TINY = ("region", "nation")
-
 # The declared schemas of the base tables.
 SCHEMAS = {
     "region": "r_regionkey INT, r_name STRING",
@@ -51,11 +40,6 @@ SCHEMAS = {
 _CACHE: dict[tuple[str, str], DataFrame] = {}
 
 
-def _min_partitions(spark: SparkSession) -> int:
-    conf = spark.conf.get("quarry.scan.minPartitions", None)
-    return int(conf) if conf else 0
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Read one base table, ``{sf_dir}/{name}.parquet``."""
     if name not in TABLES:
@@ -64,11 +48,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     key = (spark.sparkContext.applicationId, path)
     df = _CACHE.get(key)
     if df is None:
-        df = spark.read.schema(SCHEMAS[name]).parquet(path)
-        want = _min_partitions(spark)
-        if want and name not in TINY and df.rdd.getNumPartitions() < want:
-            df = df.repartition(want)
-        _CACHE[key] = df
+        df = _CACHE[key] = spark.read.schema(SCHEMAS[name]).parquet(path)
     return df
 
 

@@ -1,35 +1,34 @@
-"""APPLY CHANGES: a CDC feed into an SCD type-1 table, out-of-order safe.
-
-State layout (``{root}/state``): the latest change per key, including
-deletes kept as tombstones, hash-partitioned into ``__bucket`` directories.
-Each micro-batch (``foreachBatch``):
-
-1. drops rows without key or sequence (counted in ``rejected``);
-2. reduces the batch to the newest change per key
-   (``max(struct(seq, is_delete, ...))`` - a partial aggregate, so a key with a
-   third of all changes is pre-combined in every task);
-3. reads only the state buckets the batch touches: the touched bucket ids
-   (at most ``buckets`` integers) filter the state's partition column, so
-   the scan prunes every other bucket directory; merges them with the batch
-   the same way;
-4. stages the new bucket contents, then swaps them in with a dynamic
-   partition overwrite.
-
-"Newest sequence wins" is idempotent, so a replayed batch (after an executor
-or driver failure) yields the same state.  A delete with a higher sequence
-keeps a tombstone, so an older update arriving later cannot revive the key.
-The public table (``read_target``) hides tombstones and internal columns.
-Sequence ties are broken deterministically: a delete wins, then the larger
-payload.
+"""APPLY CHANGES: a CDC feed into an SCD type-1 table, out-of-order and replay safe.
+
+State: the latest change per key, including deletes kept as tombstones,
+hash-partitioned into buckets.  Below the table's root
+
+* ``versions/<v>/part=<bucket>`` holds the buckets that version ``v`` wrote;
+* ``manifest/<v>.json``, written last, says for every bucket which version
+  holds it, the bucket count, the schema, and the micro-batch it came from.
+
+Each micro-batch reads only the buckets it touches (from the versions the last
+manifest names), merges them with the newest change per key, and writes them
+to a fresh version directory.  Nothing that a manifest names is ever written
+again, so a crash at any point leaves the last manifest whole; a replayed
+batch starts from the version before it and gives the same rows.  Directories
+that neither of the last two manifests names are removed.
+
+"Newest" is ``max(struct(sequence, is_delete, ...))``, a partial aggregate: a key
+with a third of all changes is pre-combined in every task, a delete wins over
+an update of the same sequence, then the larger payload.  A delete keeps a
+tombstone, so an older update arriving later cannot revive the key.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from quarry.sources import fs
 
@@ -43,58 +42,102 @@ def _latest(df: DataFrame, keys: Sequence[str], sequence_by: str) -> DataFrame:
     return df.groupBy(*keys).agg(newest).select(*keys, "__r.*")
 
 
-def merge_changes(state: DataFrame | None, changes: DataFrame, keys: Sequence[str], sequence_by: str,
-                  delete_when: str | Column, buckets: int) -> DataFrame:
-    """New content of the state buckets touched by ``changes`` (a batch DataFrame)."""
+def _marked(changes: DataFrame, delete_when: str | Column) -> DataFrame:
     cond = F.expr(delete_when) if isinstance(delete_when, str) else delete_when
-    valid = changes.where(F.col(sequence_by).isNotNull())
+    return changes.withColumn(DELETED, F.coalesce(cond, F.lit(False)))
+
+
+def _newest_changes(marked: DataFrame, keys: Sequence[str], sequence_by: str, buckets: int) -> DataFrame:
+    """The newest change per key and its bucket; rows without key or sequence are dropped."""
+    valid = marked.where(F.col(sequence_by).isNotNull())
     for k in keys:
         valid = valid.where(F.col(k).isNotNull())
-    batch = (valid.withColumn(DELETED, F.coalesce(cond, F.lit(False)))
-                  .withColumn(BUCKET, F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")))
-    batch = _latest(batch, keys, sequence_by)
-    if state is not None:
-        ids = [r[0] for r in batch.select(BUCKET).distinct().collect()]   # <= buckets small ints
-        touched = state.where(F.col(BUCKET).isin(ids))
-        batch = _latest(touched.unionByName(batch, allowMissingColumns=True), keys, sequence_by)
-    return batch
+    bucket = F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
+    return _latest(valid.withColumn(BUCKET, bucket), keys, sequence_by)
+
+
+def merge_changes(state: DataFrame | None, changes: DataFrame, keys: Sequence[str], sequence_by: str,
+                  delete_when: str | Column, buckets: int) -> DataFrame:
+    """New content of the state buckets touched by ``changes`` (a batch DataFrame)."""
+    batch = _newest_changes(_marked(changes, delete_when), keys, sequence_by, buckets)
+    if state is None:
+        return batch
+    ids = [r[0] for r in batch.select(BUCKET).distinct().collect()]   # <= buckets small ints
+    touched = state.where(F.col(BUCKET).isin(ids))
+    return _latest(touched.unionByName(batch, allowMissingColumns=True), keys, sequence_by)
+
+
+# ---- versions and manifests ------------------------------------------------------
+
+def manifest(spark: SparkSession, root: str, version: int | None = None) -> dict | None:
+    """The given manifest, or the last one; None when there is none."""
+    names = [n for n in fs.list_names(spark, f"{root}/manifest") if n.endswith(".json") and not n.startswith("_")]
+    numbers = sorted(int(n.removesuffix(".json")) for n in names)
+    if version is None:
+        version = numbers[-1] if numbers else None
+    if version is None or version not in numbers:
+        return None
+    text = spark.read.option("wholetext", True).text(f"{root}/manifest/{version}.json").first()[0]
+    return json.loads(text)
+
+
+def _read_buckets(spark: SparkSession, root: str, m: dict, ids: Sequence[int] | None = None) -> DataFrame:
+    schema = StructType.fromJson(m["schema"])
+    paths = [f"{root}/versions/{v}/part={b}" for b, v in m["at"].items() if ids is None or int(b) in ids]
+    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
+
+
+def write_batch(spark: SparkSession, root: str, marked: DataFrame, batch: str, keys: Sequence[str],
+                sequence_by: str, buckets: int | None = None) -> None:
+    """Merge one micro-batch (with its ``__deleted`` column) into the state at ``root``.
+
+    ``batch`` names the micro-batch (its query and id): a second call with the
+    name of the last version replaces that version.  ``buckets`` is fixed by
+    the first batch (64 by default; choose it so that a bucket of the expected
+    state fits a task); another number later is refused.
+    """
+    last = manifest(spark, root)
+    version = 0 if last is None else last["version"] + (last["batch"] != batch)
+    base = last if last is None or last["version"] < version else manifest(spark, root, version - 1)
+    if last is not None and buckets not in (None, last["buckets"]):
+        raise ValueError(f"{root} has {last['buckets']} buckets, not {buckets}")
+    buckets = last["buckets"] if last else buckets or 64
+    marked.persist()  # used twice: touched buckets, then the merge
+    try:
+        new = _newest_changes(marked, keys, sequence_by, buckets)
+        ids = [r[0] for r in new.select(BUCKET).distinct().collect()]  # <= buckets small ints
+        if base is not None:
+            new = _latest(_read_buckets(spark, root, base, ids).unionByName(new, allowMissingColumns=True), keys, sequence_by)
+        # REBALANCE: about one writer per bucket, while AQE still splits a bucket that grew large
+        (new.withColumn("part", F.col(BUCKET)).hint("rebalance", "part").write.mode("overwrite")
+         .option("partitionOverwriteMode", "static").partitionBy("part").parquet(f"{root}/versions/{version}"))
+        at = dict(base["at"] if base else {}) | {str(b): version for b in ids}
+        fs.write_text(spark, f"{root}/manifest/{version}.json", json.dumps({
+            "version": version, "batch": batch, "buckets": buckets, "at": at, "schema": new.schema.jsonValue()}))
+    finally:
+        marked.unpersist()
+    named = {*at.items(), *(base["at"] if base else {}).items()}
+    for v in fs.list_names(spark, f"{root}/versions"):
+        if int(v) < version and not any(str(x) == v for _, x in named):
+            fs.delete(spark, f"{root}/versions/{v}")
+    for n in fs.list_names(spark, f"{root}/manifest"):
+        if n.endswith(".json") and int(n.removesuffix(".json")) < version - 1:
+            fs.delete(spark, f"{root}/manifest/{n}")
 
 
 def apply_changes(spark: SparkSession, stream: DataFrame, root: str, keys: Sequence[str], sequence_by: str,
-                  delete_when: str | Column, except_columns: Sequence[str] = (), buckets: int = 64,
+                  delete_when: str | Column, except_columns: Sequence[str] = (), buckets: int | None = None,
                   checkpoint: str | None = None) -> StreamingQuery:
-    """Run the CDC stream to completion (availableNow) into the state at ``root``."""
-    state_path = f"{root.rstrip('/')}/state"
-    checkpoint = checkpoint or f"{root.rstrip('/')}/_checkpoint"
-    keep = [c for c in stream.columns if c not in except_columns or c == "operation"]
-    src = stream.select(*keep)
+    """Run the CDC stream to completion (availableNow) into the state at ``root``.
+
+    Only ``except_columns`` are dropped; ``delete_when`` is evaluated before that.
+    """
+    root = root.rstrip("/")
+    checkpoint = checkpoint or f"{root}/_checkpoint"
+    src = _marked(stream, delete_when).drop(*except_columns)
 
     def batch_fn(batch_df: DataFrame, batch_id: int) -> None:
-        batch_df.persist()          # used twice: touched buckets, then the merge
-        try:
-            _apply_batch(batch_df, batch_id)
-        finally:
-            batch_df.unpersist()
-
-    def _apply_batch(batch_df: DataFrame, batch_id: int) -> None:
-        # State counts once a write of it committed (_SUCCESS); a crashed
-        # first write is simply redone by the replayed batch.
-        has_state = fs.exists(spark, f"{state_path}/_SUCCESS")
-        state = spark.read.parquet(state_path) if has_state else None
-        merged = merge_changes(state, batch_df, keys, sequence_by, delete_when, buckets)
-        if state is None:
-            # First state: a plain overwrite, which commits the _SUCCESS marker.
-            (merged.hint("rebalance", BUCKET).write.mode("overwrite")
-             .option("partitionOverwriteMode", "static").partitionBy(BUCKET).parquet(state_path))
-            return
-        # The new bucket contents read the old state: stage them first, then
-        # swap only the touched buckets in (dynamic partition overwrite).
-        # REBALANCE on the bucket: about one writer per bucket directory (few
-        # files), while AQE still splits a bucket that grew too large.
-        staged = f"{root.rstrip('/')}/_staging/batch={batch_id}"
-        merged.write.mode("overwrite").parquet(staged)
-        (spark.read.parquet(staged).hint("rebalance", BUCKET).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(state_path))
+        write_batch(spark, root, batch_df, f"{checkpoint}#{batch_id}", keys, sequence_by, buckets)
 
     q = (src.writeStream.foreachBatch(batch_fn).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
@@ -102,17 +145,22 @@ def apply_changes(spark: SparkSession, stream: DataFrame, root: str, keys: Seque
     return q
 
 
-def read_target(spark: SparkSession, root: str, except_columns: Sequence[str] = ("operation",)) -> DataFrame:
+def read_state(spark: SparkSession, root: str) -> DataFrame:
+    """All buckets of the last version, tombstones included."""
+    root = root.rstrip("/")
+    m = manifest(spark, root)
+    if m is None:
+        raise FileNotFoundError(f"no state at {root}")
+    return _read_buckets(spark, root, m)
+
+
+def read_target(spark: SparkSession, root: str, except_columns: Sequence[str] = ()) -> DataFrame:
     """The SCD type-1 table: newest row per key, deletes removed (batch read only)."""
-    state_path = f"{root.rstrip('/')}/state"
-    st = spark.read.parquet(state_path)
-    drop = [c for c in (*except_columns, DELETED, BUCKET) if c in st.columns]
-    return st.where(~F.col(DELETED)).drop(*drop)
+    return read_state(spark, root).where(~F.col(DELETED)).drop(*except_columns, DELETED, BUCKET)
 
 
 def apply_changes_batch(changes: DataFrame, keys: Sequence[str], sequence_by: str,
-                        delete_when: str | Column, except_columns: Sequence[str] = ("operation",)) -> DataFrame:
+                        delete_when: str | Column, except_columns: Sequence[str] = ()) -> DataFrame:
     """The same semantics over a static change table (one pass, no state)."""
     merged = merge_changes(None, changes, keys, sequence_by, delete_when, buckets=1)
-    drop = [c for c in (*except_columns, DELETED, BUCKET) if c in merged.columns]
-    return merged.where(~F.col(DELETED)).drop(*drop)
+    return merged.where(~F.col(DELETED)).drop(*except_columns, DELETED, BUCKET)

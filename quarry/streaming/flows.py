@@ -43,21 +43,27 @@ class Dataset:
     inputs: tuple[str, ...]
     expectations: tuple[quality.Rule, ...] = ()
     comment: str | None = None
-    output_mode: str = "append"
     cdc: dict = field(default_factory=dict)
 
 
-def _progress(p, key: str):
-    """A field of a streaming progress record (dict in older PySpark, object in 4.x)."""
-    if isinstance(p, dict):
-        return p.get(key)
-    return getattr(p, key, None)
-
-
 class FlowError(RuntimeError):
     pass
 
 
+def keep_latest(spark: SparkSession, aggregate: DataFrame, root: str, keys: Sequence[str], checkpoint: str) -> None:
+    """Run a streaming aggregate in update mode into the newest row per key.
+
+    A micro-batch rewrites only the buckets of the keys it changed, and a
+    replayed one replaces its own version; the aggregate's state is bounded by
+    its watermark, not by the table.
+    """
+    def batch_fn(b: DataFrame, i: int) -> None:
+        marked = b.withColumn("__batch", F.lit(i)).withColumn(cdc.DELETED, F.lit(False))
+        cdc.write_batch(spark, root, marked, f"{checkpoint}#{i}", keys, "__batch")
+
+    ingest.run_foreach_batch(aggregate, batch_fn, checkpoint, output_mode="update")
+
+
 class FlowGraph:
     """Register datasets with decorators, then ``run()`` an update."""
 
@@ -75,11 +81,11 @@ class FlowGraph:
 
     def table(self, name: str | None = None, inputs: Sequence[str] = (), streaming: bool = False,
               expectations: Sequence[quality.Rule] = (), comment: str | None = None,
-              output_mode: str = "append"):
-        """Declare a table; ``output_mode='complete'`` for a streaming aggregate."""
+              update_by: Sequence[str] = ()):
+        """Declare a table; a streaming aggregate is kept by its keys ``update_by`` (update mode)."""
         def deco(fn):
-            self._add(Dataset(name or fn.__name__, "streaming" if (streaming or output_mode == "complete")
-                              else "live", fn, tuple(inputs), tuple(expectations), comment, output_mode=output_mode))
+            self._add(Dataset(name or fn.__name__, "aggregate" if update_by else "streaming" if streaming else "live",
+                              fn, tuple(inputs), tuple(expectations), comment, cdc={"keys": list(update_by)}))
             return fn
         return deco
 
@@ -108,8 +114,9 @@ class FlowGraph:
         if ds.kind == "view":
             return self._views[name]
         if ds.kind == "apply_changes":
-            return cdc.read_target(self.spark, self.path(name),
-                                   ("operation", *ds.cdc["except_columns"]))
+            return cdc.read_target(self.spark, self.path(name))
+        if ds.kind == "aggregate":
+            return cdc.read_target(self.spark, self.path(name), ["__batch"])
         return self.spark.read.parquet(self.path(name))
 
     def read_stream(self, name: str) -> DataFrame:
@@ -206,21 +213,15 @@ class FlowGraph:
             out = out.observe(obs_name, *aggs)
         out = quality.apply(out, rules)
         self._schemas[ds.name] = out.schema
-        if ds.output_mode == "complete":
-            path = self.path(ds.name)
-            q = ingest.run_foreach_batch(out, lambda b, i: b.write.mode("overwrite").parquet(path), ckpt,
-                                         output_mode="complete")
-        else:
-            q = ingest.run_available_now(out, self.path(ds.name), ckpt)
-        if not rules:
+        if ds.kind == "aggregate":
+            keep_latest(spark, out, self.path(ds.name), ds.cdc["keys"], ckpt)
             return []
+        batches = ingest.run_available_now(out, self.path(ds.name), ckpt)
         totals = {f"{r.name}_{k}": 0 for r in rules for k in ("passed", "failed")}
-        for p in q.recentProgress:
-            got = (_progress(p, "observedMetrics") or {}).get(obs_name) or {}
-            if hasattr(got, "asDict"):
-                got = got.asDict()
-            for k in totals:
-                totals[k] += int(got.get(k, 0) or 0)
+        for p in batches:
+            got = (p.observedMetrics or {}).get(obs_name)
+            for k in totals if got is not None else ():
+                totals[k] += int(got[k] or 0)
         return [{"name": r.name, "dataset": ds.name, "passed_records": totals[f"{r.name}_passed"],
                  "failed_records": totals[f"{r.name}_failed"]} for r in rules]
 

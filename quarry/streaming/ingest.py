@@ -7,16 +7,19 @@ it has seen in the query checkpoint, so a re-run only picks up new files
 JSON is read through the text source and parsed with ``from_json`` so that
 every line keeps its provenance (``_metadata.file_path``) and values that do
 not fit the schema land in ``_rescued_data`` (a JSON object of the offending
-fields) instead of being lost.  All parsing runs in the JVM.
+fields, or of the whole line if it cannot be parsed) instead of being lost;
+CSV is read as text and cast for the same end.  All parsing runs in the JVM.
 """
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.listener import StreamingQueryListener
 from pyspark.sql.types import DataType, StringType, StructField, StructType
 
 
@@ -45,35 +48,20 @@ def land_files(df: DataFrame, path: str, fmt: str = "json", n_files: int = 8,
     return path
 
 
-def sample_files(spark: SparkSession, path: str, max_files: int) -> list[str]:
-    """The first ``max_files`` data files under ``path`` (by name; no hidden / marker files)."""
-    from quarry.sources import fs
-    names = sorted(n for n in fs.list_names(spark, path) if not n.startswith(("_", ".")))
-    return [f"{path.rstrip('/')}/{n}" for n in names[:max_files]]
-
-
 def infer_schema(spark: SparkSession, path: str, fmt: str = "json", infer_types: bool = True,
-                 sampling_ratio: float = 1.0, options: Mapping[str, str] | None = None,
-                 max_files: int = 32) -> StructType:
-    """Schema of a sample of the files already in ``path`` (a batch read, done once).
-
-    Only the first ``max_files`` files are read, so inference costs a bounded
-    read however large the landing directory is; values that a later file
-    carries in another type land in ``_rescued_data``.  With
-    ``infer_types=False`` every field is STRING, as a stream without
-    column-type inference reads it.
+                 options: Mapping[str, str] | None = None) -> StructType:
+    """Schema of all files now in ``path`` (one distributed batch read).
+
+    A field that only one file has is found.  With ``infer_types=False`` every
+    field is STRING, as a stream without column-type inference reads it.
     """
-    sample = sample_files(spark, path, max_files) or [path]
     r = spark.read.options(**(options or {}))
     if fmt == "json":
-        r = r.option("samplingRatio", sampling_ratio)
-        if not infer_types:
-            r = r.option("primitivesAsString", True)
-        return r.json(sample).schema
+        return r.option("primitivesAsString", not infer_types).json(path).schema
     if fmt == "csv":
         r = r.option("header", (options or {}).get("header", True)).option("inferSchema", infer_types)
-        return r.csv(sample).schema
-    return r.format(fmt).load(sample).schema
+        return r.csv(path).schema
+    return r.option("mergeSchema", True).format(fmt).load(path).schema
 
 
 def apply_hints(schema: StructType, hints: str | Mapping[str, str | DataType]) -> StructType:
@@ -89,13 +77,17 @@ def apply_hints(schema: StructType, hints: str | Mapping[str, str | DataType]) -
     return StructType(fields)
 
 
+CORRUPT = "_corrupt_record"
+
+
 def rescued_column(raw: Column, typed: Column, schema: StructType) -> Column:
     """JSON object of fields that are unknown to ``schema`` or do not fit its type.
 
     ``typed`` is the line already parsed with ``schema``; the line is parsed
     once more as ``map<string,string>``.  A key is rescued when it is not a
     schema field, or when its raw value is non-null but the typed value came
-    out NULL.  NULL when nothing was rescued.
+    out NULL.  A line that is no JSON object is rescued whole, under
+    ``_corrupt_record``.  NULL when nothing was rescued (or the line is blank).
     """
     as_map = F.from_json(raw, "map<string,string>")
     known = F.array(*[F.lit(f.name) for f in schema.fields])
@@ -105,7 +97,8 @@ def rescued_column(raw: Column, typed: Column, schema: StructType) -> Column:
                F.struct(F.lit(f.name).alias("key"), as_map[f.name].alias("value")))
         for f in schema.fields]), lambda x: x.isNotNull())
     bad = F.map_concat(F.map_from_entries(misfits), unknown)
-    return F.when(F.size(bad) > 0, F.to_json(bad))
+    return (F.when(as_map.isNull() & (F.trim(raw) != ""), F.to_json(F.struct(raw.alias(CORRUPT))))
+            .when(F.size(bad) > 0, F.to_json(bad)))
 
 
 def read_json_stream(spark: SparkSession, path: str, schema: StructType, rescue: bool = True,
@@ -122,14 +115,31 @@ def read_json_stream(spark: SparkSession, path: str, schema: StructType, rescue:
                          rescued_column(F.col("value"), F.col("j"), schema).alias("_rescued_data"))
 
 
-def read_csv_stream(spark: SparkSession, path: str, schema: StructType, header: bool = True,
+def read_csv_stream(spark: SparkSession, path: str, schema: StructType, header: bool = True, rescue: bool = False,
                     max_files_per_trigger: int | None = None, sep: str = ",") -> DataFrame:
-    """Stream CSV files with a fixed schema and provenance."""
-    r = spark.readStream.schema(schema).option("header", header).option("sep", sep)
+    """Stream CSV files with a fixed schema, provenance and (optionally) rescue.
+
+    With ``rescue`` the fields are read as text and cast: a value that does
+    not fit its type goes to ``_rescued_data`` by name, and a line with too many
+    or too few fields goes there whole, under ``_corrupt_record``.
+    """
+    text = StructType([StructField(f.name, StringType()) for f in schema.fields] + [StructField(CORRUPT, StringType())])
+    r = spark.readStream.schema(text if rescue else schema).option("header", header).option("sep", sep)
+    if rescue:
+        r = r.option("columnNameOfCorruptRecord", CORRUPT)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     df = r.csv(path)
-    return df.select("*", F.col("_metadata.file_path").alias("source_file"))
+    source = F.col("_metadata.file_path").alias("source_file")
+    if not rescue:
+        return df.select("*", source)
+    typed = {f.name: F.col(f"`{f.name}`").try_cast(f.dataType) for f in schema.fields}
+    entry = lambda name, value: F.struct(F.lit(name).alias("key"), value.alias("value"))
+    bad = F.filter(F.array(
+        *[F.when(typed[f.name].isNull() & F.col(f"`{f.name}`").isNotNull(), entry(f.name, F.col(f"`{f.name}`"))) for f in schema.fields],
+        F.when(F.col(CORRUPT).isNotNull(), entry(CORRUPT, F.col(CORRUPT)))), lambda x: x.isNotNull())
+    return df.select(*[c.alias(n) for n, c in typed.items()], source,
+                     F.when(F.size(bad) > 0, F.to_json(F.map_from_entries(bad))).alias("_rescued_data"))
 
 
 def cloud_files(spark: SparkSession, path: str, fmt: str = "json", infer_types: bool = True,
@@ -139,7 +149,7 @@ def cloud_files(spark: SparkSession, path: str, fmt: str = "json", infer_types:
     """``cloud_files(path, fmt, options)``: a bronze stream with provenance columns.
 
     Adds ``processing_time`` (load time) and ``source_file``.  The schema is
-    declared, or inferred once from the files present (all STRING when
+    declared, or inferred from all files present (all STRING when
     ``infer_types`` is off), then adjusted by ``schema_hints``.
     """
     if isinstance(schema, str):
@@ -151,7 +161,8 @@ def cloud_files(spark: SparkSession, path: str, fmt: str = "json", infer_types:
     if fmt == "json":
         df = read_json_stream(spark, path, schema, rescue, max_files_per_trigger)
     elif fmt == "csv":
-        df = read_csv_stream(spark, path, schema, (options or {}).get("header", True), max_files_per_trigger)
+        df = read_csv_stream(spark, path, schema, (options or {}).get("header", True), rescue,
+                             max_files_per_trigger)
     else:
         r = spark.readStream.schema(schema).format(fmt)
         if max_files_per_trigger:
@@ -164,17 +175,52 @@ def all_strings(schema: StructType) -> StructType:
     return StructType([StructField(f.name, StringType(), True) for f in schema.fields])
 
 
+class Progress(StreamingQueryListener):
+    """Every micro-batch of the queries it hears (``recentProgress`` keeps only the last ones)."""
+
+    def __init__(self) -> None:
+        self.batches: dict[str, dict[int, object]] = {}
+        self._ended: dict[str, threading.Event] = {}
+
+    def _end(self, run: str) -> threading.Event:
+        return self._ended.setdefault(run, threading.Event())
+
+    def onQueryStarted(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryProgress(self, event) -> None:  # noqa: N802
+        p = event.progress
+        self.batches.setdefault(str(p.runId), {})[p.batchId] = p
+
+    def onQueryIdle(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryTerminated(self, event) -> None:  # noqa: N802
+        self._end(str(event.runId)).set()
+
+    def of(self, q: StreamingQuery) -> list:
+        """All progress of an ended query, in order; waits for the last event."""
+        if not self._end(str(q.runId)).wait(300):
+            raise TimeoutError(f"no end event of query {q.runId}")
+        return [p for _, p in sorted(self.batches.get(str(q.runId), {}).items())]
+
+
 def run_available_now(df: DataFrame, sink_path: str, checkpoint: str, fmt: str = "parquet",
-                      output_mode: str = "append", partition_by: Sequence[str] = ()) -> StreamingQuery:
-    """Process all available input, write it to ``sink_path``, then stop."""
+                      output_mode: str = "append", partition_by: Sequence[str] = ()) -> list:
+    """Process all available input, write it to ``sink_path``, stop; the progress of every micro-batch."""
     w = (df.writeStream.format(fmt).outputMode(output_mode)
            .option("checkpointLocation", checkpoint).option("path", sink_path)
            .trigger(availableNow=True))
     if partition_by:
         w = w.partitionBy(*partition_by)
-    q = w.start()
-    q.awaitTermination()
-    return q
+    streams, heard = df.sparkSession.streams, Progress()
+    streams.addListener(heard)
+    try:
+        q = w.start()
+        q.awaitTermination()
+        return heard.of(q)
+    finally:
+        streams.removeListener(heard)
 
 
 def run_foreach_batch(df: DataFrame, fn, checkpoint: str, output_mode: str = "append",
@@ -204,6 +250,4 @@ def copy_into(spark: SparkSession, target_path: str, source_path: str, schema: S
         schema = StructType.fromDDL(schema)
     checkpoint = checkpoint or f"{target_path.rstrip('/')}_checkpoint"
     stream = spark.readStream.schema(schema).format(fmt).load(source_path)
-    q = run_available_now(stream, target_path, checkpoint)
-    return sum(int((p.get("numInputRows") if isinstance(p, dict) else p.numInputRows) or 0)
-               for p in q.recentProgress)
+    return sum(p.numInputRows or 0 for p in run_available_now(stream, target_path, checkpoint))

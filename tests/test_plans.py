@@ -52,22 +52,3 @@ def test_merge_does_not_shuffle_the_target(spark, sf_dir):
                            "Physical Plan")
     assert "BroadcastHashJoin" in phys and "LeftOuter" in phys
     assert "FullOuter" not in phys and "SortMergeJoin" not in phys
-
-
-def test_two_phase_sum_on_a_hot_key(spark, sf_dir):
-    """A key holding a third of the rows: salted two-phase sum equals the plain sum."""
-    from quarry.plans.strategy import two_phase_sum
-    e = table(spark, sf_dir, "events").withColumn(
-        "k", F.when(F.col("event_id") % 3 == 0, F.lit(-1)).otherwise(F.col("user_id")))
-    a = {r["k"]: round(r["sum_value"], 6) for r in two_phase_sum(e, "k", "value", "event_id").collect()}
-    b = {r["k"]: round(r["s"], 6) for r in e.groupBy("k").agg(F.sum("value").alias("s")).collect()}
-    assert a == b
-
-
-def test_scale_conf_grows_with_input():
-    from quarry.plans.strategy import scale_conf
-    small = scale_conf(10 * 1024 ** 2)
-    big = scale_conf(100 * 1024 ** 4, executor_memory_bytes=32 * 1024 ** 3, executor_cores=8, total_cores=8000)
-    assert int(small["spark.sql.shuffle.partitions"]) == 8
-    assert int(big["spark.sql.shuffle.partitions"]) >= 100 * 1024 ** 4 // (256 * 1024 ** 2)
-    assert int(big["spark.sql.files.maxPartitionBytes"]) <= 256 * 1024 ** 2

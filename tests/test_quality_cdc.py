@@ -54,7 +54,7 @@ def test_cdc_stream_out_of_order_files_and_replay(spark):
     got = sorted((r["id"], r["name"]) for r in cdc.read_target(spark, target).collect())
     assert got == [(2, "y"), (3, "z")]
     # Replaying a batch on top of the state is a no-op (newest sequence wins).
-    state = spark.read.parquet(f"{target}/state")
+    state = cdc.read_state(spark, target)
     again = cdc.merge_changes(state, _feed(spark, batches[2]), ["id"], "seq", "operation = 'DELETE'", 4)
     assert sorted((r["id"], r["name"], r["__deleted"]) for r in again.collect()) == \
         sorted((r["id"], r["name"], r["__deleted"]) for r in state.collect())
@@ -95,3 +95,97 @@ def test_cdc_reads_only_touched_buckets(spark):
     rows = merged.collect()
     assert len({r["__bucket"] for r in rows}) == 1 and len(rows) < 500      # one bucket's rows only
     assert {r["name"] for r in rows if r["id"] == 5} == {"x"}
+
+
+def _marked(spark, rows):
+    return _feed(spark, rows).withColumn(cdc.DELETED, F.expr("operation = 'DELETE'"))
+
+
+def test_cdc_replay_after_a_crash_keeps_every_row(spark):
+    """Batch 1 dies between its data and its manifest, with one of its buckets gone; the replay loses nothing."""
+    from quarry.sources import fs
+    root = scratch_dir(spark, "t-crash")
+    write = lambda rows, name: cdc.write_batch(spark, root, _marked(spark, rows), name, ["id"], "seq", 8)
+    write([(i, "old", "INSERT", 1) for i in range(200)], "q#0")
+    second = [(i, "new", "UPDATE", 2) for i in range(0, 200, 3)]
+    write(second, "q#1")
+    want = sorted(map(tuple, cdc.read_target(spark, root).collect()))
+    fs.delete(spark, f"{root}/manifest/1.json")
+    fs.delete(spark, f"{root}/versions/1/part=3")
+    assert cdc.read_target(spark, root).where("name = 'old'").count() == 200   # the manifest before it is whole
+    write(second, "q#1")
+    assert sorted(map(tuple, cdc.read_target(spark, root).collect())) == want and len(want) == 200
+    write(second, "q#1")    # replayed once more, after its manifest
+    assert sorted(map(tuple, cdc.read_target(spark, root).collect())) == want
+    for k in range(2, 6):
+        write([(i, f"v{k}", "UPDATE", k + 1) for i in range(200)], f"q#{k}")
+    assert sorted(fs.list_names(spark, f"{root}/versions")) == ["4", "5"]     # no staging is left behind
+
+
+def test_cdc_bucket_count_is_fixed_and_only_named_columns_go(spark):
+    root = scratch_dir(spark, "t-buckets")
+    rows = [(i, "a", "INSERT", 1) for i in range(50)]
+    cdc.write_batch(spark, root, _marked(spark, rows), "q#0", ["id"], "seq", 8)
+    with pytest.raises(ValueError, match="8 buckets"):
+        cdc.write_batch(spark, root, _marked(spark, rows), "q#1", ["id"], "seq", 6)
+    cdc.write_batch(spark, root, _marked(spark, rows), "q#1", ["id"], "seq")
+    assert cdc.manifest(spark, root)["buckets"] == 8 and cdc.read_target(spark, root).count() == 50
+    assert cdc.read_target(spark, root).columns == ["id", "seq", "name", "operation"]
+    assert "operation" not in cdc.read_target(spark, root, ["operation"]).columns
+
+
+def test_schema_inference_sees_a_field_of_the_last_file_only(spark):
+    root = scratch_dir(spark, "t-late-field")
+    for k in range(40):
+        line = '{"a": 1, "late": 2}' if k == 39 else '{"a": 1}'
+        spark.createDataFrame([(line,)], "value string").coalesce(1).write.mode("append").text(root)
+    assert ingest.infer_schema(spark, root).names == ["a", "late"]
+
+
+def test_progress_of_more_batches_than_spark_keeps(spark):
+    root = scratch_dir(spark, "t-many")
+    spark.range(40).repartition(40).write.option("maxRecordsPerFile", 1).json(f"{root}/in")
+    kept = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "5")
+    try:
+        s = spark.readStream.schema("id BIGINT").option("maxFilesPerTrigger", 2).json(f"{root}/in")
+        batches = ingest.run_available_now(s.observe("n", F.count(F.lit(1)).alias("rows")), f"{root}/out", f"{root}/ckpt")
+    finally:
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", kept)
+    assert len(batches) > 10 and sum(p.numInputRows for p in batches) == 40
+    assert sum(p.observedMetrics["n"]["rows"] for p in batches) == 40
+
+
+def _streamed(spark, df):
+    sink = scratch_dir(spark, "t-sink")
+    ingest.run_available_now(df, f"{sink}/out", f"{sink}/ckpt")
+    return spark.read.parquet(f"{sink}/out")
+
+
+def test_rescue_keeps_corrupt_json_lines(spark):
+    root = scratch_dir(spark, "t-corrupt")
+    lines = ['{"a": 1}', '{"a": 2', "not json", "[1]", "", '{"a": null, "b": 5}']
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(root)
+    got = _streamed(spark, ingest.cloud_files(spark, root, "json", schema="a INT")).collect()
+    rescued = sorted(r["_rescued_data"] for r in got if r["_rescued_data"])
+    assert rescued == sorted(['{"_corrupt_record":"{\\"a\\": 2"}', '{"_corrupt_record":"not json"}',
+                              '{"_corrupt_record":"[1]"}', '{"b":"5"}'])
+    assert [r["a"] for r in got if r["a"] is not None] == [1]
+
+
+def test_rescue_keeps_csv_misfits(spark):
+    root = scratch_dir(spark, "t-csv-misfits")
+    lines = ["id,name", "1,a", "oops,b", "3", "4,d,extra"]
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(root)
+    got = _streamed(spark, ingest.cloud_files(spark, root, "csv", schema="id INT, name STRING")).collect()
+    assert sorted((r["id"] or 0, r["_rescued_data"] or "") for r in got) == [
+        (0, '{"id":"oops"}'), (1, ""), (3, '{"_corrupt_record":"3"}'), (4, '{"_corrupt_record":"4,d,extra"}')]
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    from types import SimpleNamespace
+
+    from quarry.session import checkpoint_root
+    sc = SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_root(SimpleNamespace(sparkContext=sc, conf=SimpleNamespace(get=lambda k, d=None: None)))

@@ -27,8 +27,7 @@ def test_query(spark, con, sf_dir, name):
         spark_types = {c: SPARK_TO_DUCK.get(t, t) for c, t in df.dtypes}
         assert spark_types == duck_types
     else:
-        assert df.count() >= 0
-        assert df.columns
+        assert df.columns and not df.isEmpty()
 
 
 def test_entry_flagship(spark):
