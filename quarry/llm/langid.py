@@ -4,7 +4,9 @@ Training counts words and character n-grams per language over a bounded
 sample of labelled documents (``sample_docs`` per language on average, a
 documented parameter).  A known word scores its log frequency in each
 language; an unknown one scores the mean over its known n-grams of the longest
-length that has any, from ``max_n`` down to single characters.
+length that has any, from ``max_n`` down to single characters.  Many texts are
+scored at a time by array operations: words and n-grams are found by 64-bit
+hashes in sorted arrays.  ``word_scores`` is the same rule for a single word.
 
 Defined results: a null text, or one without a letter, is ``und`` with score
 0; ties go to the first language by name; with no labelled text every document
@@ -26,8 +28,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm.common import save
+from quarry.llm.sp_codec import slices
 
 LETTERS = r"\p{L}+"
+#: An odd multiplier for the hashes of words and n-grams, and its inverse modulo 2**64.
+BASE = np.uint64(0x9E3779B97F4A7C15)
+INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
 
 
 @dataclass
@@ -134,49 +140,128 @@ def word_scores(model: Model, word: str) -> np.ndarray | None:
     return None
 
 
-def predict(docs: DataFrame, model: Model, cache_words: int = 200_000) -> DataFrame:
+def hashes(c: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the runs ``start:end`` of code points ``c``: sums of code * BASE ** place."""
+    up = np.cumprod(np.concatenate((np.ones(1, np.uint64), np.full(len(c), BASE))))
+    down = np.cumprod(np.concatenate((np.ones(1, np.uint64), np.full(len(c), INVERSE))))
+    total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(c * up[:-1])))
+    return (total[end] - total[start]) * down[start]
+
+
+def code_points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+
+
+@dataclass
+class Probe:
+    """A model as arrays: level 0 holds words, level n the n-grams of length n."""
+    letters: np.ndarray  # one bit a code point
+    keys: list[np.ndarray]  # sorted hashes
+    rows: list[np.ndarray]
+    langs: list[str]
+
+
+def probe(model: Model) -> Probe:
+    """The arrays of a model; a word and an n-gram are known by their hash."""
+    is_letter = np.zeros(0x110000, bool)
+    every = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
+    for m in regex.finditer(LETTERS, every):
+        is_letter[code_points(m[0])] = True
+    keys, rows = [], []
+    for level in range(model.max_n + 1):
+        held = model.words if level == 0 else {g: r for g, r in model.grams.items() if len(g) == level}
+        c = code_points("".join(held)).astype(np.uint64)
+        end = np.cumsum([len(t) for t in held], dtype=np.int64)
+        h = hashes(c, np.concatenate((np.zeros(1, np.int64), end))[:-1], end)
+        order = np.argsort(h)
+        values = model.word_rows if level == 0 else model.gram_rows
+        keys.append(h[order])
+        rows.append(values[np.array(list(held.values()), np.int64)][order])
+    return Probe(np.packbits(is_letter), keys, rows, model.langs)
+
+
+def look_up(keys: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(places in ``h`` of known hashes, their places in ``keys``)."""
+    if not len(keys):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    at = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
+    hit = np.flatnonzero(keys[at] == h)
+    return hit, at[hit]
+
+
+def back_off(p: Probe, c: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(scores, whether any) of unknown words, all together: means over their longest known n-grams."""
+    n, size = len(start), end - start + 2
+    scores, known = np.zeros((n, len(p.langs))), np.zeros(n, bool)
+    todo = np.arange(n)
+    for level in range(len(p.keys) - 1, 0, -1):
+        if not len(todo):
+            break
+        # the words end to end, each between its marks
+        width = size[todo]
+        first = np.cumsum(width) - width
+        owner = np.repeat(np.arange(len(todo)), width)
+        place = np.arange(len(owner)) - first[owner]
+        w = c[np.clip(start[todo][owner] + place - 1, 0, len(c) - 1)]
+        w[first], w[first + width - 1] = ord("^"), ord("$")
+        # single characters are unmarked
+        ok = np.flatnonzero((place > 0) & (place < width[owner] - 1) if level == 1 else place <= width[owner] - level)
+        h = np.zeros(len(ok), np.uint64)
+        for k in range(level - 1, -1, -1):
+            h = h * BASE + w[ok + k]
+        hit, at = look_up(p.keys[level], h)
+        who = owner[ok[hit]]
+        count = np.bincount(who, minlength=len(todo))
+        for x in range(len(p.langs)):
+            scores[todo, x] = np.bincount(who, p.rows[level][at, x], len(todo)) / np.maximum(count, 1)
+        known[todo] = count > 0
+        todo = todo[count == 0]
+    return scores, known
+
+
+def judge(p: Probe, is_letter: np.ndarray, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
+    """Languages and scores of several texts, their words looked up together."""
+    low = [(t or "").lower() for t in texts]
+    raw = code_points("\n".join(low) + "\n")
+    mark = np.flatnonzero(np.diff(is_letter[raw], prepend=False))
+    start, end = mark[::2], mark[1::2]
+    doc = np.searchsorted(np.cumsum([len(t) + 1 for t in low]), start, side="right")
+    c = raw.astype(np.uint64)
+    unique, one, which = np.unique(hashes(c, start, end), return_index=True, return_inverse=True)
+    scores, known = np.zeros((len(unique), len(p.langs))), np.zeros(len(unique), bool)
+    hit, at = look_up(p.keys[0], unique)
+    scores[hit], known[hit] = p.rows[0][at], True
+    new = np.flatnonzero(~known)
+    scores[new], known[new] = back_off(p, c, start[one[new]], end[one[new]])
+    n = len(texts)
+    words = np.bincount(doc, minlength=n)
+    used = np.bincount(doc, known[which].astype(float), n)
+    mean = np.stack([np.bincount(doc, scores[which, x], n) for x in range(len(p.langs))], 1) / np.maximum(used, 1)[:, None]
+    share = np.exp(mean - mean.max(1, keepdims=True))
+    # letters that no language has seen: all languages alike, the first by name
+    best, score = mean.argmax(1).tolist(), np.where(words > 0, 1 / share.sum(1), 0.0)
+    return [p.langs[b] if k else "und" for b, k in zip(best, words.tolist())], score
+
+
+def predict(docs: DataFrame, model: Model) -> DataFrame:
     """``docs(text, ..)`` with ``lang_pred`` and ``score`` added; the text is dropped.
 
     The score is the best language's share when the mean log frequency per
-    word of each language is turned back into a probability.
+    word of each language is turned back into a probability.  Texts are
+    scored in slices of about 2 MB (a longer text alone), by arrays.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(pickle.dumps(model.__dict__))
+    sent = docs.sparkSession.sparkContext.broadcast(pickle.dumps(probe(model).__dict__))
     keep = [c for c in docs.columns if c != "text"]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = Model(**pickle.loads(sent.value))
-        word = regex.compile(LETTERS)
-        memo: dict[str, np.ndarray | None] = {}
-        n = len(m.langs)
+        p = Probe(**pickle.loads(sent.value))
+        is_letter = np.unpackbits(p.letters).astype(bool)
         for b in batches:
-            langs, scores = [], []
-            for text in b.column("text"):
-                tally = Counter(word.findall((text.as_py() or "").lower()))
-                rows, weights = [], []
-                for w, k in tally.items():
-                    try:
-                        row = memo[w]
-                    except KeyError:
-                        row = word_scores(m, w) if n else None
-                        if len(w) < 64:
-                            memo[w] = row
-                    if row is not None:
-                        rows.append(row)
-                        weights.append(k)
-                if not rows:
-                    # letters that no language has seen: the first language, with nothing to say for it
-                    langs.append(m.langs[0] if tally and n else "und")
-                    scores.append(1.0 / n if tally and n else 0.0)
-                    continue
-                k = np.array(weights, np.float64)
-                mean = (k @ np.array(rows)) / k.sum()
-                p = np.exp(mean - mean.max())
-                langs.append(m.langs[int(np.argmax(mean))])
-                scores.append(float(p.max() / p.sum()))
-            if len(memo) > cache_words:
-                memo.clear()
-            yield pa.RecordBatch.from_arrays([*[b.column(c) for c in keep], pa.array(langs, pa.string()),
-                                              pa.array(scores, pa.float64())], [*keep, "lang_pred", "score"])
+            for part in slices(b, "text", chars=1 << 21):
+                texts = part.column("text").to_pylist()
+                langs, scores = judge(p, is_letter, texts) if p.langs else (["und"] * len(texts), np.zeros(len(texts)))
+                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in keep], pa.array(langs, pa.string()),
+                                                  pa.array(scores, pa.float64())], [*keep, "lang_pred", "score"])
 
     fields = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "text"]
                        + ["lang_pred string", "score double"])

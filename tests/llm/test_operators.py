@@ -10,6 +10,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+import regex
 import xxhash
 from pyspark.sql import Row
 
@@ -546,3 +547,18 @@ def test_op10_edge_cases(spark):
     assert langid.predict(d.limit(0), m).count() == 0
     nothing = langid.train(train.limit(0))
     assert {r["lang_pred"] for r in langid.predict(d, nothing).collect()} == {"und"}
+
+
+def test_op10_arrays_equal_the_rule_for_single_words(spark, all_docs):
+    train = [(t, "en" if i % 2 else "fr") for i, (_, t, _) in enumerate(all_docs) if t][:60]
+    m = langid.train(spark.createDataFrame(train, "text string, lang string"), max_words=50, max_grams=300)
+    p = langid.probe(m)
+    texts = [t for t, _ in train] + [None, "", "12", "İstanbul ǅ 日本", "Straße—straße"]
+    got = langid.judge(p, np.unpackbits(p.letters).astype(bool), texts)
+    for text, lang, score in zip(texts, *got):
+        words = regex.findall(langid.LETTERS, (text or "").lower())
+        rows = [r for w in words if (r := langid.word_scores(m, w)) is not None]
+        mean = np.mean(rows, axis=0) if rows else np.zeros(2)
+        share = np.exp(mean - mean.max())
+        assert lang == (m.langs[int(mean.argmax())] if words else "und")
+        assert abs(score - (1 / share.sum() if words else 0.0)) < 1e-9
