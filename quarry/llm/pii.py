@@ -124,8 +124,13 @@ def found(docs: DataFrame) -> DataFrame:
     """``docs`` with ``__base`` (spans) and ``__candidates`` (kind, start, m, before, after)."""
     out = docs.withColumn("__text", F.coalesce(F.col("text").cast("string"), F.lit("")))
     patterns = [(EMAIL, 0), (IP, 1), (CARD, 2), (PHONE, 3), (AT, 0), (DIGITS, 2)]
-    out = out.withColumns({f"__r{k}": F.regexp_extract_all("__text", F.lit(p), 0) for k, (p, _) in enumerate(patterns)})
-    out = out.withColumns({f"__p{k}": F.split("__text", p, -1) for k, (p, _) in enumerate(patterns)})
+    # what a text must hold for a pattern to match at all, and no text is split where nothing matched
+    t, none = F.col("__text"), F.array().cast("array<string>")
+    digit, at = F.col("__digit"), t.contains("@")
+    needs = [at, digit, digit, t.contains("+"), at | t.contains("at)") | t.contains("at]"), digit]
+    out = out.withColumn("__digit", t.rlike("[0-9]"))
+    out = out.withColumns({f"__r{k}": F.when(needs[k], F.regexp_extract_all(t, F.lit(p), 0)).otherwise(none) for k, (p, _) in enumerate(patterns)})
+    out = out.withColumns({f"__p{k}": F.when(F.size(f"__r{k}") > 0, F.split(t, p, -1)).otherwise(none) for k, (p, _) in enumerate(patterns)})
     out = out.withColumns({f"__m{k}": matches(F.col(f"__r{k}"), F.col(f"__p{k}"), kind) for k, (_, kind) in enumerate(patterns)})
     out = out.withColumns({f"__s{k}": running(F.col(f"__m{k}")) for k in range(6)})
     base = F.flatten(F.array(*[F.transform(F.filter(F.col(f"__s{k}"), valid), as_span) for k in range(4)]))
@@ -135,7 +140,7 @@ def found(docs: DataFrame) -> DataFrame:
     phones = F.transform(F.filter(F.col("__s5"), lambda x: n(x).between(7, 15)), lambda x: x.withField("kind", F.lit(3)))
     known = lambda k: F.col(f"__s{k}")
     return out.withColumns({"__base": ordered(base), "__candidates": F.concat(known(4), known(1), known(2), known(3), cards, phones)}).drop(
-        *[f"__{c}{k}" for c in "rpms" for k in range(6)], "__text")
+        *[f"__{c}{k}" for c in "rpms" for k in range(6)], "__text", "__digit")
 
 
 def described(x: Column, base: Column) -> Column:
