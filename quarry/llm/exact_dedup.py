@@ -32,11 +32,13 @@ def digest(text: Column) -> Column:
 class DigestIndex:
     """Digests seen so far, in a folder bucketed and sorted by digest.
 
-    The bucket count is stored beside the data (``<path>/meta``) and read back
-    when the index is opened again, so hashing never changes under the data.
+    A new index gets as many buckets as the session has shuffle partitions, so
+    an append is one task, one bucket, one file.  The count is stored beside
+    the data (``<path>/meta``) and read back when the index is opened again,
+    so hashing never changes under the data.
     """
 
-    def __init__(self, spark: SparkSession, path: str, buckets: int = 64):
+    def __init__(self, spark: SparkSession, path: str, buckets: int | None = None):
         self.spark, self.path = spark, path.rstrip("/")
         self.table = f"digest_index_{uuid.uuid4().hex}"
         jvm = spark.sparkContext._jvm
@@ -45,6 +47,7 @@ class DigestIndex:
         if fs.exists(meta):
             buckets = spark.read.parquet(f"{self.path}/meta").first()["buckets"]
         else:
+            buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
             spark.range(1).select(F.lit(buckets).alias("buckets")).write.mode("overwrite").parquet(f"{self.path}/meta")
         self.buckets = buckets
         spark.sql(f"CREATE TABLE {self.table} ({_COLUMNS}) USING parquet CLUSTERED BY (digest) SORTED BY (digest) "
@@ -95,7 +98,7 @@ def deduplicate(docs: DataFrame, index: DigestIndex) -> DataFrame:
         F.coalesce(F.col("rid") == F.col("keep_rid"), F.lit(False)).alias("kept"), F.col("digest").alias("text_sha256"))
 
 
-def new_index(spark: SparkSession, label: str = "digest-index", buckets: int = 64) -> DigestIndex:
+def new_index(spark: SparkSession, label: str = "digest-index", buckets: int | None = None) -> DigestIndex:
     """An empty index in a fresh folder of the shared checkpoint directory."""
     return DigestIndex(spark, scratch_dir(spark, label), buckets)
 
