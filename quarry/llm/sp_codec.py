@@ -26,6 +26,7 @@ import pickle
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -35,8 +36,11 @@ from pyspark.sql import DataFrame
 from quarry.llm.common import file_bytes
 
 SPACE = "▁"
-#: An odd multiplier for the substring hashes.
+#: Odd multipliers, for the substring hashes and for their places in the marks.
 BASE = np.uint64(0x9E3779B97F4A7C15)
+MIX = np.uint64(0xD6E8FEB86659FD93)
+#: log2 of the marks of each length: places a key of that length may have.
+MARK_BITS = 18
 
 
 @dataclass
@@ -44,7 +48,9 @@ class Pieces:
     keys: dict[int, np.ndarray]  # by length: sorted hashes
     ids: dict[int, np.ndarray]
     scores: dict[int, np.ndarray]
+    marks: dict[int, np.ndarray]  # by length: whether any key has this place
     text: list[str | bytes]  # of each id: its string, or its byte
+    raw: list[bytes]  # of each id: what it decodes to
     byte_ids: list[int]
     unknown: float
     merges: Merges | None  # of a bpe model
@@ -121,19 +127,25 @@ def merges(text: list[str | bytes], normal: list[int], score: list[float]) -> tu
 
 
 def codes(words: list[str]) -> np.ndarray:
-    """Code points of words of one length, a row each."""
-    return np.frombuffer("".join(words).encode("utf-32-le"), "<u4").reshape(len(words), -1).astype(np.uint64)
+    """Code points of words of one length, a column each."""
+    c = np.frombuffer("".join(words).encode("utf-32-le"), "<u4").reshape(len(words), -1)
+    return np.ascontiguousarray(c.T).astype(np.uint64)
 
 
 def hashes(c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Prefix hashes of each row and the powers of the multiplier (modulo 2**64)."""
-    h = np.zeros((c.shape[0], c.shape[1] + 1), np.uint64)
-    power = np.cumprod(np.concatenate((np.ones(1, np.uint64), np.full(c.shape[1], BASE))))
-    for k in range(c.shape[1]):
-        h[:, k + 1] = h[:, k] * BASE + c[:, k] + np.uint64(1)
+    """Prefix hashes of each column and the powers of the multiplier (modulo 2**64)."""
+    h = np.zeros((c.shape[0] + 1, c.shape[1]), np.uint64)
+    power = np.cumprod(np.concatenate((np.ones(1, np.uint64), np.full(c.shape[0], BASE))))
+    for k in range(c.shape[0]):
+        h[k + 1] = h[k] * BASE + c[k] + np.uint64(1)
     return h, power
 
 
+def place(key: np.ndarray) -> np.ndarray:
+    """Where the marks of a length say whether any piece has a key of this place."""
+    return (key * MIX) >> np.uint64(64 - MARK_BITS)
+
+
 def pieces(model: bytes, kind: str = "bpe") -> Pieces:
     """The normal pieces of a SentencePiece model, keyed by hash."""
     import sentencepiece
@@ -156,19 +168,22 @@ def pieces(model: bytes, kind: str = "bpe") -> Pieces:
     by_length: dict[int, list[int]] = {}
     for i in normal:
         by_length.setdefault(len(text[i]), []).append(i)
-    out = Pieces({}, {}, {}, text, byte_ids, min((score[i] for i in normal), default=0.0) - 10.0, table)
+    raw = [t if isinstance(t, bytes) else t.encode() for t in text]
+    out = Pieces({}, {}, {}, {}, text, raw, byte_ids, min((score[i] for i in normal), default=0.0) - 10.0, table)
     for length, ids in by_length.items():
-        h = hashes(codes([text[i] for i in ids]))[0][:, -1]
+        h = hashes(codes([text[i] for i in ids]))[0][-1]
         order = np.argsort(h)
         out.keys[length], out.ids[length] = h[order], np.array(ids)[order]
         out.scores[length] = np.array([score[i] for i in ids])[order]
+        out.marks[length] = np.zeros(1 << MARK_BITS, bool)
+        out.marks[length][place(h)] = True
     return out
 
 
-def viterbi(words: list[str], p: Pieces) -> list[list[int]]:
-    """Ids of words of one length, all advanced together."""
+def viterbi(words: list[str], p: Pieces) -> list[bytes]:
+    """Ids (little-endian 32 bit) of words of one length, all advanced together."""
     c = codes(words)
-    n, length = c.shape
+    length, n = c.shape
     h, power = hashes(c)
     best = np.full((length + 1, n), -np.inf)
     best[0] = 0.0
@@ -179,11 +194,14 @@ def viterbi(words: list[str], p: Pieces) -> list[list[int]]:
         for size in sorted(p.keys):
             if size > j:
                 break
-            key = h[:, j] - h[:, j - size] * power[size]
+            key = h[j] - h[j - size] * power[size]
+            # most substrings are no piece: the marks tell before the search
+            row = np.flatnonzero(p.marks[size][place(key)])
+            key = key[row]
             at = np.searchsorted(p.keys[size], key)
             at[at == len(p.keys[size])] = 0
-            row = np.flatnonzero(p.keys[size][at] == key)
-            hits.append((size, row, at[row]))
+            same = p.keys[size][at] == key
+            hits.append((size, row[same], at[same]))
         # a character alone, where no piece is: in a unigram model always possible, at a price
         lone = np.ones(n, bool)
         if p.merges:
@@ -202,14 +220,20 @@ def viterbi(words: list[str], p: Pieces) -> list[list[int]]:
     while at.any():
         steps.append(np.where(at > 0, which[at, row], -2))
         at = np.where(at > 0, at - back[at, row], 0)
-    out = []
-    for word, ids in zip(words, np.stack(steps[::-1], axis=1).tolist()):
-        ids = [i for i in ids if i != -2]
-        if -1 in ids:
-            ids = with_bytes(word, ids, p)
-        elif "".join([p.text[i] for i in ids]) != word:
-            raise ValueError(f"two substrings of one hash in {word!r}")
-        out.append(ids)
+    ids = np.stack(steps[::-1], axis=1)
+    there = ids != -2
+    flat, ends = ids[there].astype("<i4"), np.cumsum(there.sum(axis=1))
+    starts = np.concatenate(([0], ends[:-1]))
+    lacking = np.flatnonzero((ids == -1).any(axis=1)).tolist()
+    odd = {k: with_bytes(words[k], flat[starts[k]:ends[k]].tolist(), p) for k in lacking}
+    known = there.copy()
+    known[lacking] = False
+    if "".join([p.text[i] for i in ids[known].tolist()]) != "".join([w for k, w in enumerate(words) if k not in odd]):
+        raise ValueError("two substrings of one hash")
+    blob = flat.tobytes()
+    out = [blob[a:b] for a, b in zip((4 * starts).tolist(), (4 * ends).tolist())]
+    for k, more in odd.items():
+        out[k] = np.array(more, "<i4").tobytes()
     return out
 
 
@@ -247,30 +271,40 @@ class Encoder:
         self.p, self.most, self.memo = p, most, {}
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
+        if not texts:
+            return []
         words = [words_of(t) for t in texts]
+        ends = np.cumsum([len(ws) for ws in words])
+        coded = pa.array(list(chain.from_iterable(words)), pa.string()).dictionary_encode()
+        del words
+        distinct, place_of = coded.dictionary.to_pylist(), coded.indices.to_numpy()
         if len(self.memo) > self.most:
             self.memo.clear()
         new: dict[int, list[str]] = {}
-        for w in {w for ws in words for w in ws}:
+        for w in distinct:
             if w not in self.memo:
                 new.setdefault(len(w), []).append(w)
         for length, group in new.items():
             step = max(1, (1 << 19) // length)  # bounds the matrices of a step
             for k in range(0, len(group), step):
                 part = group[k:k + step]
-                for w, ids in zip(part, viterbi(part, self.p)):
-                    self.memo[w] = np.array(ids, "<i4").tobytes()
-        return [np.frombuffer(b"".join([self.memo[w] for w in ws]), "<i4") for ws in words]
+                self.memo.update(zip(part, viterbi(part, self.p)))
+        found = [self.memo[w] for w in distinct]
+        held, size = np.frombuffer(b"".join(found), "<i4"), np.array([len(x) // 4 for x in found], np.int64)
+        # the ids of all words one after the other, then cut by text
+        size, start = size[place_of], (np.cumsum(size) - size)[place_of]
+        upto = np.concatenate(([0], np.cumsum(size)))
+        ids = held[np.arange(upto[-1]) + np.repeat(start - upto[:-1], size)]
+        return np.split(ids, upto[ends[:-1]])
 
 
 def decode(ids: np.ndarray, p: Pieces) -> str:
     """The text of ids: pieces joined, byte pieces as UTF-8, marks as spaces, without the first."""
-    t = p.text
-    raw = b"".join([x if isinstance(x, bytes) else x.encode() for x in [t[i] for i in ids.tolist()]])
-    return raw.decode(errors="replace").replace(SPACE, " ")[1:]
+    raw = p.raw
+    return b"".join([raw[i] for i in ids.tolist()]).decode(errors="replace").replace(SPACE, " ")[1:]
 
 
-def slices(batch: pa.RecordBatch, column: str, rows: int = 2048, chars: int = 1 << 23) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: str, rows: int = 1024, chars: int = 1 << 22) -> Iterator[pa.RecordBatch]:
     """A batch in slices of at most ``rows`` rows and, but for a single row, about ``chars`` bytes of text."""
     size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
     at = 0
