@@ -1,8 +1,9 @@
 """Substring dedup over sliding spans of sentences.
 
 A sentence ends at ``.``, ``!`` or ``?`` before white space, or at a line end.
-From every sentence a span is taken: the fewest consecutive sentences that
-number at least ``min_sentences`` and hold at least ``min_words`` words.  Spans are
+Every run of at least ``min_sentences`` consecutive sentences with at least
+``min_words`` words counts, and a whole text that has no such run.  The shortest
+runs from and up to every sentence stand for all of them.  These spans are
 hashed in normal form (lower case, single spaces), hashes are joined
 globally, the first occurrence of each (smallest doc_id, then first row, then
 place) stays, and every sentence that any other occurrence covers is removed.
@@ -42,18 +43,26 @@ def sentences(text: str) -> list[tuple[int, int]]:
 
 
 def spans(text: str, min_sentences: int, min_words: int) -> list[tuple[int, int, int]]:
-    """``(first sentence, number of sentences, hash)`` of every span."""
+    """``(first sentence, number of sentences, hash)`` of every span.
+
+    The shortest span from each sentence on and the shortest up to each one:
+    what holds for a run holds for a longer one, so these cover the same
+    sentences as all runs that are long enough.
+    """
     words = [text[a:b].lower().split() for a, b in sentences(text)]
     real = [i for i, w in enumerate(words) if w]  # blank lines are no sentences
     size = np.cumsum([0] + [len(words[i]) for i in real])
     joined = [" ".join(words[i]).encode() for i in real]
+    n = len(real)
+    k = np.arange(n)
+    end = np.maximum(k + min_sentences, np.searchsorted(size, size[:-1] + min_words))
+    start = np.minimum(k + 1 - min_sentences, np.searchsorted(size, size[1:] - min_words, "right") - 1)
+    found = {(i, j) for i, j in zip(k.tolist(), end.tolist()) if j <= n} | {(i, j + 1) for i, j in zip(start.tolist(), k.tolist()) if i >= 0}
     out = []
-    for k in range(len(real)):
-        end = max(k + min_sentences, int(np.searchsorted(size, size[k] + min_words)))
-        if end > len(real):
-            break
-        h = xxhash.xxh3_64_intdigest(b"\n".join(joined[k:end]), 0)
-        out.append((real[k], real[end - 1] - real[k] + 1, h - (1 << 64) if h >> 63 else h))
+    for i, j in sorted(found) or [(0, n)] * (n > 0):
+        # a whole text under the minimum equals whole texts only
+        h = xxhash.xxh3_64_intdigest(b"\n".join(joined[i:j]), 0 if found else 1)
+        out.append((real[i], real[j - 1] - real[i] + 1, h - (1 << 64) if h >> 63 else h))
     return out
 
 

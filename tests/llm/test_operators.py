@@ -295,6 +295,45 @@ def test_op4_edge_cases(spark):
     assert substring_dedup.deduplicate(d.limit(0)).count() == 0
 
 
+def kept_by_all_runs(texts, k, m):
+    """Sentences removed when every run that is long enough is compared; does not call spans()."""
+    norm = {i: [(j, " ".join(t[a:b].lower().split())) for j, (a, b) in enumerate(substring_dedup.sentences(t))] for i, t in texts.items()}
+    norm = {i: [(j, x) for j, x in rows if x] for i, rows in norm.items()}
+    first, places = {}, []
+    for i, rows in sorted(norm.items()):
+        runs = [(a, b) for a in range(len(rows)) for b in range(a + 1, len(rows) + 1)]
+        n_words = lambda a, b: sum(len(x.split()) for _, x in rows[a:b])
+        good = [(a, b) for a, b in runs if b - a >= k and n_words(a, b) >= m]
+        for a, b in good or [(0, len(rows))] * bool(rows):
+            key = (not good, *[x for _, x in rows[a:b]])
+            first.setdefault(key, (i, a))
+            places.append((i, a, key, range(rows[a][0], rows[b - 1][0] + 1)))
+    gone = defaultdict(set)
+    for i, a, key, at in places:
+        if first[key] != (i, a):
+            gone[i].update(at)
+    return {i: substring_dedup.remove(t, gone[i]) for i, t in texts.items()}
+
+
+def test_op4_equals_all_runs(spark):
+    rng = random.Random(5)
+    pool = [" ".join(rng.choice("abcdefgh") for _ in range(rng.choice([1, 2, 3, 6, 9]))) + "." for _ in range(30)]
+    texts = {i: " ".join(rng.choice(pool) for _ in range(rng.randrange(1, 6))) for i in range(60)}
+    for i in range(60, 120):  # a run of another text, with other sentences around it
+        s = texts[i - 60].split(". ")
+        a = rng.randrange(len(s))
+        texts[i] = ". ".join([f"x{i} y{i}", *s[a:], f"z{i}"])
+    got = {r["doc_id"]: r["text"] for r in substring_dedup.deduplicate(docs(spark, [texts[i] for i in range(120)])).collect()}
+    assert got == kept_by_all_runs(texts, 2, 12)
+
+
+def test_op4_removes_copies_to_the_last_sentence(spark):
+    a = "One two three four five six seven. Eight nine ten eleven twelve thirteen. Short end. Bye."
+    d = [a, f"New start here. {a} Other end.", a, "Yes. No.", "yes.  No.", "Alone", "Alone", "Yes. No. Perhaps."]
+    got = [r["text"] for r in substring_dedup.deduplicate(docs(spark, d)).orderBy("doc_id").collect()]
+    assert got == [a, "New start here. Other end.", "", "Yes. No.", "", "Alone", "", "Yes. No. Perhaps."]
+
+
 # --- 5 PII ----------------------------------------------------------------------------
 
 def base_spans(text):
