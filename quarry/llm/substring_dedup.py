@@ -2,11 +2,15 @@
 
 A sentence ends at ``.``, ``!`` or ``?`` before white space, or at a line end.
 Every run of at least ``min_sentences`` consecutive sentences with at least
-``min_words`` words counts, and a whole text that has no such run.  The shortest
-runs from and up to every sentence stand for all of them.  These spans are
-hashed in normal form (lower case, single spaces), hashes are joined
-globally, the first occurrence of each (smallest doc_id, then first row, then
-place) stays, and every sentence that any other occurrence covers is removed.
+``min_words`` words counts, a run of fewer sentences if it has ``ALONE`` words,
+and a whole text that has no such run.  The shortest runs from and up to every
+sentence stand for all of them.  These spans are hashed in normal form (lower
+case, single spaces), hashes are joined globally, the first occurrence of each
+(smallest doc_id, then first row, then place) stays, and every sentence that
+any other occurrence covers is removed.
+
+Only whole sentences are compared and removed: a passage cut or glued inside
+sentences loses those that lie in it whole, and its two edges stay.
 
 Defined results: null and empty texts have no sentences and come back as they
 are; rows with a null doc_id come last; repeated rows are occurrences of their
@@ -42,6 +46,10 @@ def sentences(text: str) -> list[tuple[int, int]]:
     return out
 
 
+#: Words from which a run counts though it has fewer sentences than asked for.
+ALONE = 50
+
+
 def spans(text: str, min_sentences: int, min_words: int) -> list[tuple[int, int, int]]:
     """``(first sentence, number of sentences, hash)`` of every span.
 
@@ -56,7 +64,9 @@ def spans(text: str, min_sentences: int, min_words: int) -> list[tuple[int, int,
     n = len(real)
     k = np.arange(n)
     end = np.maximum(k + min_sentences, np.searchsorted(size, size[:-1] + min_words))
+    end = np.minimum(end, np.searchsorted(size, size[:-1] + ALONE))
     start = np.minimum(k + 1 - min_sentences, np.searchsorted(size, size[1:] - min_words, "right") - 1)
+    start = np.maximum(start, np.searchsorted(size, size[1:] - ALONE, "right") - 1)
     found = {(i, j) for i, j in zip(k.tolist(), end.tolist()) if j <= n} | {(i, j + 1) for i, j in zip(start.tolist(), k.tolist()) if i >= 0}
     out = []
     for i, j in sorted(found) or [(0, n)] * (n > 0):

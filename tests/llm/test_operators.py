@@ -334,6 +334,14 @@ def test_op4_removes_copies_to_the_last_sentence(spark):
     assert got == [a, "New start here. Other end.", "", "Yes. No.", "", "Alone", "", "Yes. No. Perhaps."]
 
 
+def test_op4_catches_long_single_sentences(spark):
+    long = " ".join(f"w{i}" for i in range(50)) + "."
+    short = " ".join(f"v{i}" for i in range(49)) + "."
+    d = [f"Some start. {long} An end. {short}", f"{long} Other words.", f"Yet another start. {short} And its end.", long]
+    got = [r["text"] for r in substring_dedup.deduplicate(docs(spark, d)).orderBy("doc_id").collect()]
+    assert got == [d[0], "Other words.", d[2], ""]
+
+
 # --- 5 PII ----------------------------------------------------------------------------
 
 def base_spans(text):
