@@ -262,7 +262,7 @@ def split(rows: DataFrame, bits: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 4, bits: int = 4, leaf_rows: int = 50_000) -> DataFrame:
-    """Rows ``(rid, doc_id, fp, component_id)``: the smallest doc_id reachable by links."""
+    """Rows ``(rid, doc_id, fp, component_id, component)``: the smallest doc_id reachable by links, and the smallest row id."""
     rows = save(fingerprints(docs, shingle), "simhash")
     # a null doc_id takes no part in the minimum unless the whole class has none
     big = F.lit((1 << 63) - 1)
@@ -273,13 +273,13 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, bits: int = 4, leaf_rows:
                  .withColumn("component", F.coalesce("component", "cid")), "simhash-parts")
     best = named.groupBy("component").agg(F.min("low").alias("component_id"), F.count("*").alias("classes"))
     named = save(hot_join(named, save(best, "simhash-best"), "component", "classes"), "simhash-named")
-    return hot_join(rows, named.select("fp", "component_id", "copies"), "fp", "copies").select(
-        "rid", "doc_id", "fp", F.when(F.col("component_id") != big, F.col("component_id")).alias("component_id"))
+    return hot_join(rows, named.select("fp", "component_id", "component", "copies"), "fp", "copies").select(
+        "rid", "doc_id", "fp", F.when(F.col("component_id") != big, F.col("component_id")).alias("component_id"), "component")
 
 
 def keep_one(docs: DataFrame, shingle: int = 4, bits: int = 4) -> DataFrame:
     """One document of each component (its smallest doc_id, then first row), all columns."""
     found = near_duplicates(docs, shingle, bits)
-    key = F.coalesce("component_id", F.lit(-1) - F.col("rid"))
-    first = found.groupBy(key.alias("k")).agg(F.min_by("rid", F.struct(F.col("doc_id").isNull(), "doc_id", "rid")).alias("__rid"))
+    # not by component_id: doc_ids may repeat or be null, row ids do not
+    first = found.groupBy("component").agg(F.min_by("rid", F.struct(F.col("doc_id").isNull(), "doc_id", "rid")).alias("__rid"))
     return with_row_id(docs, "__rid").join(first.select("__rid"), "__rid", "left_semi").drop("__rid")

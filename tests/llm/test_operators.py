@@ -16,7 +16,7 @@ from pyspark.sql import Row
 
 from quarry.llm import (chat, embed_dedup, exact_dedup, gbt, langid, packing, pii, simhash, sp_codec, substring_dedup,
                         url_filter)
-from quarry.llm.common import components
+from quarry.llm.common import components, save
 from quarry.llm.queries import QUERIES, RULES, TOKENIZERS
 
 DOC = "doc_id long, text string, lang string, source string, n_chars long, rid string, digest string, at int"
@@ -483,6 +483,17 @@ def test_op7_edge_cases(spark):
     assert simhash.keep_one(lost).count() >= 1
 
 
+def test_op7_keeps_one_of_each_component_whatever_the_doc_ids(spark):
+    a, b, c = ("the cat sat on the mat and looked at the dog", "ein ganz anderer satz der mit nichts verwandt ist",
+               "numbers one two three four five six seven eight nine ten")
+    rows = [(1, a), (1, b), (1, a), (None, c), (None, c), (None, c), (-4, "yet another text about the weather in spring and autumn"),
+            (-5, "music theory for beginners with many small examples"), (7, b)]
+    d = save(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), "test-op7")
+    got = [tuple(r) for r in simhash.keep_one(d).collect()]
+    key = lambda r: (r[0] is None, r[0] or 0, r[1])
+    assert sorted(got, key=key) == sorted({r[1]: r for r in reversed(rows)}.values(), key=key)
+
+
 # --- 8 chat -------------------------------------------------------------------------------
 
 ODD_CHAT = ["", "<|im_end|>", "<\\|im_start|>assistant", "<\\\\|", "<|", "<", "|im_end|>", "\n\n x \n", "😀é\u0301 日本", "a<|im_sep|>b<|im_end|>", "\\", "<|endoftext|>"]
