@@ -4,8 +4,11 @@ Base spans (email, ip, card, phone) come from fixed patterns and checks and
 always stay.  High-recall generators propose further spans, which may overlap;
 boosted trees score each from its format and its context, and a span is added
 if its score passes the kind's threshold, calibrated on held-out candidates to
-a wanted precision.  Trained on a bounded sample of documents, where a
-candidate is positive if it is a base span and negative if not.
+a wanted precision.  Trained on a bounded sample of documents, where the label
+of a candidate comes from evidence besides the base patterns (``evidence``): its
+check sum, its format once written-out marks are read, and the words before it.
+Candidates without evidence either way take no part in training, and are scored
+like the others.
 
 All work on a document happens in its own row: patterns give matches and the
 text between them, running lengths give positions.  Nothing is shuffled.
@@ -40,7 +43,17 @@ _OCTET = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})"
 _PLACED = "struct<kind:int,start:bigint,m:string,before:string,after:string>"
 SPAN = "array<struct<kind:int,start:bigint,end:bigint>>"
 FEATURES = ["kind", "size", "digits", "separators", "groups", "longest", "plus", "luhn", "dots", "at_marks",
-            "before", "after", "secret_word", "contact_word", "open_bracket"]
+            "before", "after", "secret_word", "contact_word", "open_bracket", "whole_address", "number_format",
+            "date_format", "phone_word", "mail_word", "card_word"]
+
+#: Formats and words that tell candidates apart, besides the base patterns.
+ADDRESS = r"^[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}$"
+DATE = r"^(?:(?:19|20)[0-9]{2}([-/.])(?:0?[1-9]|1[0-2])\1[0-3]?[0-9]|[0-3]?[0-9]([-/.])[0-3]?[0-9]\2(?:19|20)?[0-9]{2})(?![0-9\-/.])"
+FOUR_NUMBERS = r"^[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+$"
+DECIMAL = r"^[0-9]+\.[0-9]+$"
+PHONE_WORD = r"\b(?:phone|telephone|tel|mobile|cell|call|fax|dial|whatsapp|sms)\b"
+MAIL_WORD = r"\b(?:e-?mail|mail|write|contact|address)\b"
+CARD_WORD = r"\b(?:card|visa|mastercard|amex|credit|debit|pay)\b"
 
 
 def luhn(digits: Column) -> Column:
@@ -150,6 +163,9 @@ def described(x: Column, base: Column) -> Column:
     kind_of = lambda c: F.when(c == "", 0).when(c.rlike(r"^\s"), 1).when(c.rlike("^[0-9]"), 2).when(c.rlike(r"^\p{L}"), 3).otherwise(4)
     runs = F.filter(F.split(m, "[^0-9]+"), lambda r: r != "")
     span = as_span(x)
+    # an address with its written-out marks read
+    address = F.regexp_replace(F.regexp_replace(m, r" ?[(\[]at[)\]] ?", "@"), r" ?[(\[]dot[)\]] ?", ".")
+    date = m.rlike(DATE)
     f = {"kind": x["kind"], "size": F.length(m), "digits": F.length(d),
          "separators": F.length(m) - F.length(F.translate(m, " -().", "")), "groups": F.size(runs),
          "longest": F.coalesce(F.array_max(F.transform(runs, F.length)), F.lit(0)), "plus": m.startswith("+").cast("int"),
@@ -158,11 +174,46 @@ def described(x: Column, base: Column) -> Column:
          "before": kind_of(F.right(x["before"], F.lit(1))), "after": kind_of(F.left(x["after"], F.lit(1))),
          "secret_word": near.rlike("token|key|secret|password|passwd|order|serial|version").cast("int"),
          "contact_word": near.rlike("mail|phone|tel|call|fax|card|contact|address|ip").cast("int"),
-         "open_bracket": near.rlike(r"[(\[]\s*$").cast("int")}
+         "open_bracket": near.rlike(r"[(\[]\s*$").cast("int"),
+         "whole_address": F.when(x["kind"] == 0, address.rlike(ADDRESS).cast("int")),
+         "number_format": (F.size(runs).between(2, 6) & (F.array_max(F.transform(runs, F.length)) <= 8)
+                           & ~date & ~m.rlike(FOUR_NUMBERS) & ~m.rlike(DECIMAL)).cast("int"),
+         "date_format": date.cast("int"), "phone_word": near.rlike(PHONE_WORD).cast("int"),
+         "mail_word": near.rlike(MAIL_WORD).cast("int"), "card_word": near.rlike(CARD_WORD).cast("int")}
     return F.struct(span["start"].alias("start"), span["end"].alias("end"), F.array_contains(base, span).alias("is_base"),
                     *[F.coalesce(f[c].cast("double"), F.lit(0.0)).alias(c) for c in FEATURES])
 
 
+def evidence(x: Column, base: Column) -> Column:
+    """Label of a described candidate: 1.0, 0.0, or null where nothing speaks for either.
+
+    Base spans are positive.  Others need a whole format and, for a phone, a
+    phone word before it; for a card, the check sum and separators or a card word.
+    What overlaps a base span of its own kind is never added and has no label.
+    """
+    yes, no, unknown = F.lit(1.0), F.lit(0.0), F.lit(None).cast("double")
+    overlaps = lambda own: F.exists(base, lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"])
+                                    & ((b["kind"] == x["kind"].cast("int")) == F.lit(own)))
+    glued = x["before"].isin(2.0, 3.0) | x["after"].isin(2.0, 3.0)
+    bad = glued | (x["secret_word"] == 1) | (x["date_format"] == 1)
+    mail = F.when(x["whole_address"] == 1, yes).when(x["mail_word"] == 1, unknown).otherwise(no)
+    card = (F.when(bad | (x["luhn"] == 0), no).when((x["card_word"] == 1) | (x["number_format"] == 1) & (x["groups"] >= 3), yes)
+            .when(x["groups"] > 1, unknown).otherwise(no))
+    # four numbers and decimals are no phones even after a phone word
+    phone = (F.when(bad, no).when((x["phone_word"] == 1) & ((x["number_format"] == 1) | (x["groups"] == 1)), yes)
+             .when(x["number_format"] == 1, unknown).otherwise(no))
+    return (F.when(x["is_base"], yes).when(overlaps(True), unknown).when(overlaps(False), no)
+            .when(x["kind"] == 0, mail).when(x["kind"] == 2, card).when(x["kind"] == 3, phone).otherwise(no))
+
+
+def labelled(docs: DataFrame, *keep: str) -> DataFrame:
+    """The candidates that have a label, described, with the columns ``keep`` of their documents."""
+    rows = found(docs).select(*keep, "__base", F.explode(F.transform(
+        F.col("__candidates"), lambda x: described(x, F.col("__base")))).alias("__x"))
+    rows = rows.withColumn("label", evidence(F.col("__x"), F.col("__base")))
+    return rows.where("label IS NOT NULL").select(*keep, "__x.is_base", *[F.col("__x")[c].alias(c) for c in FEATURES], "label")
+
+
 def train(docs: DataFrame, max_docs: int = 4_000, trees: int = 12, depth: int = 3, precision: float = 0.98,
           ) -> tuple[list, dict[int, float]]:
     """(trees, threshold of each kind), from about ``max_docs`` documents chosen by hash.
@@ -176,11 +227,10 @@ def train(docs: DataFrame, max_docs: int = 4_000, trees: int = 12, depth: int =
         return [(1.0, -4.0)], {}
     place = F.pmod(F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))), F.lit(1 << 20))
     sample = docs.select("text").where(place < F.lit(min(1 << 20, -(-max_docs * (1 << 20) // total))))
-    rows = found(sample).select(F.pmod(F.hash("text"), F.lit(10)).alias("fold"), F.explode(
-        F.transform(F.col("__candidates"), lambda x: described(x, F.col("__base")))).alias("x")).select("fold", "x.*")
-    rows = save(rows.withColumn("label", F.col("is_base").cast("double")), "pii-candidates")
+    rows = save(labelled(sample, "text"), "pii-candidates").withColumn("fold", F.pmod(F.hash("text"), F.lit(10)))
     model = gbt.fit(rows.where("fold < 7"), FEATURES, "label", trees, depth)
-    held = rows.where("fold >= 7").select("kind", "label", F.floor(gbt.probability(model, F.col) * 50).cast("int").alias("bin"))
+    # base spans stay whatever their score: the thresholds are for what is added
+    held = rows.where("fold >= 7 AND NOT is_base").select("kind", "label", F.floor(gbt.probability(model, F.col) * 50).cast("int").alias("bin"))
     bins: dict[int, list[tuple[int, int, float]]] = {}
     for r in held.groupBy("kind", "bin").agg(F.count("*").alias("n"), F.sum("label").alias("p")).collect():
         bins.setdefault(int(r["kind"]), []).append((r["bin"], r["n"], r["p"]))

@@ -395,6 +395,31 @@ def test_op5_empty_and_without_candidates(spark):
     assert pii.report(d.limit(0), *pii.train(d.limit(0))).count() == 0
 
 
+def planted_pii(n):
+    """Texts with PII outside the base patterns, look-alikes, and base spans; told by their first word."""
+    rng = random.Random(n)
+    num = lambda k: "".join(rng.choice("0123456789") for _ in range(k))
+    name = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    make = {"phone": lambda: f"please call {num(3)}-010-{num(4)} today", "tel": lambda: f"tel ({num(3)}) {num(3)}-{num(4)} or later",
+            "mail": lambda: f"ask {name()} (at) {name()} (dot) com now", "order": lambda: f"order {num(3)}-{num(3)}-{num(4)} was sent",
+            "date": lambda: f"on 20{num(2)}-0{rng.randrange(1, 10)}-1{num(1)} it rained", "handle": lambda: f"see {name()}@{name()} there",
+            "base": lambda: f"+1 ({num(3)}) 555-{num(4)} or {name()}@{name()}.org", "digits": lambda: f"id {num(9)} is taken"}
+    return [f"{kind} {name()} {make[kind]()}" for kind in make for _ in range(n)]
+
+
+def test_op5_a_trained_model_adds_phones_and_addresses(spark):
+    d = docs(spark, planted_pii(120))
+    model, least = pii.train(save(d, "test-op5"))
+    new = [t for t in planted_pii(9) if t.split()[0] not in ("base",)]
+    spans = {}
+    for r in pii.report(docs(spark, new), model, least).collect():
+        spans.setdefault(new[r["doc_id"]].split()[0], []).append(r["spans"].split(":")[0])
+    assert spans["phone"] == spans["tel"] == ["phone"] * 9 and spans["mail"] == ["email"] * 9
+    assert all(spans[k] == [""] * 9 for k in ("order", "date", "handle", "digits"))
+    clean = {new[r["doc_id"]].split()[0]: r["text"] for r in pii.redact(docs(spark, new), model, least).collect()}
+    assert clean["phone"].endswith("please call [PHONE] today") and clean["mail"].endswith("[EMAIL] now")
+
+
 # --- 6 SentencePiece --------------------------------------------------------------------
 
 MODEL = f"{TOKENIZERS}/piece_bpe_32k.model"
