@@ -3,11 +3,11 @@
 Base spans (email, ip, card, phone) come from fixed patterns and checks and
 always stay.  High-recall generators propose further spans, which may overlap;
 boosted trees score each from its format and its context, and a span is added
-if its score passes the kind's threshold, calibrated on held-out candidates to
-a wanted precision.  Trained on a bounded sample of documents, where the label
-of a candidate comes from evidence besides the base patterns (``evidence``): its
+if its score passes the kind's threshold, calibrated to a wanted precision.  The
+trees learn from a bounded sample of documents, the thresholds come from all
+others.  A candidate's label comes from evidence besides the base patterns: its
 check sum, its format once written-out marks are read, and the words before it.
-Candidates without evidence either way take no part in training, and are scored
+Candidates without evidence either way take no part in either, and are scored
 like the others.
 
 All work on a document happens in its own row: patterns give matches and the
@@ -206,31 +206,33 @@ def evidence(x: Column, base: Column) -> Column:
             .when(x["kind"] == 0, mail).when(x["kind"] == 2, card).when(x["kind"] == 3, phone).otherwise(no))
 
 
-def labelled(docs: DataFrame, *keep: str) -> DataFrame:
-    """The candidates that have a label, described, with the columns ``keep`` of their documents."""
-    rows = found(docs).select(*keep, "__base", F.explode(F.transform(
+def labelled(docs: DataFrame) -> DataFrame:
+    """The candidates that have a label, described."""
+    rows = found(docs.select("text")).select("__base", F.explode(F.transform(
         F.col("__candidates"), lambda x: described(x, F.col("__base")))).alias("__x"))
     rows = rows.withColumn("label", evidence(F.col("__x"), F.col("__base")))
-    return rows.where("label IS NOT NULL").select(*keep, "__x.is_base", *[F.col("__x")[c].alias(c) for c in FEATURES], "label")
+    return rows.where("label IS NOT NULL").select("__x.is_base", *[F.col("__x")[c].alias(c) for c in FEATURES], "label")
 
 
 def train(docs: DataFrame, max_docs: int = 4_000, trees: int = 12, depth: int = 3, precision: float = 0.98,
           ) -> tuple[list, dict[int, float]]:
-    """(trees, threshold of each kind), from about ``max_docs`` documents chosen by hash.
+    """(trees, threshold of each kind): trees from a sample, thresholds from all other documents.
 
-    Seven tenths of them fit the trees; on the rest, a kind's threshold is the
-    lowest score (in steps of 0.02) above which at least ``precision`` of the
-    candidates are positive.  A kind that never gets there has none.
+    The trees are fitted on about ``max_docs`` documents chosen by hash, seven
+    tenths of all at most.  A kind's threshold is the lowest score (in steps of
+    0.02) above which at least ``precision`` of the labelled candidates that are
+    no base spans are positive, in every document outside the sample.  A kind
+    that never gets there has none.
     """
     total = docs.count()
     if not total:
         return [(1.0, -4.0)], {}
     place = F.pmod(F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))), F.lit(1 << 20))
-    sample = docs.select("text").where(place < F.lit(min(1 << 20, -(-max_docs * (1 << 20) // total))))
-    rows = save(labelled(sample, "text"), "pii-candidates").withColumn("fold", F.pmod(F.hash("text"), F.lit(10)))
-    model = gbt.fit(rows.where("fold < 7"), FEATURES, "label", trees, depth)
+    cut = F.lit(min(7 * (1 << 20) // 10, -(-max_docs * (1 << 20) // total)))
+    model = gbt.fit(save(labelled(docs.where(place < cut)), "pii-candidates"), FEATURES, "label", trees, depth)
     # base spans stay whatever their score: the thresholds are for what is added
-    held = rows.where("fold >= 7 AND NOT is_base").select("kind", "label", F.floor(gbt.probability(model, F.col) * 50).cast("int").alias("bin"))
+    held = labelled(docs.where(place >= cut)).where(~F.col("is_base")).select(
+        "kind", "label", F.floor(gbt.probability(model, F.col) * 50).cast("int").alias("bin"))
     bins: dict[int, list[tuple[int, int, float]]] = {}
     for r in held.groupBy("kind", "bin").agg(F.count("*").alias("n"), F.sum("label").alias("p")).collect():
         bins.setdefault(int(r["kind"]), []).append((r["bin"], r["n"], r["p"]))
@@ -239,9 +241,7 @@ def train(docs: DataFrame, max_docs: int = 4_000, trees: int = 12, depth: int =
         n = p = 0
         for b, m, q in sorted(rows_, reverse=True):
             n, p = n + m, p + q
-            if p < precision * n:
-                break
-            if q:
+            if q and p >= precision * n:
                 thresholds[kind] = b / 50
     return model, thresholds
 

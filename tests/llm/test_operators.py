@@ -420,6 +420,13 @@ def test_op5_a_trained_model_adds_phones_and_addresses(spark):
     assert clean["phone"].endswith("please call [PHONE] today") and clean["mail"].endswith("[EMAIL] now")
 
 
+def test_op5_thresholds_come_from_all_documents_outside_the_sample(spark):
+    d = docs(spark, planted_pii(120))
+    # written-out addresses outside the tenths of the documents that a sample could hold back
+    d = save(d.where("text NOT LIKE 'mail %' OR pmod(hash(text), 10) < 7"), "test-op5")
+    assert set(pii.train(d, max_docs=300)[1]) >= {0, 3}
+
+
 # --- 6 SentencePiece --------------------------------------------------------------------
 
 MODEL = f"{TOKENIZERS}/piece_bpe_32k.model"
