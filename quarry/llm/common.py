@@ -36,6 +36,19 @@ def with_row_id(df: DataFrame, name: str = "rid") -> DataFrame:
     return df.withColumn(name, F.monotonically_increasing_id())
 
 
+def without_rows(df: DataFrame, lost: DataFrame, name: str = "__rid") -> DataFrame:
+    """``df`` without the rows whose row id (``with_row_id``) is in ``lost(name)``.
+
+    The ids are written first, so their size is known when the join is
+    planned: below the session's broadcast threshold they go to the rows and no
+    text is shuffled; above it both sides are shuffled by the id.
+    """
+    own = name
+    while own in df.columns:
+        own = f"_{own}"
+    return with_row_id(df, own).join(save(lost.select(F.col(name).alias(own)), "lost-rows"), own, "left_anti").drop(own)
+
+
 def ascii_lower(c: Column) -> Column:
     """Lower-case A-Z and nothing else."""
     return F.translate(c, UPPER, LOWER)

@@ -5,6 +5,11 @@ Two texts are equal when they are the same after deleting every character of
 index is a table bucketed and sorted by digest, so a batch is looked up by a
 sort-merge anti-join that shuffles only the batch, and then appended.
 
+A batch has an id.  What the index holds of the same id does not count when
+the batch is looked up, and digests the index has are not appended again; so a
+batch that is run again after a lost driver or a failed next step gives the
+same result and leaves the index as it was.
+
 Defined results: a null text counts as the empty text (all empty texts are
 copies of each other); a null doc_id loses ties; repeated rows (same doc_id,
 same text) are told apart by a row id, one of them stays; an empty table
@@ -18,7 +23,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm.common import BLANKS, hot_join, save, with_row_id
+from quarry.llm.common import BLANKS, hot_join, save, with_row_id, without_rows
 from quarry.session import scratch_dir
 
 _COLUMNS = "digest STRING, keep_id BIGINT, keep_rid BIGINT, points BIGINT, copies BIGINT, batch STRING"
@@ -67,14 +72,17 @@ class DigestIndex:
         self.spark.sql(f"DROP TABLE IF EXISTS {self.table}")
 
 
-def deduplicate(docs: DataFrame, index: DigestIndex) -> DataFrame:
+def deduplicate(docs: DataFrame, index: DigestIndex, batch: str | None = None) -> DataFrame:
     """One row per document: rid, doc_id, keep_id, group_size, kept, text_sha256.
 
     Within the batch the text with the most code points stays, then the
     smallest doc_id, then the first row; a text the index already has loses to
     the index.  ``group_size`` counts the batch's copies and those the index
-    counted.  The batch's new digests are appended to ``index``.
+    counted.  The batch's new digests are appended to ``index``.  ``batch``
+    names the batch, the same name in every attempt; without one the call is a
+    batch of its own, and its repetition finds copies.
     """
+    batch = batch or uuid.uuid4().hex
     rows = with_row_id(docs.select("doc_id", "text")).select(
         "rid", "doc_id", digest(F.col("text")).alias("digest"),
         F.length(F.coalesce("text", F.lit(""))).cast("long").alias("points"))
@@ -85,9 +93,8 @@ def deduplicate(docs: DataFrame, index: DigestIndex) -> DataFrame:
                 .select("digest", F.col("b.doc_id").alias("keep_id"), F.col("b.rid").alias("keep_rid"),
                         (-F.col("b.less")).alias("points"), "copies"), "winners")
     known = index.read()
-    batch = uuid.uuid4().hex
     new = best.join(known.hint("merge"), "digest", "left_anti")
-    old = known.groupBy("digest").agg(F.min_by("keep_id", "batch").alias("old_id"), F.sum("copies").alias("before"))
+    old = known.where(F.col("batch") != batch).groupBy("digest").agg(F.min_by("keep_id", "batch").alias("old_id"), F.sum("copies").alias("before"))
     verdict = save(best.join(old, "digest", "left").select(
         "digest", F.when(F.col("before").isNull(), F.col("keep_id")).otherwise(F.col("old_id")).alias("keep_id"),
         F.when(F.col("before").isNull(), F.col("keep_rid")).alias("keep_rid"),
@@ -103,7 +110,6 @@ def new_index(spark: SparkSession, label: str = "digest-index", buckets: int | N
     return DigestIndex(spark, scratch_dir(spark, label), buckets)
 
 
-def keep_first(docs: DataFrame, index: DigestIndex) -> DataFrame:
+def keep_first(docs: DataFrame, index: DigestIndex, batch: str | None = None) -> DataFrame:
     """The documents that stay, with all their columns."""
-    kept = deduplicate(docs, index).where("kept").select(F.col("rid").alias("__rid"))
-    return with_row_id(docs, "__rid").join(kept, "__rid", "left_semi").drop("__rid")
+    return without_rows(docs, deduplicate(docs, index, batch).where("NOT kept").select(F.col("rid").alias("__rid")))

@@ -11,7 +11,8 @@ hashes in sorted arrays.  ``word_scores`` is the same rule for a single word.
 Defined results: a null text, or one without a letter, is ``und`` with score
 0; ties go to the first language by name; with no labelled text every document
 is ``und``; repeated rows are scored alike; an empty table gives an empty
-result; other columns are ignored.
+result; other columns are kept, but columns called ``lang_pred`` or ``score``
+give way to the result's.
 """
 
 from __future__ import annotations
@@ -251,6 +252,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     scored in slices of about 2 MB (a longer text alone), by arrays.
     """
     sent = docs.sparkSession.sparkContext.broadcast(pickle.dumps(probe(model).__dict__))
+    docs = docs.drop("lang_pred", "score")
     keep = [c for c in docs.columns if c != "text"]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -36,8 +36,10 @@ def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact copies among all documents, by a fresh digest index."""
     docs = _read(spark, sf_dir, "documents")
-    return exact_dedup.deduplicate(docs, exact_dedup.new_index(spark)).select(
-        "doc_id", "keep_id", "group_size", "kept", "text_sha256")
+    index = exact_dedup.new_index(spark)
+    out = exact_dedup.deduplicate(docs, index, "documents").select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+    index.close()
+    return out
 
 
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,7 +77,8 @@ def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     more = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
                                  F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(trap).alias("text"))
-    return chat.read_back(chat.format_chats(rows.unionByName(more), f"{TOKENIZERS}/byte_bpe_50k.json"))
+    return chat.read_back(chat.format_chats(rows.unionByName(more), f"{TOKENIZERS}/byte_bpe_50k.json")).select(
+        "conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars")
 
 
 def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import components, hot_join, save, with_row_id
+from quarry.llm.common import components, hot_join, save, with_row_id, without_rows
 
 
 def fingerprint(text: str | None, shingle: int) -> int:
@@ -281,5 +281,5 @@ def keep_one(docs: DataFrame, shingle: int = 4, bits: int = 4) -> DataFrame:
     """One document of each component (its smallest doc_id, then first row), all columns."""
     found = near_duplicates(docs, shingle, bits)
     # not by component_id: doc_ids may repeat or be null, row ids do not
-    first = found.groupBy("component").agg(F.min_by("rid", F.struct(F.col("doc_id").isNull(), "doc_id", "rid")).alias("__rid"))
-    return with_row_id(docs, "__rid").join(first.select("__rid"), "__rid", "left_semi").drop("__rid")
+    first = found.groupBy("component").agg(F.min_by("rid", F.struct(F.col("doc_id").isNull(), "doc_id", "rid")).alias("rid"))
+    return without_rows(docs, found.join(first, "rid", "left_anti").select(F.col("rid").alias("__rid")))

@@ -13,6 +13,7 @@ import pytest
 import regex
 import xxhash
 from pyspark.sql import Row
+from pyspark.sql import functions as F
 
 from quarry.llm import (chat, embed_dedup, exact_dedup, gbt, langid, packing, pii, simhash, sp_codec, substring_dedup,
                         url_filter)
@@ -235,6 +236,16 @@ def test_exact_dedup_repeated_rows_and_empty(spark):
     assert exact_dedup.deduplicate(d.limit(0), exact_dedup.new_index(spark, buckets=2)).count() == 0
 
 
+def test_a_batch_that_runs_again_gives_the_same_result(spark):
+    index = exact_dedup.new_index(spark, buckets=2)
+    d = docs(spark, ["a", "b"]).withColumn("__rid", F.lit("mine")).coalesce(1)
+    for _ in range(2):  # the second run is the retry of a job that was lost after its append
+        assert sorted(r["text"] for r in exact_dedup.keep_first(d, index, "day 1").collect()) == ["a", "b"]
+        assert index.read().count() == 2
+    assert exact_dedup.keep_first(d, index, "day 2").count() == 0
+    index.close()
+
+
 def test_digest_index_persists_and_plans_a_merge_join_without_moving_the_index(spark):
     index = exact_dedup.new_index(spark, buckets=4)
     assert exact_dedup.keep_first(docs(spark, ["a", "b", "b "]), index).count() == 2
