@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from quarry.llm import exact_dedup, langid, packing, pii, simhash
-from quarry.llm.common import save, with_row_id
+from quarry.llm.common import save, with_row_id, without_rows
 from quarry.llm.queries import TOKENIZERS
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -21,15 +21,16 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep documents whose text has a language: null texts and texts without a letter go."""
-    rows = with_row_id(docs)
-    judged = langid.predict(rows.select("rid", "text"), langid.train(docs))
-    lost = judged.where("lang_pred = 'und'").select("rid")
-    return rows.join(lost, "rid", "left_anti").select(*docs.columns)
+    judged = langid.predict(with_row_id(docs, "__rid").select("__rid", "text"), langid.train(docs))
+    return without_rows(docs, judged.where("lang_pred = 'und'"))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group of exact copies."""
-    return exact_dedup.keep_first(docs, exact_dedup.new_index(spark))
+    index = exact_dedup.new_index(spark)
+    kept = exact_dedup.keep_first(docs, index, "documents")
+    index.close()
+    return kept
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
