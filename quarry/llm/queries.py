@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import (chat, embed_dedup, exact_dedup, langid, packing, pii, simhash, sp_codec, substring_dedup,
-                        url_filter)
+from quarry.llm import (chat, embed_dedup, exact_dedup, filter_audit, hard_negatives, langid, packing, pii, simhash, sp_codec,
+                        substring_dedup, toxicity, url_filter)
 
 #: Where the tokenizer files are (a parameter; the files are read, never copied).
 TOKENIZERS = os.environ.get("QUARRY_TOKENIZERS", "/opt/tokenizers")
@@ -99,9 +99,28 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(rows.select("doc_id", "held_out", "text"), langid.train(known))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hardest negatives of every hundredth vector, against all vectors."""
+    return hard_negatives.mine(_read(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters keep and lose in every order, per language."""
+    return filter_audit.audit(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document; rows with crc32(doc_id as text) mod 5 = 0 teach nothing."""
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
+    rows = _read(spark, sf_dir, "documents").select("doc_id", "text", held_out.alias("held_out"))
+    model = toxicity.train(rows.where("NOT held_out"), _read(spark, sf_dir, "labels"))
+    return toxicity.score(toxicity.scan(rows, model), model).select("doc_id", "held_out", "score", "predicted")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_packing, op2_url_filters, op3_exact_dedup, op4_substring_dedup, op5_pii, op6_sentencepiece, op7_simhash,
-    op8_chat_formatting, op9_embedding_dedup, op10_language_id)}
+    op8_chat_formatting, op9_embedding_dedup, op10_language_id, op11_hard_negatives, op12_filter_audit,
+    op13_toxicity)}
 
 ORACLE: dict[str, str] = {
     "op3_exact_dedup": r"""
@@ -121,4 +140,45 @@ ORACLE: dict[str, str] = {
                sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
                sum(length(role) + length(escaped) + 12 + 10 + 10)::BIGINT AS formatted_chars
         FROM e GROUP BY conv_id""",
+    "op11_hard_negatives": r"""
+        WITH v AS (SELECT row_number() OVER () AS rid, vec_id,
+                          CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label END AS label,
+                          list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+                   FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+                     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+             s AS (SELECT a.rid AS a_rid, a.vec_id AS anchor_id, o.rid, o.vec_id, a.label = o.label AS same,
+                          list_inner_product(a.v, o.v)::BIGINT AS score
+                   FROM v AS a JOIN v AS o ON a.rid <> o.rid AND len(a.v) = len(o.v) WHERE a.vec_id % 100 = 0),
+             p AS (SELECT * FROM s WHERE same
+                   QUALIFY row_number() OVER (PARTITION BY a_rid ORDER BY score DESC, vec_id NULLS LAST, rid) <= 5)
+        SELECT p.anchor_id, p.vec_id AS positive_id,
+               row_number() OVER (PARTITION BY p.a_rid, p.rid ORDER BY n.score DESC, n.vec_id NULLS LAST, n.rid)::INT AS rank,
+               n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+        FROM p JOIN s AS n ON p.a_rid = n.a_rid AND NOT n.same
+                          AND 30 * p.score <= 100 * n.score AND 100 * n.score <= 90 * p.score
+        QUALIFY rank <= 10""",
+    "op12_filter_audit": r"""
+        WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+                          regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+             k AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id),
+             f AS (SELECT d.part, coalesce(k.good, 0) AS good, coalesce(k.toxic, 0) AS toxic, MAP {
+                          'A': len(w) < 200, 'B': 100 * len(list_distinct(w)) < 50 * len(w),
+                          'C': 100 * len(regexp_extract_all(t, '[A-Z]')) > 3 * length(t), 'D': regexp_matches(t, '[#$%&*|]'),
+                          'E': coalesce(d.doc_id > min(d.doc_id) OVER (PARTITION BY t), false)} AS fails
+                   FROM d LEFT JOIN k ON d.doc_id = k.doc_id),
+             c AS (SELECT part, good, toxic, fails, count(*) AS n FROM f GROUP BY ALL),
+             l AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+             o AS (SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM l AS a, l AS b, l AS c, l AS d, l AS e
+                   WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+             s AS (SELECT filter_order, step, filter_order[step] AS x,
+                          list_transform(range(1, step), lambda i: filter_order[i]) AS earlier FROM o, (SELECT unnest(range(1, 6)) AS step)),
+             r AS (SELECT part, filter_order, step, x, good, toxic, n, fails[x] AS now,
+                          len(list_filter(earlier, lambda y: fails[y])) > 0 AS gone,
+                          len(list_filter(['A', 'B', 'C', 'D', 'E'], lambda y: fails[y])) = 1 AS one FROM c, s),
+             a AS (SELECT part, filter_order, step, x, sum(n * (NOT now AND NOT gone)::INT)::BIGINT AS kept,
+                          sum(n * (now AND NOT gone)::INT)::BIGINT AS removed, sum(n * (now AND gone)::INT)::BIGINT AS redundant,
+                          sum(n * (now AND one)::INT)::BIGINT AS unique_fails, sum(n * good * (now AND NOT gone)::INT)::BIGINT AS good_lost,
+                          sum(n * toxic * (now AND NOT gone)::INT)::BIGINT AS toxic_lost FROM r GROUP BY ALL)
+        SELECT part, filter_order, step::INT AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+               (sum(removed) OVER (PARTITION BY part, x))::BIGINT AS shapley FROM a""",
 }

@@ -15,8 +15,8 @@ import xxhash
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 
-from quarry.llm import (chat, embed_dedup, exact_dedup, gbt, langid, packing, pii, simhash, sp_codec, substring_dedup,
-                        url_filter)
+from quarry.llm import (chat, embed_dedup, exact_dedup, filter_audit, gbt, hard_negatives, langid, packing, pii, simhash, sp_codec,
+                        substring_dedup, toxicity, url_filter)
 from quarry.llm.common import components, save
 from quarry.llm.queries import QUERIES, RULES, TOKENIZERS
 
@@ -663,3 +663,213 @@ def test_op10_arrays_equal_the_rule_for_single_words(spark, all_docs):
         share = np.exp(mean - mean.max())
         assert lang == (m.langs[int(mean.argmax())] if words else "und")
         assert abs(score - (1 / share.sum() if words else 0.0)) < 1e-9
+
+
+# --- 11 hard negatives --------------------------------------------------------------
+
+def hard_negatives_of(rows, anchors, positives=5, negatives=10):
+    """Brute force over ``(vec_id, vector, label)``, in Python integers."""
+    held = []
+    for rid, (i, v, label) in enumerate(rows):
+        if label is None or v is None or any(x is None or not math.isfinite(x) for x in v):
+            continue
+        held.append((rid, i, (label + 1) % 10 if i is not None and i % 7 == 0 else label,
+                     [math.floor(256 * float(np.float32(x))) for x in v]))
+    out = []
+    for a in held:
+        if a[1] is None or not anchors(a[1]):
+            continue
+        scored = sorted((-sum(x * y for x, y in zip(a[3], o[3])), o[1] is None, o[1] or 0, o[0], o) for o in held
+                        if o[0] != a[0] and len(o[3]) == len(a[3]))
+        for p, *_, pos in [s for s in scored if s[4][2] == a[2]][:positives]:
+            near = [s for s in scored if s[4][2] != a[2] and 30 * -p <= 100 * -s[0] <= 90 * -p][:negatives]
+            out += [(a[1], pos[1], k, n[4][1], -p, -n[0]) for k, n in enumerate(near, 1)]
+    return out
+
+
+def vectors_of(spark, rows):
+    return spark.createDataFrame([(i, v, x, "s", 0, 0) for i, v, x in rows],
+                                 "vec_id long, embedding array<float>, label int, v string, rid int, score int")
+
+
+def test_op11_equals_brute_force(spark):
+    rng = np.random.default_rng(11)
+    center = rng.normal(size=(4, 24))
+    rows = [(int(i), (center[i % 4] + rng.normal(size=24) * 0.7).astype(np.float32).tolist(), int(rng.integers(0, 4))) for i in range(600)]
+    rows += [(700 + k, rows[3][1], 1) for k in range(60)]  # copies: ties by vec_id
+    rows += [(200, rows[7][1], 2), (200, rows[8][1], 2), (None, rows[9][1], 1), (None, None, 1), (300, [1.0] * 7, 1), (301, [2.0] * 7, 1),
+             (302, [1.0] * 7, 3), (400, [], 1), (901, [], 1), (500, [float("nan")] * 24, 1), (501, [float("inf")] + [0.0] * 23, 1),
+             (502, [None] + [0.0] * 23, 1), (503, rows[0][1], None), (600, [0.0] * 24, 1)]
+    want = hard_negatives_of(rows, lambda i: i % 100 == 0)
+    for size in (8 << 20, 4000):  # one block of anchors, then several
+        got = hard_negatives.mine(vectors_of(spark, rows).repartition(3), F.col("vec_id") % 100 == 0, block_bytes=size)
+        names = ["anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"]
+        assert got.columns == names and got.schema["rank"].dataType.simpleString() == "int"
+        key = lambda r: tuple((x is None, x or 0) for x in r)
+        # rows that share a vec_id tie by place, which repartition() deals anew: compare without them
+        plain = lambda rs: sorted((tuple(r) for r in rs if r[0] != 200), key=key)
+        assert plain(got.collect()) == plain(want)
+    assert hard_negatives.mine(vectors_of(spark, []), F.col("vec_id") % 100 == 0).count() == 0
+
+
+def test_op11_bounds_hold_and_prune():
+    rng = np.random.default_rng(5)
+    x, y = np.floor(rng.normal(size=(40, 64)) * 256), np.floor(rng.normal(size=(300, 64)) * 256)
+    y[:20] = x[:20] + np.floor(rng.normal(size=(20, 64)) * 8)
+    s = hard_negatives.exact(x, y)
+    for (m, xm, xd), (_, ym, yd) in zip(hard_negatives.summaries(x), hard_negatives.summaries(y)):
+        middle, spread = (xm * m) @ ym.T, (xd * m) @ yd.T + 1e-3
+        assert ((middle - spread <= s) & (s <= middle + spread)).all()
+    low, high = np.full(40, 30 * 65536), np.full(40, 1 << 62)
+    i, j, got = hard_negatives.survivors(x, y, np.ones(s.shape, bool), low, high, hard_negatives.summaries(x), hard_negatives.summaries(y))
+    assert sorted(zip(i.tolist(), j.tolist(), got.tolist())) == [(a, b, s[a, b]) for a, b in np.argwhere(s >= low[0])]
+    big = np.full((1, 64), 90_000_000.0)  # products beyond 2 ** 53 stay exact
+    assert hard_negatives.exact(big, big)[0, 0] == 64 * 90_000_000 ** 2
+
+
+def test_op11_huge_components_count_as_the_limit(spark):
+    rows = [(100, [3e38, 1.0], 1), (1, [1.0, 1.0], 1), (2, [0.5, 1.0], 2)]
+    got = hard_negatives.mine(vectors_of(spark, rows), F.col("vec_id") % 100 == 0).collect()
+    limit = math.floor(math.sqrt((1 << 59) / 2))
+    assert [tuple(r) for r in got] == [(100, 1, 1, 2, limit * 256 + 256 * 256, limit * 128 + 256 * 256)]
+
+
+# --- 12 filter audit ----------------------------------------------------------------
+
+def audit_of(rows, labels):
+    """Brute force: every order applied filter by filter to ``(doc_id, text, part)``."""
+    first = {}
+    for i, t, _ in rows:
+        if i is not None:
+            first[t or ""] = min(first.get(t or "", i), i)
+    marked = []
+    for i, t, part in rows:
+        t = t or ""
+        words = re.findall(r"[^\x20\x09-\x0D]+", t)
+        fails = {"A": len(words) < 200, "B": 100 * len(set(words)) < 50 * len(words),
+                 "C": 100 * len(re.findall("[A-Z]", t)) > 3 * len(t), "D": re.search("[#$%&*|]", t) is not None,
+                 "E": i is not None and i > first[t]}
+        said = [x for d, *x in labels if d == i and i is not None]
+        marked.append((part or "", {f for f, x in fails.items() if x}, any(q == 1 for q, _ in said), any(x == 1 for _, x in said)))
+    out = []
+    for part in {m[0] for m in marked}:
+        mine, removed = [m for m in marked if m[0] == part], Counter()
+        steps = []
+        for order in map("".join, itertools.permutations("ABCDE")):
+            left = mine
+            for k, f in enumerate(order, 1):
+                gone = [m for m in left if f in m[1]]
+                left = [m for m in left if f not in m[1]]
+                removed[f] += len(gone)
+                steps.append((part, order, k, len(left), len(gone), sum(f in m[1] for m in mine) - len(gone),
+                              sum(m[1] == {f} for m in mine), sum(m[2] for m in gone), sum(m[3] for m in gone), f))
+        out += [(*s[:-1], removed[s[-1]]) for s in steps]
+    return sorted(out)
+
+
+def test_op12_equals_brute_force(spark):
+    rng = random.Random(12)
+    long = " ".join(f"w{k}" for k in range(300))
+    texts = [None, "", " \t", "A B C", long, long + " #", long.upper(), "x " * 300, "X " * 250 + "$", long + " y", "é" * 40, LONG]
+    rows = [(i, rng.choice(texts), rng.choice(["en", "de", None, ""])) for i in range(200)]
+    rows += [(None, long, "en"), (None, long, "en"), (3, long, "en"), (3, long, "en"), (-5, long, "fr")] + [(1000 + k, "copy", "en") for k in range(300)]
+    labels = [(i, rng.choice([0, 1, None]), rng.choice([0, 1, None])) for i in range(0, 200, 2)] + [(3, 1, 0), (3, 0, 1), (None, 1, 1)]
+    d = spark.createDataFrame([(i, t, p, "s", 1, "m", 2) for i, t, p in rows],
+                              "doc_id long, text string, lang string, source string, mask int, digest string, part int").repartition(3)
+    given = spark.createDataFrame([(*x, "z") for x in labels], "doc_id long, quality int, toxic int, part string")
+    assert sorted(tuple(r) for r in filter_audit.audit(d, given).collect()) == audit_of(rows, labels)
+    assert filter_audit.audit(d.limit(0), given).count() == 0
+    none = filter_audit.audit(d, given.limit(0)).agg(F.sum("good_lost"), F.sum("toxic_lost"), F.sum("kept")).first()
+    assert none[0] == none[1] == 0 and none[2] > 0
+
+
+def test_op12_walk_equals_counting_every_subset():
+    rng = random.Random(1)
+    counts = {m: (rng.randrange(50), rng.randrange(9)) for m in rng.sample(range(32), 20)}
+    states = filter_audit.walk(counts, 5)
+    for s in range(32):
+        assert states[s] == tuple(sum(c[k] for m, c in counts.items() if not m & s) for k in range(2))
+
+
+# --- 13 toxicity --------------------------------------------------------------------
+
+def segments_of(scores):
+    """All maximal scoring segments by the definition: the best, then left and right of it."""
+    best = None
+    for a in range(len(scores)):
+        total = 0.0
+        for b in range(a, len(scores)):
+            total += scores[b]
+            if total > 0 and (best is None or total > best[2] + 1e-12):
+                best = (a, b, total)
+    if best is None:
+        return []
+    a, b, total = best
+    return segments_of(scores[:a]) + [best] + [(x + b + 1, y + b + 1, s) for x, y, s in segments_of(scores[b + 1:])]
+
+
+def test_op13_segments_equal_their_definition():
+    rng = np.random.default_rng(13)
+    for n in [0, 1, 2, *[int(x) for x in rng.integers(3, 40, 60)]]:
+        scores = np.round(rng.normal(-0.2, 1, n), 3) + rng.random(n) * 1e-6
+        got, want = toxicity.maximal_segments(scores), segments_of(scores.tolist())
+        assert [x[:2] for x in got] == [x[:2] for x in want]
+        assert np.allclose([x[2] for x in got], [x[2] for x in want])
+
+
+def planted_toxicity(spark, n=900):
+    rng = random.Random(2)
+    plain = [f"word{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(400)]
+    rows, labels, where = [], [], {}
+    for i in range(n):
+        words = [rng.choice(plain) for _ in range(rng.randrange(20, 200))]
+        toxic = i % 5 == 0
+        if toxic:
+            at = rng.randrange(len(words) - 5)
+            words[at:at] = [rng.choice(["vile", "scum", "filth", "vermin"]) for _ in range(6)]
+            where[i] = (len(" ".join(words[:at])) + (at > 0), len(" ".join(words[:at + 6])))
+        rows.append((i, " ".join(words), "x", 1.0, 7))
+        labels.append((i, int(toxic)))
+    d = spark.createDataFrame(rows, "doc_id long, text string, n_words string, score double, rid int")
+    return d, spark.createDataFrame(labels, "doc_id long, toxic int"), where
+
+
+def test_op13_finds_planted_passages(spark):
+    d, labels, where = planted_toxicity(spark)
+    model = toxicity.train(d.where("doc_id % 3 <> 0"), labels)
+    out = toxicity.passages(toxicity.score(toxicity.scan(d, model), model), model)
+    got = {r["doc_id"]: r for r in out.collect()}
+    assert len(got) == 900 and all(0 <= r["score"] <= 1 for r in got.values())
+    wrong = [i for i, r in got.items() if r["predicted"] != (i in where)]
+    assert len(wrong) <= 9
+    for i, (a, b) in where.items():  # the passage is found where it is, give or take an edge word
+        assert any(p["start"] <= a + 14 and p["end"] >= b - 14 for p in got[i]["passages"]), i
+    assert not any(r["passages"] for i, r in got.items() if i not in where and r["predicted"] == 0 and r["score"] < 0.01)
+
+
+def test_op13_edges(spark):
+    d, labels, _ = planted_toxicity(spark, 300)
+    more = spark.createDataFrame([(None, None, "x", 1.0, 7), (901, "", "x", 1.0, 7), (902, "123 --", "x", 1.0, 7), (903, "vile " * 60_000, "x", 1.0, 7),
+                                  (903, "vile " * 60_000, "x", 1.0, 7)], d.schema)
+    all_labels = labels.unionByName(spark.createDataFrame([(None, 1), (5, None), (5, 1), (5, 0), (901, 0), (7, 9)], labels.schema))
+    model = toxicity.train(d.unionByName(more), all_labels)
+    got = toxicity.score(toxicity.scan(more, model), model)
+    rows = {r["doc_id"]: r for r in got.collect()}
+    assert got.count() == 5 and rows[903]["predicted"] == 1 and rows[903]["n_words"] == 60_000
+    assert rows[None]["predicted"] == rows[901]["predicted"] == rows[902]["predicted"] == 0
+    assert rows[None]["score"] == rows[901]["score"] == rows[902]["score"] > 0
+    nothing = toxicity.train(d, labels.limit(0))
+    assert {(r["score"], r["predicted"]) for r in toxicity.score(toxicity.scan(d, nothing), nothing).collect()} == {(0.0, 0)}
+    one = toxicity.train(d.where("doc_id % 5 = 1"), labels)  # one kind of label only
+    assert toxicity.score(toxicity.scan(d, one), one).where("predicted = 1").count() == 0
+    assert toxicity.score(toxicity.scan(d.limit(0), model), model).count() == 0
+
+
+def test_op13_held_out_accuracy(spark, sf_dir):
+    if "sf0.001" in sf_dir or "sf0.01" in sf_dir:
+        sf_dir = sf_dir.replace("sf0.001", "sf0.1").replace("sf0.01", "sf0.1")
+    got = QUERIES["op13_toxicity"](spark, sf_dir)
+    assert got.columns == ["doc_id", "held_out", "score", "predicted"]
+    r = got.where("held_out").join(table(spark, sf_dir, "labels"), "doc_id").agg(
+        F.avg(F.when(F.col("toxic") == 1, F.col("predicted"))), F.avg(F.when(F.col("toxic") == 0, F.col("predicted")))).first()
+    assert r[0] >= 0.8 and r[1] <= 0.02
