@@ -113,8 +113,8 @@ def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document; rows with crc32(doc_id as text) mod 5 = 0 teach nothing."""
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
     rows = _read(spark, sf_dir, "documents").select("doc_id", "text", held_out.alias("held_out"))
-    model = toxicity.train(rows.where("NOT held_out"), _read(spark, sf_dir, "labels"))
-    return toxicity.score(toxicity.scan(rows, model), model).select("doc_id", "held_out", "score", "predicted")
+    model, scanned = toxicity.train(rows, _read(spark, sf_dir, "labels"), learn=~F.col("held_out"))
+    return toxicity.score(scanned, model).select("doc_id", "held_out", "score", "predicted")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (

@@ -89,12 +89,12 @@ def maximal_segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
 
 
 def scan(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs(text, ..)`` with ``n_words`` and all maximal ``segments`` added; the text is dropped.
+    """``docs(text, ..)`` (but columns called ``score`` or ``predicted``) with ``n_words`` and all maximal ``segments`` added; the text is dropped.
 
     ``start`` and ``end`` (exclusive) of a segment are code points of the text
     in lower case, which has the length of the text but for a few letters.
     """
-    docs = docs.drop("n_words", "segments")
+    docs = docs.drop("n_words", "segments", "score", "predicted")
     sent = docs.sparkSession.sparkContext.broadcast(model)
     keep = [c for c in docs.columns if c != "text"]
 
@@ -233,42 +233,52 @@ def count_words(texts: DataFrame) -> DataFrame:
         F.sum("toxic").alias("toxic"), F.sum(1 - F.col("toxic")).alias("clean"))
 
 
-def train(docs: DataFrame, labels: DataFrame, sample_docs: int = 8000, prior: float = 10.0, z: float = 2.0,
-          drift: float = 0.1, expect: float = 0.01) -> Model:
-    """Fit on ``docs(doc_id, text)`` with ``labels(doc_id, toxic)``."""
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    ids = save(with_row_id(texts).select("rid", "doc_id", F.sha2("text", 256).alias("digest")), "toxic-digests")
+def train(docs: DataFrame, labels: DataFrame, learn: Column | None = None, sample_docs: int = 8000, prior: float = 10.0,
+          z: float = 2.0, drift: float = 0.1, expect: float = 0.01) -> tuple[Model, DataFrame]:
+    """(model, ``scan`` of all ``docs(doc_id, text, ..)``).
+
+    Fitted on the rows for which ``learn`` holds (all, without one) and which
+    ``labels(doc_id, toxic)`` names.  The scan is written once: texts meet no
+    join, what meets the labels are row ids, digests and segments.
+    """
+    rows = with_row_id(docs, "__rid")
+    ids = rows.where(learn) if learn is not None else rows
+    ids = save(ids.select("__rid", F.col("doc_id").cast("long").alias("doc_id"),
+                          F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256).alias("digest")), "toxic-digests")
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).where("toxic IN (0, 1)")
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    # rows of (doc_id, digest) only meet the labels; a text is one row from here on
+    # a text is one row from here on, whatever its copies
     labelled = save(ids.join(known, "doc_id").groupBy("digest").agg(
-        F.min("rid").alias("rid"), (F.avg("toxic") >= 0.5).cast("int").alias("toxic")), "toxic-texts")
+        F.min("__rid").alias("__rid"), (F.avg("toxic") >= 0.5).cast("int").alias("toxic")), "toxic-texts")
     size = {r["toxic"]: r["count"] for r in labelled.groupBy("toxic").count().collect()}
     if not size:
-        return Model({}, drift, expect=expect)
+        model = Model({}, drift, expect=expect)
+        return model, scan(docs, model)
     share = F.lit(0)
     for kind, n in size.items():  # two thirds of a small table, a bounded number of a large one
         share = F.when(F.col("toxic") == kind, F.lit(min((2 << 20) // 3, -(-sample_docs * (1 << 20) // n)))).otherwise(share)
     labelled = labelled.withColumn("counted", F.pmod(F.xxhash64("digest", F.lit("words")), F.lit(1 << 20)) < share)
-    sample = labelled.where("counted").select("rid", "toxic")
+    sample = labelled.where("counted").select("__rid", "toxic")
     n = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
     # about 2 * sample_docs row ids
-    found = save(count_words(with_row_id(texts).join(F.broadcast(sample), "rid").select("text", "toxic")), "toxic-words")
+    texts = rows.select("__rid", F.col("text").cast("string").alias("text")).join(F.broadcast(sample), "__rid")
+    found = save(count_words(texts.select("text", "toxic")), "toxic-words")
     odds = found.withColumn("s", log_odds(F.col("toxic"), F.col("clean"), n.get(1, 0), n.get(0, 0), prior, z, drift))
     # without evidence a word backs off like an unknown one, but for words that clean texts hold
     own = odds.where(~F.col("word").endswith("*")).withColumn("prefix", F.concat(F.substring("word", 1, PREFIX), F.lit("*")))
     telling = save(odds.where(F.col("word").endswith("*") & (F.col("s") != -drift)).select(F.col("word").alias("prefix"), "s"), "toxic-prefixes")
     words = own.where(F.col("s") != -drift).select("word", "s").unionByName(
-        own.where((F.col("s") == -drift) & (F.col("clean") > 0)).join(telling.select("prefix"), "prefix", "left_semi").select("word", "s")).unionByName(
-        telling.select(F.col("prefix").alias("word"), "s"))
+        own.where((F.col("s") == -drift) & (F.col("clean") > 0)).join(telling.select("prefix"), "prefix", "left_semi").select("word", "s")
+    ).unionByName(telling.select(F.col("prefix").alias("word"), "s"))
     model = Model({r["word"]: r["s"] for r in words.collect()}, drift, expect=expect)  # at most the words of the sample
+    scanned = save(scan(rows, model), "toxic-scanned")
     # every labelled text outside the sample
-    rest = labelled.where("NOT counted").select("rid", "toxic")
-    judged = save(scan(with_row_id(texts).join(save(rest, "toxic-rest"), "rid").select("toxic", "text"), model), "toxic-scanned")
+    rest = save(labelled.where("NOT counted").select("__rid", "toxic"), "toxic-rest")
+    judged = save(scanned.select("__rid", "n_words", "segments").join(rest, "__rid").select("toxic", "n_words", "segments"), "toxic-judged")
     rate, scale = fit_extremes(judged.where("toxic = 0"))
     model = Model(model.words, drift, rate, scale, (0.0, 0.0), expect)
     t = F.greatest(F.lit(LOW), F.least(F.lit(HIGH), statistic(model)))
     bins = judged.groupBy(F.round(t / WIDTH).cast("int").alias("bin")).agg(
         F.sum("toxic").alias("toxic"), F.sum(1 - F.col("toxic")).alias("clean")).collect()
     curve = fit_curve([(r["bin"] * WIDTH, r["toxic"], r["clean"]) for r in bins] or [(0.0, size.get(1, 0), size.get(0, 0))])
-    return Model(model.words, drift, rate, scale, curve, expect)
+    return Model(model.words, drift, rate, scale, curve, expect), scanned.drop("__rid")

@@ -836,8 +836,8 @@ def planted_toxicity(spark, n=900):
 
 def test_op13_finds_planted_passages(spark):
     d, labels, where = planted_toxicity(spark)
-    model = toxicity.train(d.where("doc_id % 3 <> 0"), labels)
-    out = toxicity.passages(toxicity.score(toxicity.scan(d, model), model), model)
+    model, scanned = toxicity.train(d, labels, learn=F.col("doc_id") % 3 != 0)
+    out = toxicity.passages(toxicity.score(scanned, model), model)
     got = {r["doc_id"]: r for r in out.collect()}
     assert len(got) == 900 and all(0 <= r["score"] <= 1 for r in got.values())
     wrong = [i for i, r in got.items() if r["predicted"] != (i in where)]
@@ -852,17 +852,19 @@ def test_op13_edges(spark):
     more = spark.createDataFrame([(None, None, "x", 1.0, 7), (901, "", "x", 1.0, 7), (902, "123 --", "x", 1.0, 7), (903, "vile " * 60_000, "x", 1.0, 7),
                                   (903, "vile " * 60_000, "x", 1.0, 7)], d.schema)
     all_labels = labels.unionByName(spark.createDataFrame([(None, 1), (5, None), (5, 1), (5, 0), (901, 0), (7, 9)], labels.schema))
-    model = toxicity.train(d.unionByName(more), all_labels)
+    model, _ = toxicity.train(d.unionByName(more), all_labels)
     got = toxicity.score(toxicity.scan(more, model), model)
     rows = {r["doc_id"]: r for r in got.collect()}
     assert got.count() == 5 and rows[903]["predicted"] == 1 and rows[903]["n_words"] == 60_000
     assert rows[None]["predicted"] == rows[901]["predicted"] == rows[902]["predicted"] == 0
     assert rows[None]["score"] == rows[901]["score"] == rows[902]["score"] > 0
-    nothing = toxicity.train(d, labels.limit(0))
+    nothing, _ = toxicity.train(d, labels.limit(0))
     assert {(r["score"], r["predicted"]) for r in toxicity.score(toxicity.scan(d, nothing), nothing).collect()} == {(0.0, 0)}
-    one = toxicity.train(d.where("doc_id % 5 = 1"), labels)  # one kind of label only
+    one, _ = toxicity.train(d, labels, learn=F.col("doc_id") % 5 == 1)  # one kind of label only
     assert toxicity.score(toxicity.scan(d, one), one).where("predicted = 1").count() == 0
     assert toxicity.score(toxicity.scan(d.limit(0), model), model).count() == 0
+    empty, scanned = toxicity.train(d.limit(0), labels)
+    assert toxicity.score(scanned, empty).count() == 0
 
 
 def test_op13_held_out_accuracy(spark, sf_dir):
