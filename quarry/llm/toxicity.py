@@ -156,14 +156,13 @@ def score(scanned: DataFrame, model: Model) -> DataFrame:
 
 
 def fit_extremes(texts: DataFrame) -> tuple[float, float]:
-    """(lambda, K) of clean texts' best segments, by maximum likelihood.
+    """(lambda, K) of clean texts' ``(n_words, best)`` segment scores, by maximum likelihood.
 
     One aggregate: for each lambda of a grid the sum that gives K and the
     likelihood.  Texts whose best segment has no score say nothing.
     """
     grid = [0.05 * 1.12 ** i for i in range(40)]
-    best = texts.select("n_words", F.array_max(F.transform("segments", lambda s: s["score"])).alias("s")).where("s > 0")
-    r = best.agg(F.count("*").alias("n"), F.sum("s").alias("s"), F.sum(F.log("n_words")).alias("l"),
+    r = texts.select("n_words", F.col("best").alias("s")).where("s > 0").agg(F.count("*").alias("n"), F.sum("s").alias("s"), F.sum(F.log("n_words")).alias("l"),
                  *[F.sum(F.col("n_words") * F.exp(F.col("s") * -x)).alias(f"e{i}") for i, x in enumerate(grid)]).first()
     if not r["n"]:
         return 1.0, 0.1
@@ -274,11 +273,11 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column | None = None, sampl
     scanned = save(scan(rows, model), "toxic-scanned")
     # every labelled text outside the sample
     rest = save(labelled.where("NOT counted").select("__rid", "toxic"), "toxic-rest")
-    judged = save(scanned.select("__rid", "n_words", "segments").join(rest, "__rid").select("toxic", "n_words", "segments"), "toxic-judged")
-    rate, scale = fit_extremes(judged.where("toxic = 0"))
+    best = scanned.select("__rid", "n_words", F.array_max(F.transform("segments", lambda x: x["score"])).alias("best"))
+    rate, scale = fit_extremes(best.join(rest.where("toxic = 0"), "__rid"))
     model = Model(model.words, drift, rate, scale, (0.0, 0.0), expect)
     t = F.greatest(F.lit(LOW), F.least(F.lit(HIGH), statistic(model)))
-    bins = judged.groupBy(F.round(t / WIDTH).cast("int").alias("bin")).agg(
+    bins = scanned.select("__rid", F.round(t / WIDTH).cast("int").alias("bin")).join(rest, "__rid").groupBy("bin").agg(
         F.sum("toxic").alias("toxic"), F.sum(1 - F.col("toxic")).alias("clean")).collect()
     curve = fit_curve([(r["bin"] * WIDTH, r["toxic"], r["clean"]) for r in bins] or [(0.0, size.get(1, 0), size.get(0, 0))])
     return Model(model.words, drift, rate, scale, curve, expect), scanned.drop("__rid")
