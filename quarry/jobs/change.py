@@ -12,10 +12,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.jobs.registry import register
+from quarry.operators import buckets
 from quarry.operators import change as C
 from quarry.operators import layout, versions
 from quarry.session import scratch_dir
 from quarry.sources import fixtures as fx
+from quarry.sources import fs
 from quarry.sources.tables import table
 
 # ---- inputs ------------------------------------------------------------------
@@ -105,6 +107,20 @@ def chg03(spark, d):
     return C.merge(accounts(spark, d), updates(spark, d), ["id"], STUDENT_CLAUSES)
 
 
+def bucketed(spark: SparkSession, d: str, df: DataFrame, keys: list[str], base: str) -> str:
+    """``df`` as a bucketed folder, a bucket for every 64 MB of the table it comes from (8 at least)."""
+    n = max(8, fs.path_bytes(spark, f"{d}/{base}.parquet") >> 26)
+    return buckets.write_bucketed(df, scratch_dir(spark, f"buckets-{base}"), keys, n)
+
+
+@register("chg03_merge_into_buckets", MERGE_SQL.format(t="accounts"), ctes=ACCOUNTS_SQL + ",\n" + UPDATES_SQL)
+def chg03_buckets(spark, d):
+    """The same MERGE into a written table: touched buckets are rewritten, the others are not read."""
+    path = bucketed(spark, d, accounts(spark, d), ["id"], "customer")
+    buckets.merge_into(spark, path, updates(spark, d), ["id"], STUDENT_CLAUSES)
+    return buckets.read_bucketed(spark, path)
+
+
 STOCK_SQL = """stock_a AS (
   SELECT p_name AS name, p_brand AS color, CAST(sum(p_size) AS BIGINT) AS grams
   FROM part WHERE p_partkey % 2 = 0 GROUP BY p_name, p_brand),
@@ -135,6 +151,22 @@ def chg04(spark, d):
     ])
 
 
+@register("chg04_merge_accumulate_into_buckets", """
+SELECT a.name, a.color, a.grams + coalesce(b.grams, 0) AS grams
+FROM stock_a a LEFT JOIN stock_b b ON a.name = b.name AND a.color = b.color
+UNION ALL
+SELECT b.name, b.color, b.grams FROM stock_b b
+WHERE b.delicious AND NOT EXISTS (SELECT 1 FROM stock_a a WHERE a.name = b.name AND a.color = b.color)""",
+          ctes=STOCK_SQL)
+def chg04_buckets(spark, d):
+    path = bucketed(spark, d, _stock(spark, d, 0), ["name", "color"], "part")
+    buckets.merge_into(spark, path, _stock(spark, d, 1), ["name", "color"], [
+        C.Clause("matched", "update", set={"grams": "t.grams + s.grams"}),
+        C.Clause("not_matched", "insert", "s.delicious = true"),
+    ])
+    return buckets.read_bucketed(spark, path)
+
+
 USERS_UPDATE_SQL = """users_update AS (
   SELECT CAST(c_custkey AS VARCHAR) AS user_id, 1704067200000000 + c_custkey * 60000000 AS user_first_touch_timestamp,
          lower(replace(c_name, '#', '')) || '@updated.com' AS email,
@@ -176,6 +208,23 @@ def chg05(spark, d):
     ])
 
 
+@register("chg05_merge_if_null_into_buckets", """
+SELECT a.user_id, a.user_first_touch_timestamp,
+  CASE WHEN a.email IS NULL AND b.email IS NOT NULL THEN b.email ELSE a.email END AS email,
+  CASE WHEN a.email IS NULL AND b.email IS NOT NULL THEN b.updated ELSE a.updated END AS updated
+FROM users a LEFT JOIN users_update b ON a.user_id = b.user_id
+UNION ALL
+SELECT b.* FROM users_update b WHERE NOT EXISTS (SELECT 1 FROM users a WHERE a.user_id = b.user_id)""",
+          ctes=USERS_UPDATE_SQL)
+def chg05_buckets(spark, d):
+    path = bucketed(spark, d, fx.users(spark, d), ["user_id"], "customer")
+    buckets.merge_into(spark, path, users_update(spark, d), ["user_id"], [
+        C.Clause("matched", "update", "t.email IS NULL AND s.email IS NOT NULL", {"email": "s.email", "updated": "s.updated"}),
+        C.Clause("not_matched", "insert"),
+    ])
+    return buckets.read_bucketed(spark, path)
+
+
 _EV_COLS = ["event_id", "user_id", "event_timestamp", "event_name", "device", "traffic_source"]
 
 
@@ -201,6 +250,32 @@ def chg08(spark, d):
     return C.merge(accounts(spark, d), src, ["id"], [C.Clause("not_matched", "insert")], evolve_schema=True)
 
 
+@register("chg08_merge_fills_generated", """
+SELECT id, transaction_timestamp, price, CAST(make_timestamp(transaction_timestamp) AS DATE) AS date,
+       strftime(make_timestamp(transaction_timestamp), '%Y-%m') AS month,
+       strftime(make_timestamp(transaction_timestamp), '%Y-%m') || CASE WHEN price >= 100000 THEN ' large' ELSE ' small' END AS kind
+FROM (SELECT order_id AS id, transaction_timestamp + CASE WHEN order_id % 3 = 0 THEN 2678400000000 ELSE 0 END AS transaction_timestamp,
+             CASE WHEN order_id % 3 = 0 THEN purchase_revenue_in_usd * 2 ELSE purchase_revenue_in_usd END AS price
+      FROM sales WHERE order_id % 3 = 0 OR order_id % 2 = 0)""")
+def chg08_generated(spark, d):
+    """MERGE into a table with generated columns, one of which depends on others; the source has none of them.
+
+    Every third sale comes a month later at twice the price: updates where the
+    target (every second sale) has it, inserts where it does not.
+    """
+    s = fx.sales(spark, d).select(F.col("order_id").alias("id"), "transaction_timestamp", F.col("purchase_revenue_in_usd").alias("price"))
+    generated = {"kind": "concat(month, CASE WHEN price >= 100000 THEN ' large' ELSE ' small' END)",
+                 "month": "date_format(date, 'yyyy-MM')", "date": "CAST(timestamp_micros(transaction_timestamp) AS DATE)"}
+    target = s.where("id % 2 = 0")
+    for name in buckets.generated_order(generated):
+        target = C.with_generated(target, name, generated[name])
+    later = s.where("id % 3 = 0").select("id", (F.col("transaction_timestamp") + 2678400000000).alias("transaction_timestamp"),
+                                         (F.col("price") * 2).alias("price"))
+    path = bucketed(spark, d, target, ["id"], "orders")
+    buckets.merge_into(spark, path, later, ["id"], [C.Clause("matched", "update"), C.Clause("not_matched", "insert")], generated)
+    return buckets.read_bucketed(spark, path)
+
+
 @register("chg09_generated_column", """
 SELECT order_id AS id, transaction_timestamp, purchase_revenue_in_usd AS price,
        CAST(make_timestamp(transaction_timestamp) AS DATE) AS date
@@ -301,6 +376,16 @@ def chg17(spark, d):
     return versions.detail(spark, root, 4).unionByName(versions.detail(spark, root, 5))
 
 
+@register("chg17_compact_small_files", "SELECT * FROM accounts", ctes=ACCOUNTS_SQL)
+def chg17_files(spark, d):
+    """A partitioned folder of many small files after file-wise compaction: the same rows."""
+    path = scratch_dir(spark, "small-files")
+    accounts(spark, d).repartition(12).write.partitionBy("segment").parquet(path)
+    done = layout.compact_files(spark, path)
+    assert done["files_after"] < done["files_before"], done
+    return spark.read.parquet(path).select("id", "name", "value", "segment", "nation")
+
+
 @register("chg18_zorder", "SELECT * FROM accounts", ctes=ACCOUNTS_SQL)
 def chg18(spark, d):
     """Z-order by (value, nation): same rows, clustered file layout (~128 MB files)."""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from quarry.functions import udfs
@@ -10,14 +12,34 @@ from quarry.jobs.registry import register
 from quarry.operators import protect as P
 from quarry.sources import fixtures as fx
 
-GROUP = "account users"
-# Who belongs to the restricted group in the checks.
-MEMBERSHIP = [("analyst@example.com", GROUP), ("intern@example.com", GROUP), ("admin@example.com", "admins")]
-ANALYST, ADMIN = "analyst@example.com", "admin@example.com"
+GROUP, OTHERS = "account users", "contractors"
+_MEMBERS: dict[str, str] = {}
+
+
+def members(spark) -> str:
+    """The membership table of this application: whoever reads is in GROUP, and not in OTHERS."""
+    app = spark.sparkContext.applicationId
+    if app not in _MEMBERS:
+        me = spark.sql("SELECT current_user()").first()[0]
+        _MEMBERS[app] = P.members_table(spark, [(me, GROUP), ("intern@example.com", GROUP), ("admin@example.com", OTHERS)],
+                                        f"members_{uuid.uuid4().hex[:12]}")
+    return _MEMBERS[app]
+
+
+def _view(spark, df, group: str = GROUP, **protection):
+    """A protected catalog view over ``df``, read as the current user."""
+    base = f"base_{uuid.uuid4().hex[:12]}"
+    df.createOrReplaceTempView(base)
+    return spark.table(P.secured_view(spark, f"secured_{base}", base, members(spark), group, **protection))
+
+
+def _daily_by_patient(spark, d):
+    return (fx.heartrate_device(spark, d).groupBy("mrn", "name", F.date_trunc("DD", "time").cast("timestamp_ntz").alias("date"))
+            .agg(F.round(F.mean("heartrate"), 6).alias("avg_heartrate")))
 
 
-def members(spark):
-    return P.members_frame(spark, MEMBERSHIP)
+def _readings(spark, d):
+    return fx.heartrate_device(spark, d).select("mrn", "time", "device_id", "heartrate")
 
 
 _MASK_SQL = "CASE WHEN length({c}) <= 2 THEN {c} ELSE repeat('*', length({c}) - 2) || right({c}, 2) END"
@@ -29,45 +51,36 @@ SELECT 'REDACTED' AS mrn, 'REDACTED' AS name, {sround('avg(heartrate)', 6)} AS a
 FROM heartrate_device GROUP BY mrn, name, date_trunc('day', time)""")
 def sec01(spark, d):
     """Aggregate view with identity columns redacted for the group's members."""
-    h = fx.heartrate_device(spark, d)
-    restricted = P.is_member(members(spark), ANALYST, GROUP)
-    agg = (h.groupBy("mrn", "name", F.date_trunc("DD", "time").cast("timestamp_ntz").alias("date"))
-           .agg(F.round(F.mean("heartrate"), 6).alias("avg_heartrate")))
-    return P.redact(agg, ["mrn", "name"], restricted).select("mrn", "name", "avg_heartrate", "date")
+    return _view(spark, _daily_by_patient(spark, d), redact_cols=["mrn", "name"]).select("mrn", "name", "avg_heartrate", "date")
 
 
 @register("sec01_redact_other_user", f"""
 SELECT mrn, name, {sround('avg(heartrate)', 6)} AS avg_heartrate, date_trunc('day', time) AS date
 FROM heartrate_device GROUP BY mrn, name, date_trunc('day', time)""")
 def sec01_other(spark, d):
-    h = fx.heartrate_device(spark, d)
-    restricted = P.is_member(members(spark), ADMIN, GROUP)
-    agg = (h.groupBy("mrn", "name", F.date_trunc("DD", "time").cast("timestamp_ntz").alias("date"))
-           .agg(F.round(F.mean("heartrate"), 6).alias("avg_heartrate")))
-    return P.redact(agg, ["mrn", "name"], restricted)
+    """The same view for a group the reader is not in."""
+    return _view(spark, _daily_by_patient(spark, d), OTHERS, redact_cols=["mrn", "name"])
 
 
 @register("sec02_row_filter_for_group", """
 SELECT mrn, time, device_id, heartrate FROM heartrate_device WHERE device_id < 30""")
 def sec02(spark, d):
-    h = fx.heartrate_device(spark, d).select("mrn", "time", "device_id", "heartrate")
-    return P.row_filter(h, "device_id < 30", P.is_member(members(spark), ANALYST, GROUP))
+    return _view(spark, _readings(spark, d), predicate="device_id < 30")
 
 
 @register("sec03_mask_and_filter", f"""
 SELECT {_MASK_SQL.format(c='mrn')} AS mrn, time, device_id, heartrate
 FROM heartrate_device WHERE device_id < 30""")
 def sec03(spark, d):
-    h = fx.heartrate_device(spark, d).select("mrn", "time", "device_id", "heartrate")
-    return P.protect(h, members(spark), ANALYST, GROUP, mask_cols=["mrn"], predicate="device_id < 30")
+    return _view(spark, _readings(spark, d), mask_cols=["mrn"], predicate="device_id < 30")
 
 
 @register("sec04_daily_aggregate_protected", f"""
 SELECT device_id, date_trunc('day', time) AS day, {sround('avg(heartrate)', 6)} AS avg_heartrate, count(*) AS readings
 FROM heartrate_device WHERE device_id < 30 GROUP BY device_id, date_trunc('day', time)""")
 def sec04(spark, d):
-    h = P.row_filter(fx.heartrate_device(spark, d), "device_id < 30",
-                     P.is_member(members(spark), ANALYST, GROUP))
+    """A daily aggregate over the protected rows."""
+    h = _view(spark, _readings(spark, d), predicate="device_id < 30")
     return (h.groupBy("device_id", F.date_trunc("DD", "time").cast("timestamp_ntz").alias("day"))
             .agg(F.round(F.avg("heartrate"), 6).alias("avg_heartrate"), F.count(F.lit(1)).alias("readings")))
 

@@ -9,17 +9,22 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, DateType, StringType, TimestampNTZType, TimestampType
 
 from quarry.operators import versions
+from quarry.session import scratch_dir
+from quarry.sources import fs
 
 
 def compaction_plan(spark: SparkSession, root: str, version: int | None = None,
                     target_file_bytes: int = 128 * 1024 * 1024) -> tuple[int, int, int]:
     """(num_files, total_bytes, files_after) for a version, from a listing only."""
-    row = versions.detail(spark, root, version).first()
+    if version is None:
+        version = versions.latest_version(spark, root)
+    # a clone has no files of its own: its source's count
+    row = versions.detail(spark, *versions._resolve_source(spark, root, version)).first()
     total = int(row["size_in_bytes"])
     return int(row["num_files"]), total, max(1, math.ceil(total / target_file_bytes))
 
@@ -39,6 +44,70 @@ def compact(spark: SparkSession, root: str, version: int | None = None,
                            {"files_before": n_before, "files_after": n_after, "bytes": total})
 
 
+#: Files below this share of the target size are small.
+SMALL = 0.75
+
+
+def small_files(spark: SparkSession, path: str, target_file_bytes: int = 128 * 1024 * 1024) -> DataFrame:
+    """Rows ``(file, directory, bytes, bin)``: the small files, packed per directory.
+
+    The files come from the metadata columns of the scan, with a filter on their
+    size, so larger files are pruned from the listing and not opened.  Packing
+    is a running sum over a directory's files, largest first: a bin is what
+    falls into one target size.  Bins of a single file are left out.
+    """
+    files = (spark.read.option("recursiveFileLookup", True).parquet(path)
+             .where(F.col("_metadata.file_size") < F.lit(int(target_file_bytes * SMALL)))
+             .groupBy(F.col("_metadata.file_path").alias("file")).agg(F.first(F.col("_metadata.file_size")).alias("bytes")))
+    directory = Window.partitionBy("directory")
+    before = F.sum("bytes").over(directory.orderBy(F.desc("bytes"), "file").rowsBetween(Window.unboundedPreceding, -1))
+    packed = files.withColumn("directory", F.regexp_extract("file", "^(.*)/", 1)).withColumn(
+        "bin", F.floor(F.coalesce(before, F.lit(0)) / F.lit(target_file_bytes)))
+    mates = F.count("*").over(Window.partitionBy("directory", "bin"))
+    return packed.withColumn("mates", mates).where("mates > 1").drop("mates")
+
+
+def compact_files(spark: SparkSession, path: str, target_file_bytes: int = 128 * 1024 * 1024) -> dict[str, int]:
+    """Merge the small files below ``path`` (a folder, partitioned or not) into files of about the target size.
+
+    Only rows of small files are read and written; a file of the target size
+    stays as it is.  The plan and the new files are written to a scratch folder
+    first; ``swap_files`` then moves them in and removes the old ones, and can
+    be run again with the same folder if it was cut off.  A reader that lists
+    the folder during the swap may see rows of a bin in both files, so readers
+    should be between runs.
+    """
+    staged = scratch_dir(spark, "compaction")
+    small_files(spark, path, target_file_bytes).write.parquet(f"{staged}/plan")
+    plan = spark.read.parquet(f"{staged}/plan")
+    if plan.isEmpty():
+        return {"files_before": 0, "files_after": 0}
+    rows = (spark.read.option("recursiveFileLookup", True).parquet(path)
+            .where(F.col("_metadata.file_size") < F.lit(int(target_file_bytes * SMALL)))
+            .select("*", F.col("_metadata.file_path").alias("__file")))
+    where = plan.select(F.col("file").alias("__file"), F.concat_ws("#", "directory", "bin").alias("__bin"))
+    # one bin is one task and one file; its size is the target's
+    (rows.join(where, "__file").drop("__file").repartition("__bin").write.partitionBy("__bin").parquet(f"{staged}/data"))
+    return swap_files(spark, staged)
+
+
+def swap_files(spark: SparkSession, staged: str) -> dict[str, int]:
+    """Move the staged files of every bin to its directory, then remove the files they replace."""
+    plan = spark.read.parquet(f"{staged}/plan")
+    if not fs.exists(spark, f"{staged}/data/_SUCCESS"):
+        raise ValueError(f"{staged} holds no finished compaction")
+    new = spark.read.schema("__bin string").parquet(f"{staged}/data").select(F.col("_metadata.file_path").alias("file"), "__bin").distinct()
+    moved = removed = 0
+    # file names, as many as the driver lists anyway
+    for r in new.toLocalIterator():
+        directory, number = r["__bin"].rsplit("#", 1)
+        fs.move(spark, r["file"], f"{directory}/compact-{number}-{r['file'].rsplit('/', 1)[1]}")  # one task may write many bins
+        moved += 1
+    for r in plan.select("file").toLocalIterator():
+        removed += fs.delete(spark, fs.decoded(r["file"]))
+    return {"files_before": removed, "files_after": moved}
+
+
 def sort_rank(df: DataFrame, column: str):
     """A number in the order of a column: itself, its time, or the first six bytes of its text."""
     kind, c = df.schema[column].dataType, F.col(column)

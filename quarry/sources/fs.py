@@ -6,6 +6,9 @@ works for any file system Spark can read (local, HDFS, object stores).
 
 from __future__ import annotations
 
+import re
+from urllib.parse import unquote
+
 from pyspark.sql import SparkSession
 
 
@@ -33,6 +36,30 @@ def delete(spark: SparkSession, path: str) -> bool:
     return bool(fs.delete(p, True))
 
 
+def decoded(uri: str) -> str:
+    """The path of a URI as Spark's ``_metadata.file_path`` gives it (escapes resolved)."""
+    scheme, rest = uri.split(":", 1) if re.match(r"^[A-Za-z][\w+.-]*:/", uri) else ("", uri)
+    return f"{scheme}:{unquote(rest)}" if scheme else unquote(rest)
+
+
+def move(spark: SparkSession, source_uri: str, target_uri: str) -> None:
+    """Rename a file to a free name (both as ``_metadata.file_path`` gives them)."""
+    fs, p = _fs_path(spark, decoded(source_uri))
+    _, to = _fs_path(spark, decoded(target_uri))
+    if fs.exists(to) or not fs.rename(p, to):
+        raise OSError(f"could not rename {p} to {to}")
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small text file (Spark's readers skip names that begin with ``_``)."""
+    fs, p = _fs_path(spark, path)
+    stream = fs.open(p)
+    try:
+        return bytes(stream.readAllBytes()).decode("utf-8")
+    finally:
+        stream.close()
+
+
 def list_files(spark: SparkSession, path: str, suffix: str = "") -> list[tuple[str, int]]:
     """(name, length) of the files directly under ``path`` ending with ``suffix``."""
     fs, p = _fs_path(spark, path)
