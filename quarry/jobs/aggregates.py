@@ -63,13 +63,50 @@ def agg04(spark, d):
                  F.count(F.lit(1)).alias("events")))
 
 
-@register("agg05_approx_count_distinct")
+@register("agg05_approx_count_distinct", """
+SELECT device, count(DISTINCT user_id) AS exact_users, true AS within_bound FROM events_nested GROUP BY device""")
 def agg05(spark, d):
-    """HyperLogLog++ distinct estimate next to the exact count (rows-only check)."""
+    """HyperLogLog++ distinct estimate: within three standard errors (5 % each) of the exact count."""
     ev = fx.events_nested(spark, d)
-    return (ev.groupBy("device")
+    both = (ev.groupBy("device")
               .agg(F.approx_count_distinct("user_id", rsd=0.05).alias("approx_users"),
                    F.count_distinct("user_id").alias("exact_users")))
+    return both.select("device", "exact_users", _within("approx_users", "exact_users", 3 * 0.05).alias("within_bound"))
+
+
+def _within(estimate: str, exact: str, share: float):
+    return F.abs(F.col(estimate) - F.col(exact)) <= F.col(exact) * share
+
+
+@register("agg05_merged_sketches", """
+SELECT device, count(DISTINCT user_id) AS exact_users, true AS within_bound FROM events_nested GROUP BY device""")
+def agg05_merged(spark, d):
+    """Distinct users per device from sketches kept per device and day, merged without the rows.
+
+    A sketch of 2^12 registers has a standard error of 1.04 / sqrt(2^12), 1.6 %.
+    """
+    ev = fx.events_nested(spark, d)
+    daily = ev.groupBy("device", F.to_date(F.timestamp_micros("event_timestamp")).alias("day")).agg(
+        F.hll_sketch_agg("user_id", 12).alias("sketch"))
+    merged = daily.groupBy("device").agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("approx_users"))
+    exact = ev.groupBy("device").agg(F.count_distinct("user_id").alias("exact_users"))
+    return merged.join(exact, "device").select("device", "exact_users",
+                                               _within("approx_users", "exact_users", 3 * 1.04 / 64).alias("within_bound"))
+
+
+@register("agg12_percentile_sketch", """
+SELECT unnest([25, 50, 75]) AS percent, (SELECT count(value) FROM events) AS n, true AS within_bound""")
+def agg12_percentiles(spark, d):
+    """Percentiles of a mergeable rank sketch: each has a rank within n / 10000 rows of the one asked for."""
+    e = table(spark, d, "events").select("value").where("value IS NOT NULL")
+    asked = [25, 50, 75]
+    found = e.agg(F.percentile_approx("value", [p / 100 for p in asked], 10_000).alias("q")).first()["q"]
+    ranks = e.agg(F.count("*").alias("n"), *[F.count(F.when(F.col("value") < q, 1)).alias(f"below{p}") for p, q in zip(asked, found)],
+                  *[F.count(F.when(F.col("value") <= q, 1)).alias(f"upto{p}") for p, q in zip(asked, found)])
+    one = [F.struct(F.lit(p).alias("percent"), F.col("n"), (
+        (F.col(f"below{p}") <= F.col("n") * (p / 100) + F.col("n") / 10_000 + 1)
+        & (F.col(f"upto{p}") >= F.col("n") * (p / 100) - F.col("n") / 10_000 - 1)).alias("within_bound")) for p in asked]
+    return ranks.select(F.explode(F.array(*one)).alias("x")).select("x.*")
 
 
 @register("agg06_min_max_mean", f"""
@@ -117,11 +154,15 @@ def agg09(spark, d):
                   F.round(F.sum_distinct("value"), 2).alias("sum_distinct_value")))
 
 
-@register("agg10_first")
+@register("agg10_first", """
+SELECT user_id, true AS own_device, true AS own_source FROM events_nested GROUP BY user_id""")
 def agg10(spark, d):
-    """first() per group: non-deterministic pick, so rows-only."""
-    return (fx.events_nested(spark, d).groupBy("user_id")
-            .agg(F.first("device").alias("device"), F.any_value("traffic_source").alias("source")))
+    """first() and any_value() per group: which one is open, but it is one of the group's."""
+    picked = (fx.events_nested(spark, d).groupBy("user_id")
+              .agg(F.first("device").alias("device"), F.any_value("traffic_source").alias("source"),
+                   F.collect_set("device").alias("devices"), F.collect_set("traffic_source").alias("sources")))
+    return picked.select("user_id", F.array_contains("devices", F.col("device")).alias("own_device"),
+                         F.array_contains("sources", F.col("source")).alias("own_source"))
 
 
 @register("agg11_sum_boolean_as_int", """

@@ -40,10 +40,14 @@ def srt03(spark, d):
             .orderBy(F.col("email").desc_nulls_last(), F.col("user_id").asc_nulls_last()))
 
 
-@register("srt04_limit")
+@register("srt04_limit", """
+SELECT least(count(*), 25) AS rows, true AS all_from_table FROM events_nested""")
 def srt04(spark, d):
-    """limit without order: which rows is unspecified, so rows-only."""
-    return fx.events_nested(spark, d).select("event_id", "user_id").limit(25)
+    """limit without order: which rows is open, but there are 25 and all are rows of the table."""
+    rows = fx.events_nested(spark, d).select("event_id", "user_id")
+    some = rows.limit(25)
+    known = some.join(rows.withColumn("known", F.lit(True)).distinct(), ["event_id", "user_id"], "left")
+    return known.agg(F.count("*").alias("rows"), F.every(F.coalesce("known", F.lit(False))).alias("all_from_table"))
 
 
 @register("srt05_top_k", f"""

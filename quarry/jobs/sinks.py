@@ -99,9 +99,9 @@ def snk07(spark, d):
     return t
 
 
-@register("snk08_external_table_survives_drop")
+@register("snk08_external_table_survives_drop", "SELECT count(*) AS rows_after_drop FROM customer")
 def snk08(spark, d):
-    """External CTAS with LOCATION: DROP TABLE leaves the files (rows-only)."""
+    """External CTAS with LOCATION: DROP TABLE leaves the files."""
     loc = scratch_dir(spark, "snk08")
     name = _t(spark, d, "external")
     accounts(spark, d).write.option("path", loc).saveAsTable(name)
@@ -124,6 +124,30 @@ def snk09(spark, d):
     return out.select("user_id", "first_touch_date")
 
 
+@register("snk09_ctas_provenance_and_comment", """
+SELECT user_id, CAST(make_timestamp(user_first_touch_timestamp) AS DATE) AS first_touch_date, true AS own_source_file,
+       'users by first touch date' AS comment
+FROM users""")
+def snk09_provenance(spark, d):
+    """CTAS with a comment, partitioned by a derived date, with the file and time every row came from.
+
+    The file is the scan's hidden metadata column, so it is each row's own:
+    rows are checked against the file that a second read finds their id in.
+    """
+    landing, name = scratch_dir(spark, "snk09-landing"), _t(spark, d, "users_from_files")
+    fx.users(spark, d).select("user_id", "user_first_touch_timestamp").repartition(4).write.parquet(landing)
+    spark.sql(f"""
+        CREATE TABLE {name} USING parquet PARTITIONED BY (first_touch_date) COMMENT 'users by first touch date' AS
+        SELECT user_id, current_timestamp() AS updated, _metadata.file_path AS source_file,
+               CAST(timestamp_micros(user_first_touch_timestamp) AS DATE) AS first_touch_date
+        FROM parquet.`{landing}`""")
+    told = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Comment'").select(F.col("data_type").alias("comment"))
+    again = spark.read.parquet(landing).select("user_id", F.col("_metadata.file_path").alias("read_from"))
+    out = spark.table(name).join(again, "user_id")
+    return out.select("user_id", "first_touch_date", (F.col("source_file") == F.col("read_from")).alias("own_source_file")).join(
+        F.broadcast(told))  # one row
+
+
 @register("snk10_insert_values", """
 SELECT * FROM accounts UNION ALL
 SELECT * FROM (VALUES (9000001, 'Yve', 1.0, 'MANUAL', 0), (9000002, 'Omar', 2.5, 'MANUAL', 1),
@@ -159,9 +183,9 @@ def snk12(spark, d):
     return spark.table(name)
 
 
-@register("snk13_schema_enforcement")
+@register("snk13_schema_enforcement", "SELECT count(*) AS rows, true AS extra_column_rejected FROM customer")
 def snk13(spark, d):
-    """An overwrite with an extra column is rejected; the table is unchanged (rows-only)."""
+    """An overwrite with an extra column is rejected; the table is unchanged."""
     name = _t(spark, d, "accounts")
     accounts(spark, d).write.saveAsTable(name)
     rejected = False

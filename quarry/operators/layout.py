@@ -160,6 +160,12 @@ def zorder(spark: SparkSession, root: str, columns: Sequence[str], version: int
     df = versions.snapshot_read(spark, root, version)
     if num_files is None:
         num_files = compaction_plan(spark, root, version)[2]
+    if len(columns) == 1:
+        # the order of one column is its own: Spark's sampled range bounds, nothing on the driver that grows
+        out = (df.withColumn("__h", F.xxhash64(*df.columns)).repartitionByRange(num_files, columns[0], "__h")
+               .sortWithinPartitions(columns[0], "__h").drop("__h"))
+        return versions.commit(spark, root, out, "OPTIMIZE", {"zOrderBy": list(columns), "files_after": num_files})
+    # with two columns and more, 2 ** bits is at most twice the square root of the files
     bits = max(4, math.ceil((math.log2(num_files) + 2) / len(columns)))
     out = (with_z_value(df, columns, bits).withColumn("__h", F.xxhash64(*df.columns))
            .repartitionByRange(num_files, "__z", "__h").sortWithinPartitions("__z", "__h").drop("__z", "__h"))

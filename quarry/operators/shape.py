@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -38,7 +39,25 @@ def infer_json_schema(df: DataFrame, column: str = "value") -> str:
     found = df.agg(F.schema_of_variant_agg(v).alias("s")).first()["s"]
     if found is None or found == "VOID":
         raise ValueError("no JSON value to infer from")
-    return found.replace("OBJECT<", "STRUCT<").replace("VOID", "STRING")
+    return _column_type(found)
+
+
+def _column_type(variant_type: str) -> str:
+    """The column type that holds a VARIANT type: OBJECT as STRUCT, VOID (only nulls seen) as STRING.
+
+    Field names are kept, whatever they are called.
+    """
+    out, i = [], 0
+    while i < len(variant_type):
+        name = re.match(r"`(?:[^`]|``)*`\s*:|[^\s<>,:`]+\s*:", variant_type[i:])
+        if name:  # a field name up to its colon
+            out.append(name[0])
+            i += len(name[0])
+            continue
+        word = re.match(r"[A-Z_]+", variant_type[i:])
+        out.append({"OBJECT": "STRUCT", "VOID": "STRING"}.get(word[0], word[0]) if word else variant_type[i])
+        i += len(word[0]) if word else 1
+    return "".join(out)
 
 
 def explode_items(df: DataFrame, column: str = "items", alias: str = "item") -> DataFrame:

@@ -10,8 +10,8 @@ hash-partitioned into buckets.  Below the table's root
 Each micro-batch reads only the buckets it touches (from the versions the last
 manifest names), merges them with the newest change per key, and writes them
 to a fresh version directory.  Nothing that a manifest names is ever written
-again, so a crash at any point leaves the last manifest whole; a replayed
-batch starts from the version before it and gives the same rows.  Directories
+again, so a crash at any point leaves the last manifest whole; a batch that is
+replayed after its manifest was written changes nothing.  Directories
 that neither of the last two manifests names are removed.
 
 "Newest" is ``max(struct(sequence, is_delete, ...))``, a partial aggregate: a key
@@ -92,15 +92,17 @@ def write_batch(spark: SparkSession, root: str, marked: DataFrame, batch: str, k
     """Merge one micro-batch (with its ``__deleted`` column) into the state at ``root``.
 
     ``batch`` names the micro-batch (its query and id): a second call with the
-    name of the last version replaces that version.  ``buckets`` is fixed by
+    name of the last version returns at once, as its manifest was written when
+    the first was done.  ``buckets`` is fixed by
     the first batch (64 by default; choose it so that a bucket of the expected
     state fits a task); another number later is refused.
     """
     last = manifest(spark, root)
-    version = 0 if last is None else last["version"] + (last["batch"] != batch)
-    base = last if last is None or last["version"] < version else manifest(spark, root, version - 1)
     if last is not None and buckets not in (None, last["buckets"]):
         raise ValueError(f"{root} has {last['buckets']} buckets, not {buckets}")
+    if last is not None and last["batch"] == batch:
+        return
+    version, base = 0 if last is None else last["version"] + 1, last
     buckets = last["buckets"] if last else buckets or 64
     marked.persist()  # used twice: touched buckets, then the merge
     try:

@@ -13,6 +13,7 @@ CSV is read as text and cast for the same end.  All parsing runs in the JVM.
 
 from __future__ import annotations
 
+import json
 import threading
 from collections.abc import Mapping, Sequence
 
@@ -20,7 +21,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.listener import StreamingQueryListener
-from pyspark.sql.types import DataType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, DataType, MapType, StringType, StructField, StructType
+
+from quarry.sources import fs
 
 
 def land_files(df: DataFrame, path: str, fmt: str = "json", n_files: int = 8,
@@ -80,14 +83,55 @@ def apply_hints(schema: StructType, hints: str | Mapping[str, str | DataType]) -
 CORRUPT = "_corrupt_record"
 
 
+def _NOTHING() -> Column:  # noqa: N802
+    return F.array().cast("array<struct<key: string, value: string>>")
+
+
+def _step(path: Column, name: Column) -> Column:
+    """The path of a field; a name that is no identifier is quoted, so that no two paths are alike."""
+    return F.when(name.rlike("^[A-Za-z_][A-Za-z0-9_]*$"), F.concat(path, F.lit("."), name)).otherwise(
+        F.concat(path, F.lit("["), F.to_json(F.array(name)), F.lit("]")))
+
+
+def _misfits(raw: Column, typed: Column, kind: DataType, path: Column) -> Column:
+    """Entries ``(path, text)`` of what ``raw`` (VARIANT) holds and ``typed`` does not, over structs, arrays and maps."""
+    given = raw.isNotNull() & ~F.is_variant_null(raw)
+
+    def entry(at: Column, value: Column) -> Column:
+        return F.struct(at.alias("key"), F.coalesce(F.try_variant_get(value, "$", "string"), F.to_json(value)).alias("value"))
+
+    lost = F.when(given & typed.isNull(), F.array(entry(path, raw))).otherwise(_NOTHING())
+    if isinstance(kind, StructType):
+        fields = F.try_variant_get(raw, "$", "map<string,variant>")
+        known = F.array(*[F.lit(f.name) for f in kind.fields])
+        unknown = F.transform(F.map_entries(F.map_filter(fields, lambda k, v: ~F.array_contains(known, k))),
+                              lambda e: entry(_step(path, e["key"]), e["value"]))
+        inside = F.concat(unknown, *[_misfits(fields[f.name], typed[f.name], f.dataType, _step(path, F.lit(f.name))) for f in kind.fields])
+        return F.when(given & fields.isNotNull(), inside).otherwise(lost)
+    if isinstance(kind, ArrayType):
+        items = F.try_variant_get(raw, "$", "array<variant>")
+        inside = F.flatten(F.transform(items, lambda x, i: _misfits(
+            x, F.get(typed, i), kind.elementType, F.concat(path, F.lit("["), i.cast("string"), F.lit("]")))))
+        return F.when(given & items.isNotNull(), inside).otherwise(lost)
+    if isinstance(kind, MapType):
+        fields = F.try_variant_get(raw, "$", "map<string,variant>")
+        inside = F.flatten(F.transform(F.map_entries(fields), lambda e: _misfits(
+            e["value"], F.try_element_at(typed, e["key"]), kind.valueType, _step(path, e["key"]))))
+        return F.when(given & fields.isNotNull(), inside).otherwise(lost)
+    return lost
+
+
 def rescued_column(raw: Column, typed: Column, schema: StructType) -> Column:
     """JSON object of fields that are unknown to ``schema`` or do not fit its type.
 
     ``typed`` is the line already parsed with ``schema``; the line is parsed
     once more as ``map<string,string>``.  A key is rescued when it is not a
     schema field, or when its raw value is non-null but the typed value came
-    out NULL.  A line that is no JSON object is rescued whole, under
-    ``_corrupt_record``.  NULL when nothing was rescued (or the line is blank).
+    out NULL.  Below a field that did parse, its value as VARIANT is compared
+    with the typed one, and what does not fit or is unknown is rescued by its
+    path (``items[0].qty``).  A line that is no JSON object is rescued whole,
+    under ``_corrupt_record``.  NULL when nothing was rescued (or the line is
+    blank).
     """
     as_map = F.from_json(raw, "map<string,string>")
     known = F.array(*[F.lit(f.name) for f in schema.fields])
@@ -97,6 +141,13 @@ def rescued_column(raw: Column, typed: Column, schema: StructType) -> Column:
                F.struct(F.lit(f.name).alias("key"), as_map[f.name].alias("value")))
         for f in schema.fields]), lambda x: x.isNotNull())
     bad = F.map_concat(F.map_from_entries(misfits), unknown)
+    deep = [f for f in schema.fields if isinstance(f.dataType, (StructType, ArrayType, MapType))]
+    if deep:
+        whole = F.try_variant_get(F.try_parse_json(raw), "$", "map<string,variant>")
+        below = F.concat(*[F.when(typed[f.name].isNotNull(), _misfits(whole[f.name], typed[f.name], f.dataType, F.lit(f.name)))
+                           .otherwise(_NOTHING()) for f in deep])
+        # a top-level key may be spelled like a path
+        bad = F.map_concat(bad, F.map_from_entries(F.filter(below, lambda e: ~F.coalesce(F.array_contains(F.map_keys(as_map), e["key"]), F.lit(False)))))
     return (F.when(as_map.isNull() & (F.trim(raw) != ""), F.to_json(F.struct(raw.alias(CORRUPT))))
             .when(F.size(bad) > 0, F.to_json(bad)))
 
@@ -145,19 +196,26 @@ def read_csv_stream(spark: SparkSession, path: str, schema: StructType, header:
 def cloud_files(spark: SparkSession, path: str, fmt: str = "json", infer_types: bool = True,
                 schema: StructType | str | None = None, schema_hints: str | None = None,
                 rescue: bool = True, max_files_per_trigger: int | None = None,
-                options: Mapping[str, str] | None = None) -> DataFrame:
+                options: Mapping[str, str] | None = None, schema_location: str | None = None) -> DataFrame:
     """``cloud_files(path, fmt, options)``: a bronze stream with provenance columns.
 
     Adds ``processing_time`` (load time) and ``source_file``.  The schema is
-    declared, or inferred from all files present (all STRING when
-    ``infer_types`` is off), then adjusted by ``schema_hints``.
+    the last one stored at ``schema_location``; else declared, or inferred from
+    all files present (all STRING when ``infer_types`` is off), then adjusted by
+    ``schema_hints``, and stored there.  So a restart reads no landed file for
+    its schema.
     """
+    stored = stored_schema(spark, schema_location) if schema_location else None
     if isinstance(schema, str):
         schema = StructType.fromDDL(schema)
-    if schema is None:
+    if stored is not None:
+        schema = stored
+    elif schema is None:
         schema = infer_schema(spark, path, fmt, infer_types, options=options)
     if schema_hints:
         schema = apply_hints(schema, schema_hints)
+    if schema_location and schema != stored:
+        store_schema(spark, schema_location, schema)
     if fmt == "json":
         df = read_json_stream(spark, path, schema, rescue, max_files_per_trigger)
     elif fmt == "csv":
@@ -171,6 +229,66 @@ def cloud_files(spark: SparkSession, path: str, fmt: str = "json", infer_types:
     return df.select(F.current_timestamp().alias("processing_time"), "*")
 
 
+# ---- schemas that are stored and grow ------------------------------------------
+
+def _schema_numbers(spark: SparkSession, location: str) -> list[int]:
+    return sorted(int(n.removesuffix(".json")) for n in fs.list_names(spark, location) if n.endswith(".json") and not n.startswith("_"))
+
+
+def stored_schema(spark: SparkSession, location: str) -> StructType | None:
+    """The last schema stored at ``location``; None before the first."""
+    numbers = _schema_numbers(spark, location)
+    return StructType.fromJson(json.loads(fs.read_text(spark, f"{location}/{numbers[-1]}.json"))) if numbers else None
+
+
+def store_schema(spark: SparkSession, location: str, schema: StructType) -> None:
+    """Store ``schema`` as the next one; earlier ones stay as a history."""
+    numbers = _schema_numbers(spark, location)
+    fs.write_text(spark, f"{location}/{numbers[-1] + 1 if numbers else 0}.json", schema.json())
+
+
+def evolve_schema(spark: SparkSession, location: str, batch: DataFrame) -> list[str]:
+    """Extend the stored schema by the fields that ``batch`` rescued and it does not know.
+
+    New fields become STRING columns (the type any value fits; hints say
+    more).  Misfits of known fields and fields inside nested values stay
+    rescued.  Field names reach the driver, as those of a schema do.
+    """
+    schema = stored_schema(spark, location)
+    keys = batch.select(F.explode(F.map_keys(F.from_json("_rescued_data", "map<string,string>"))).alias("k")).distinct()
+    known = {f.name for f in schema.fields} | {CORRUPT}
+    deep = tuple(f"{f.name}{c}" for f in schema.fields if isinstance(f.dataType, (StructType, ArrayType, MapType)) for c in ".[")
+    new = sorted(r["k"] for r in keys.collect() if r["k"] not in known and not (deep and r["k"].startswith(deep)))
+    if new:
+        store_schema(spark, location, StructType([*schema.fields, *[StructField(k, StringType(), True) for k in new]]))
+    return new
+
+
+def run_evolving(spark: SparkSession, path: str, sink: str, schema_location: str, checkpoint: str, fmt: str = "json",
+                 **reader) -> list[str]:
+    """Load all new files into ``sink`` and extend the stored schema by what was rescued; the new fields.
+
+    The schema of a run is fixed at its start, so a new field is rescued in
+    the run that meets it and a column from the next run on.  A batch writes
+    its own folder, so a batch that runs again replaces its rows.
+    """
+    stream = cloud_files(spark, path, fmt, schema_location=schema_location, **reader)
+    added: list[str] = []
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        out = f"{sink}/batch={batch_id}"
+        batch.write.mode("overwrite").parquet(out)
+        added.extend(evolve_schema(spark, schema_location, spark.read.parquet(out)))
+
+    run_foreach_batch(stream, write, checkpoint)
+    return added
+
+
+def read_evolved(spark: SparkSession, sink: str) -> DataFrame:
+    """All batches of ``run_evolving``; columns a batch did not know are NULL."""
+    return spark.read.option("mergeSchema", True).parquet(sink).drop("batch")
+
+
 def all_strings(schema: StructType) -> StructType:
     return StructType([StructField(f.name, StringType(), True) for f in schema.fields])
 
