@@ -4,7 +4,7 @@ Vectors become integers, ``floor(256 * x)`` per component, and a score is an
 integer inner product.  Each vector keeps, for every segment of its
 components, their mean and their deviation; over a segment of ``m``
 components the product of two vectors lies within ``m * (mean * mean +-
-deviation * deviation)``.  Bounds over one, four and sixteen segments rule out
+deviation * deviation)``.  Bounds over one, four, sixteen and 32 segments rule out
 vectors, coarse ones first, and only what is left is scored exactly.
 
 The anchors are a stated query set.  They go to all rows in blocks of bounded
@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from quarry.llm.common import save, with_row_id
 from quarry.session import scratch_dir
 
-LEVELS = (1, 4, 16)
+LEVELS = (1, 4, 16, 32)
 NONE = (1 << 63) - 1
 
 
