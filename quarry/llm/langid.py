@@ -249,7 +249,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 
     The score is the best language's share when the mean log frequency per
     word of each language is turned back into a probability.  Texts are
-    scored in slices of about 2 MB (a longer text alone), by arrays.
+    scored in slices of about 1 MB (a longer text alone), by arrays.
     """
     sent = docs.sparkSession.sparkContext.broadcast(pickle.dumps(probe(model).__dict__))
     docs = docs.drop("lang_pred", "score")
@@ -259,7 +259,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
         p = Probe(**pickle.loads(sent.value))
         is_letter = np.unpackbits(p.letters).astype(bool)
         for b in batches:
-            for part in slices(b, "text", chars=1 << 21):
+            for part in slices(b, "text", chars=1 << 20):
                 texts = part.column("text").to_pylist()
                 langs, scores = judge(p, is_letter, texts) if p.langs else (["und"] * len(texts), np.zeros(len(texts)))
                 yield pa.RecordBatch.from_arrays([*[part.column(c) for c in keep], pa.array(langs, pa.string()),
