@@ -28,7 +28,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import save
+from quarry.llm.common import save, with_row_id
 from quarry.llm.sp_codec import slices
 
 LETTERS = r"\p{L}+"
@@ -55,16 +55,14 @@ def grams(word: str, n: int) -> list[str]:
     return [w[i:i + n] for i in range(len(w) - n + 1)]
 
 
-def train(labelled: DataFrame, sample_docs: int = 1500, max_n: int = 4, max_words: int = 20_000,
-          max_grams: int = 30_000) -> Model:
+def train(labelled: DataFrame, sample_docs: int = 1500, max_n: int = 4) -> Model:
     """Fit on ``labelled(text, lang)``; null texts and langs are ignored.
 
-    Every language keeps a fixed share of its documents, chosen by hash so
-    that about ``sample_docs`` remain.  The model itself has at most
-    ``max_words`` words and ``max_grams`` n-grams per language (the most
-    frequent; equal counts by name), so its size is bounded.
+    Every language keeps a fixed share of its documents, chosen by a hash of
+    text and row so that about ``sample_docs`` remain, repeated rows or not.
+    Every word and n-gram of the sample is in the model, also those seen once.
     """
-    rows = labelled.select("text", "lang").where("text IS NOT NULL AND lang IS NOT NULL")
+    rows = with_row_id(labelled.select("text", "lang"), "__rid").where("text IS NOT NULL AND lang IS NOT NULL")
     sizes = sorted((r["lang"], r["count"]) for r in rows.groupBy("lang").count().collect())
     if not sizes:
         return Model([], {}, np.zeros((0, 0)), {}, np.zeros((0, 0)), max_n)
@@ -72,7 +70,7 @@ def train(labelled: DataFrame, sample_docs: int = 1500, max_n: int = 4, max_word
     share = F.lit(0)
     for lang, n in sizes:
         share = F.when(F.col("lang") == lang, F.lit(min(1 << 20, -(-sample_docs * (1 << 20) // n)))).otherwise(share)
-    sample = rows.where(F.pmod(F.xxhash64("text", F.lit("sample")), F.lit(1 << 20)) < share)
+    sample = rows.where(F.pmod(F.xxhash64("text", "__rid", F.lit("sample")), F.lit(1 << 20)) < share).select("text", "lang")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         word = regex.compile(LETTERS)
@@ -101,28 +99,14 @@ def train(labelled: DataFrame, sample_docs: int = 1500, max_n: int = 4, max_word
 
     counts = save(sample.mapInArrow(count, "lang string, n long, token string, k long")
                   .groupBy("lang", "n", "token").agg(F.sum("k").alias("k")), "lang-counts")
-    # how many entries have each count: from this the cut that keeps the model within its size
-    spread = counts.groupBy("lang", "n", "k").agg(F.count("*").alias("v")).collect()
     total: Counter = Counter()
-    cut = {}
-    for lang in langs:
-        for n in range(max_n + 1):
-            rows = sorted(((r["k"], r["v"]) for r in spread if (r["lang"], r["n"]) == (lang, n)), reverse=True)
-            total[lang, n] = sum(k * v for k, v in rows)
-            held, cut[lang, n] = 0, 1 << 62
-            for k, v in rows:
-                held += v
-                if held > (max_grams if n else max_words) or (k == 1 and not n):
-                    break
-                cut[lang, n] = k
-    least = F.lit(1 << 62)
-    for (lang, n), k in cut.items():
-        least = F.when((F.col("lang") == lang) & (F.col("n") == n), F.lit(k)).otherwise(least)
-    kept = counts.where(F.col("k") >= least).collect()
+    total.update({(r["lang"], r["n"]): r["k"] for r in counts.groupBy("lang", "n").agg(F.sum("k").alias("k")).collect()})
+    table = counts.toArrow()  # as large as the sample's vocabulary
+    kept = zip(*(table.column(c).to_pylist() for c in ("lang", "n", "token", "k")))
     at = {x: i for i, x in enumerate(langs)}
     rows_of: dict[bool, dict[str, list[float]]] = {False: {}, True: {}}
     floors = [[-float(np.log(2.0 * (total[x, n] + 1))) for x in langs] for n in range(max_n + 1)]
-    for lang, n, token, k in sorted(kept, key=lambda r: (r["lang"], r["n"], r["token"])):
+    for lang, n, token, k in sorted(kept):
         row = rows_of[n > 0].setdefault(token, list(floors[n]))
         row[at[lang]] = float(np.log(k / (total[lang, n] + 1)))
     parts = [({t: i for i, t in enumerate(d)}, np.array(list(d.values())).reshape(-1, len(langs))) for d in rows_of.values()]
