@@ -172,13 +172,14 @@ def links(classes: DataFrame, bits: int = 4, leaf_rows: int = 50_000) -> DataFra
     key = ["r", "depth", "pa", "pb", "diff"]
     done = []
     while True:
-        # only node pairs with too many rows come back here; their number of levels is at most 64
+        # only node pairs with too many rows come back here; their number of levels is at most 64.  Their list is
+        # written, so its size is known when the join is planned: beyond the broadcast threshold it is shuffled
         big = save(rows.groupBy(*key).count().where(F.col("count") > leaf_rows).select(*key), "trie-big")
         if big.isEmpty():
             done.append(rows)
             break
-        done.append(rows.join(F.broadcast(big), key, "left_anti"))
-        rows = save(split(rows.join(F.broadcast(big), key, "left_semi"), bits), "trie-split")
+        done.append(rows.join(big, key, "left_anti"))
+        rows = save(split(rows.join(big, key, "left_semi"), bits), "trie-split")
     units = done[0]
     for more in done[1:]:
         units = units.unionByName(more)

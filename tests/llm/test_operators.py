@@ -513,6 +513,22 @@ def test_trie_join_finds_every_link(spark, bits, leaf):
     assert smallest([(r["a"], r["b"]) for r in e], range(len(fps))) == want
 
 
+def test_trie_join_without_broadcasts(spark):
+    """The list of oversized node pairs may be beyond any broadcast: the same links by a shuffle."""
+    rng = random.Random(9)
+    rows = [(rng.getrandbits(10) << 40, i) for i in range(300)]
+    rows = [(fp, i) for fp, i in {fp: i for fp, i in rows}.items()]
+    d = spark.createDataFrame(rows, "fp long, cid long")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = {r["id"]: r["component"] for r in components(simhash.links(d, 1, 8)).collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    want = smallest([(i, j) for (x, i), (y, j) in itertools.combinations(rows, 2) if (x ^ y).bit_count() <= 1], [i for _, i in rows])
+    assert {i: got.get(i, i) for _, i in rows} == want
+
+
 def test_op7_edge_cases(spark):
     d = docs(spark, [None, "", " \n", "one two", "ONE  two", LONG, LONG, "É x", "é x"])
     rows = {r["doc_id"]: (r["fp"], r["component_id"]) for r in simhash.near_duplicates(d).collect()}
@@ -652,9 +668,11 @@ def test_op10_edge_cases(spark):
 
 def test_op10_arrays_equal_the_rule_for_single_words(spark, all_docs):
     train = [(t, "en" if i % 2 else "fr") for i, (_, t, _) in enumerate(all_docs) if t][:60]
-    m = langid.train(spark.createDataFrame(train, "text string, lang string"), max_words=50, max_grams=300)
+    m = langid.train(spark.createDataFrame(train, "text string, lang string"))
     p = langid.probe(m)
-    texts = [t for t, _ in train] + [None, "", "12", "İstanbul ǅ 日本", "Straße—straße"]
+    texts = [t for _, t, _ in all_docs][:400] + [None, "", "12", "İstanbul ǅ 日本", "Straße—straße"]
+    words = {w for t in texts for w in regex.findall(langid.LETTERS, (t or "").lower())}
+    assert words & set(m.words) and words - set(m.words)
     got = langid.judge(p, np.unpackbits(p.letters).astype(bool), texts)
     for text, lang, score in zip(texts, *got):
         words = regex.findall(langid.LETTERS, (text or "").lower())
@@ -665,6 +683,34 @@ def test_op10_arrays_equal_the_rule_for_single_words(spark, all_docs):
         assert abs(score - (1 / share.sum() if words else 0.0)) < 1e-9
 
 
+def test_op10_counts_equal_brute_force(spark):
+    train = [("the cat, the dog", "en"), ("ein Hund und der Hund", "de"), ("the end", "de"), ("der", "en"), (None, "en"), ("x", None)]
+    m = langid.train(spark.createDataFrame(train, "text string, lang string"))
+    counts = {lang: [Counter() for _ in range(5)] for lang in ("de", "en")}
+    for text, lang in train:
+        for w in regex.findall(langid.LETTERS, (text or "").lower()) if lang else ():
+            counts[lang][0][w] += 1
+            for n in range(1, 5):
+                for g in langid.grams(w, n):
+                    counts[lang][n][g] += 1
+    assert set(m.words) == {w for c in counts.values() for w in c[0]}  # words seen once, too
+    assert set(m.grams) == {g for c in counts.values() for n in range(1, 5) for g in c[n]}
+    for k, lang in enumerate(m.langs):
+        total = [sum(c.values()) for c in counts[lang]]
+        for held, rows, level in ((m.words, m.word_rows, lambda t: 0), (m.grams, m.gram_rows, len)):
+            for token, at in held.items():
+                n = level(token)
+                assert abs(rows[at][k] - math.log((counts[lang][n][token] or 0.5) / (total[n] + 1))) < 1e-12
+
+
+def test_op10_sample_is_bounded_under_repeated_rows(spark):
+    rows = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, "the same words").otherwise(F.concat(F.lit("w"), F.col("id") % 26)).alias("text"),
+                                      F.lit("en").alias("lang"))
+    m = langid.train(rows, sample_docs=1000)
+    seen = math.exp(m.word_rows[m.words["same"]][0])  # 3 words of a third of the rows, 1 of the others
+    assert 0.15 < seen < 0.25
+
+
 # --- 11 hard negatives --------------------------------------------------------------
 
 def hard_negatives_of(rows, anchors, positives=5, negatives=10):
