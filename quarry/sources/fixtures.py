@@ -281,6 +281,22 @@ def pii(spark: SparkSession, d: str) -> DataFrame:
     return c.select((F.col("c_custkey") + MRN_OFFSET).alias("mrn"), F.col("c_name").alias("name"))
 
 
+def numbered_recordings(spark: SparkSession, d: str) -> DataFrame:
+    """The recordings with an id of their own and exact microseconds."""
+    e = table(spark, d, "events")
+    return e.select("event_id", (F.col("user_id") + MRN_OFFSET).alias("mrn"),
+                    F.when(F.col("event_id") % 17 == 0, -F.col("value")).otherwise(F.col("value")).alias("heartrate"),
+                    F.unix_micros(F.col("ts").cast("timestamp")).alias("heard_us"))
+
+
+def registrations(spark: SparkSession, d: str) -> DataFrame:
+    """Patients with the time they were registered; every ninth never is."""
+    c = table(spark, d, "customer").where("c_custkey % 9 <> 0")
+    day = F.col("c_custkey") * 7 % 40
+    return c.select((F.col("c_custkey") + MRN_OFFSET).alias("mrn"), F.col("c_name").alias("name"),
+                    (F.unix_micros(F.lit("2024-01-01 00:00:00").cast("timestamp")) + day * 86_400_000_000).alias("known_us"))
+
+
 def user_ping(spark: SparkSession, d: str) -> DataFrame:
     """Ping measurements per user and time."""
     e = table(spark, d, "events")
