@@ -1,9 +1,11 @@
 """Chat formatting with loss masks aligned by token offsets.
 
-A conversation is rendered whole as ``<|im_start|>role<|im_sep|>text<|im_end|>``
-per turn.  Texts and roles may contain control strings: every ``<`` followed by
+A conversation is rendered as ``<|im_start|>role<|im_sep|>text<|im_end|>`` per
+turn, and what is rendered is written as one row, or as several rows of whole
+turns where it is long: no token crosses a control string, so the ids are those
+of the whole string.  Texts and roles may contain control strings: every ``<`` followed by
 backslashes and ``|`` gets one more backslash, which makes ``<|`` impossible
-inside them and is undone exactly by taking one away.  The rendered string is
+inside them and is undone exactly by taking one away.  Every rendered string is
 encoded once, with offsets; the assistant spans and the token spans are both
 sorted, and binary search marks the tokens under the loss.
 
@@ -11,10 +13,15 @@ Defined results: rows go by turn (nulls first), then role, then text, so ties
 have an order; a null text or role is the empty string; repeated rows are
 turns of their own; rows with a null conv_id form one conversation; an empty
 table gives an empty result; other columns are ignored.
+
+A conversation of any length: turns are dealt out by ranges of (conv_id, turn),
+so many tasks share a hot conversation, and each holds one piece of it (about
+``piece_chars`` characters, or one longer turn) at a time.
 """
 
 from __future__ import annotations
 
+import hashlib
 import os
 import re
 from collections.abc import Iterator
@@ -22,10 +29,11 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import file_bytes
+from quarry.llm.common import file_bytes, save
 
 #: The template's control strings.
 START, SEP, END = "<|im_start|>", "<|im_sep|>", "<|im_end|>"
@@ -107,29 +115,32 @@ def format_conversation(turns: list[tuple[str, str]], t, loss_role: str = "assis
     return Formatted(formatted, e.ids, e.offsets, loss_mask(e.offsets, [(a, b) for a, b, r in spans if r == loss_role]))
 
 
-def format_chats(rows: DataFrame, model_path: str, loss_role: str = "assistant") -> DataFrame:
-    """One row per conversation: conv_id, formatted, ids, starts, ends, loss_mask.
+PIECE = "part int, piece long, whole boolean, conv_id long, formatted string, ids array<int>, starts array<int>, ends array<int>, loss_mask array<boolean>"
+
+
+def format_chats(rows: DataFrame, model_path: str, loss_role: str = "assistant", piece_chars: int = 1 << 20) -> DataFrame:
+    """Rows ``(part, piece, whole, conv_id, formatted, ids, starts, ends, loss_mask)``, written.
 
-    Rows are dealt out by conversation and sorted by turn; a task reads them as
-    a stream and holds one conversation at a time.
+    A conversation is its rows in the order of ``part`` and ``piece``;
+    ``whole`` rows are all of theirs.  Offsets count code points of the row's
+    own ``formatted``.
     """
     sent = rows.sparkSession.sparkContext.broadcast(file_bytes(model_path))
-    schema = "conv_id long, formatted string, ids array<int>, starts array<int>, ends array<int>, loss_mask array<boolean>"
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        t = tokenizer(sent.value)
+        t, part = tokenizer(sent.value), TaskContext.get().partitionId()
         out, weight = [], 0
 
         def flush() -> pa.RecordBatch:
-            kinds = [pa.int64(), pa.string(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.bool_())]
-            names = ["conv_id", "formatted", "ids", "starts", "ends", "loss_mask"]
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names)
+            kinds = [pa.int32(), pa.int64(), pa.bool_(), pa.int64(), pa.string(), *[pa.list_(pa.int32())] * 3, pa.list_(pa.bool_())]
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)],
+                                              [f.split()[0] for f in PIECE.split(", ")])
 
-        for conv, turns in conversations(batches):
+        for i, (conv, turns, whole) in enumerate(pieces(batches, piece_chars)):
             f = format_conversation(turns, t, loss_role)
             at = np.array(f.offsets, np.int32).reshape(-1, 2)
-            out.append((conv, f.formatted, f.ids, at[:, 0], at[:, 1], f.mask))
+            out.append((part, i, whole, conv, f.formatted, f.ids, at[:, 0], at[:, 1], f.mask))
             weight += len(f.formatted)
             if weight > 1 << 21:
                 yield flush()
@@ -138,47 +149,82 @@ def format_chats(rows: DataFrame, model_path: str, loss_role: str = "assistant")
             yield flush()
 
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    return (rows.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"),
-                        F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"), text.alias("text"))
-            .repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text").mapInArrow(work, schema))
+    # ranges by the short columns only: their bounds come from a sample on the driver
+    turns = (rows.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"),
+                         F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"), text.alias("text"))
+             .repartitionByRange("conv_id", "turn").sortWithinPartitions("conv_id", "turn", "role", "text"))
+    return save(turns.mapInArrow(work, PIECE), "chats")
 
 
-def conversations(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int | None, list[tuple[str, str]]]]:
-    """Consecutive rows of one conv_id, from batches sorted by it."""
-    conv, turns = None, []
+def pieces(batches: Iterator[pa.RecordBatch], piece_chars: int) -> Iterator[tuple[int | None, list[tuple[str, str]], bool]]:
+    """(conv_id, consecutive turns of it, whether they are all of its turns), from batches sorted by it.
+
+    The first and the last conversation of a partition may go on in another
+    one, so they are never called whole.
+    """
+    conv, turns, size, cut, first = None, [], 0, False, True
     for b in batches:
-        for c, role, text in zip(*(b.column(x).to_pylist() for x in ("conv_id", "role", "text"))):
+        for c, role, text in zip(*(b.column(x) for x in ("conv_id", "role", "text"))):
+            c, role, text = c.as_py(), role.as_py(), text.as_py()
             if turns and c != conv:
-                yield conv, turns
-                turns = []
+                yield conv, turns, not (cut or first)
+                turns, size, cut, first = [], 0, False, False
+            elif turns and size + len(text) > piece_chars:
+                yield conv, turns, False
+                turns, size, cut = [], 0, True
             conv = c
             turns.append((role, text))
+            size += len(role) + len(text)
     if turns:
-        yield conv, turns
+        yield conv, turns, False
 
 
-def read_back(chats: DataFrame, loss_role: str = "assistant") -> DataFrame:
+def _digests(state: dict, s: str, starts, ends, mask) -> None:
+    """Add one piece to the running digests of its conversation."""
+    mask = np.array(mask.as_py(), bool)
+    loss = masked_text(s, list(zip(starts.as_py(), ends.as_py())), mask)
+    for role, text in parse(s):
+        state["told"].update(f"{role}\n{text}\n".encode())
+        state["turns"] += 1
+    state["loss"].update(loss.encode())
+    state["n"] += np.array([len(loss), len(s), len(mask), int(mask.sum())])
+
+
+def read_back(chats: DataFrame) -> DataFrame:
     """Digest columns derived from ``format_chats``' own output, by parsing it.
 
     conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars,
-    n_tokens, n_loss_tokens.
+    n_tokens, n_loss_tokens.  Whole conversations are read where they are; the
+    pieces of the others go to one task in order, which holds one at a time.
     """
-    import hashlib
+    names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars", "n_tokens", "n_loss_tokens"]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        state, out = None, []
+
+        def end() -> None:
+            n = state["n"].tolist()
+            out.append((state["conv"], state["turns"], state["told"].hexdigest(), n[0], state["loss"].hexdigest(), *n[1:]))
+
         for b in batches:
-            out = []
-            for conv, s, starts, ends, mask in zip(*(b.column(c) for c in ("conv_id", "formatted", "starts", "ends", "loss_mask"))):
-                s, mask = s.as_py(), np.array(mask.as_py(), bool)
-                turns = parse(s)
-                loss = masked_text(s, list(zip(starts.as_py(), ends.as_py())), mask)
-                told = "".join(f"{r}\n{t}\n" for r, t in turns)
-                out.append((conv.as_py(), len(turns), hashlib.sha256(told.encode()).hexdigest(), len(loss),
-                            hashlib.sha256(loss.encode()).hexdigest(), len(s), len(mask), int(mask.sum())))
+            for whole, conv, s, starts, ends, mask in zip(*(b.column(c) for c in ("whole", "conv_id", "formatted", "starts", "ends", "loss_mask"))):
+                conv = conv.as_py()
+                if state is None or whole.as_py() or state["whole"] or conv != state["conv"]:
+                    if state is not None:
+                        end()
+                    state = {"conv": conv, "whole": whole.as_py(), "turns": 0, "told": hashlib.sha256(), "loss": hashlib.sha256(),
+                             "n": np.zeros(4, np.int64)}
+                _digests(state, s.as_py(), starts, ends, mask)
             if out:
-                names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars", "n_tokens", "n_loss_tokens"]
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.string() if n.endswith("256") else pa.int64())
-                                                  for c, n in zip(zip(*out), names)], names)
-
-    return chats.mapInArrow(work, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, "
-                                  "formatted_chars long, n_tokens long, n_loss_tokens long")
+                yield table(out)
+                out = []
+        if state is not None:
+            end()
+            yield table(out)
+
+    def table(out: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.string() if n.endswith("256") else pa.int64()) for c, n in zip(zip(*out), names)], names)
+
+    kinds = ", ".join(f"{n} {'string' if n.endswith('256') else 'long'}" for n in names)
+    cut = chats.where("NOT whole").repartition("conv_id").sortWithinPartitions("conv_id", "part", "piece")
+    return chats.where("whole").mapInArrow(work, kinds).unionByName(cut.mapInArrow(work, kinds))

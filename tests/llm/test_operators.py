@@ -584,6 +584,35 @@ def test_op8_edge_cases(spark):
     assert chat.read_back(chat.format_chats(d.limit(0), model)).count() == 0
 
 
+@pytest.mark.parametrize("piece_chars", [40, 1 << 20])
+def test_op8_a_hot_conversation_is_cut_and_reads_back_alike(spark, piece_chars):
+    """Conversation 5 and that of null ids hold most rows; pieces concatenate to the rendered whole, with its tokens."""
+    rng = random.Random(11)
+    rows = [(rng.choice([5, 5, 5, None, None, *range(20)]), rng.randrange(60), rng.choice(["user", "assistant"]), "".join(rng.choices(ODD_CHAT, k=3)))
+            for _ in range(1500)]
+    d = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(7)
+    model = f"{TOKENIZERS}/byte_bpe_50k.json"
+    t, told = chat.tokenizer(open(model, "rb").read()), defaultdict(list)
+    for conv, turn, role, text in sorted(rows, key=lambda r: (r[1], r[2], r[3].encode())):
+        told[conv].append((role, text))
+    chats = chat.format_chats(d, model, piece_chars=piece_chars)
+    got = defaultdict(list)
+    for r in sorted(chats.collect(), key=lambda r: (r["part"], r["piece"])):
+        got[r["conv_id"]].append(r)
+    assert set(got) == set(told) and len(got[5]) > (20 if piece_chars == 40 else 0)
+    back = {r["conv_id"]: r for r in chat.read_back(chats).collect()}
+    assert chat.read_back(chats).count() == len(told)
+    for conv, turns in told.items():
+        f = chat.format_conversation(turns, t)
+        assert "".join(r["formatted"] for r in got[conv]) == f.formatted
+        assert [x for r in got[conv] for x in r["ids"]] == f.ids
+        assert [x for r in got[conv] for x in r["loss_mask"]] == f.mask.tolist()
+        loss = "".join(x for r, x in turns if r == "assistant")
+        assert back[conv]["turns_sha256"] == hashlib.sha256("".join(f"{r}\n{x}\n" for r, x in turns).encode()).hexdigest()
+        assert (back[conv]["n_turns"], back[conv]["loss_chars"], back[conv]["formatted_chars"]) == (len(turns), len(loss), len(f.formatted))
+        assert back[conv]["loss_sha256"] == hashlib.sha256(loss.encode()).hexdigest()
+
+
 # --- 9 embeddings ---------------------------------------------------------------------------
 
 def linked(vectors, cosine=0.9):
