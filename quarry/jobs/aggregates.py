@@ -182,6 +182,19 @@ def agg12(spark, d):
     return e.summary("count", "mean", "stddev", "min", "25%", "max")
 
 
+@register("agg12_summary_values", """
+SELECT unnest(['count', 'mean', 'stddev', 'min', 'max']) AS summary,
+  unnest([round(count(value), 6), round(avg(value), 6), round(stddev_samp(value), 6), round(min(value), 6), round(max(value), 6)]) AS value,
+  unnest([round(count(user_id), 6), round(avg(user_id), 6), round(stddev_samp(user_id), 6), round(min(user_id), 6),
+          round(max(user_id), 6)]) AS user_id
+FROM events""")
+def agg12_values(spark, d):
+    """The exact figures of summary() as numbers, to six decimals."""
+    e = table(spark, d, "events").select("value", "user_id")
+    number = [F.round(F.col(c).cast("double"), 6).alias(c) for c in e.columns]
+    return e.summary("count", "mean", "stddev", "min", "max").select("summary", *number)
+
+
 @register("agg13_group_by_date_expr", """
 SELECT CAST(ts AS DATE) AS event_date, date_trunc('day', ts) AS day_start, count(*) AS events
 FROM events GROUP BY CAST(ts AS DATE), date_trunc('day', ts)""")

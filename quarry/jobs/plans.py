@@ -1,4 +1,4 @@
-"""Plan and cache operators: rows-only checks on plan facts."""
+"""Plan and cache operators: facts of a plan as rows."""
 
 from __future__ import annotations
 
@@ -9,7 +9,9 @@ from quarry.plans import inspect
 from quarry.sources.tables import table
 
 
-@register("opt01_combined_duplicate_filters")
+@register("opt01_combined_duplicate_filters", """
+SELECT 'logical_filters' AS fact, CAST(1 AS BIGINT) AS value
+UNION ALL SELECT 'rows', count(*) FROM events WHERE event_type <> 'error' AND value > 1 AND user_id >= 0""")
 def opt01(spark, d):
     """Four chained filters (one repeated) leave one Filter in the optimized plan."""
     e = table(spark, d, "events")
@@ -21,7 +23,11 @@ def opt01(spark, d):
                                  "fact string, value bigint")
 
 
-@register("opt02_pushdown_and_cache")
+@register("opt02_pushdown_and_cache", """
+SELECT 'pushed_filters' AS fact, 'IsNotNull(o_orderpriority), EqualTo(o_orderpriority,1-URGENT)' AS value
+UNION ALL SELECT 'read_schema', 'struct<o_orderkey:bigint,o_totalprice:double,o_orderpriority:string>'
+UNION ALL SELECT 'in_memory_scans_after_cache', '1'
+UNION ALL SELECT 'rows', CAST(count(*) AS VARCHAR) FROM orders WHERE o_orderpriority = '1-URGENT'""")
 def opt02(spark, d):
     """Filters reach the parquet scan; after cache() they sit above InMemoryTableScan."""
     o = table(spark, d, "orders")
@@ -40,7 +46,9 @@ def opt02(spark, d):
                                  "fact string, value string")
 
 
-@register("opt03_cache_unpersist")
+@register("opt03_cache_unpersist", """
+SELECT unnest(['before', 'cached', 'after']) AS state, unnest(['Serialized 1x Replicated',
+  'Disk Memory Deserialized 1x Replicated', 'Serialized 1x Replicated']) AS storage_level""")
 def opt03(spark, d):
     """Storage level before and after cache() / unpersist()."""
     li = table(spark, d, "lineitem").select("l_orderkey", "l_quantity")

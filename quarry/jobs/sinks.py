@@ -204,6 +204,37 @@ def snk14(spark, d):
     return spark.sql(f"DESCRIBE TABLE EXTENDED {name}")
 
 
+@register("snk14_metadata_rows", """
+SELECT unnest(['id', 'name', 'value', 'segment', 'nation']) AS name, 'column' AS kind,
+  unnest(['bigint', 'string', 'double', 'string', 'int']) AS detail
+UNION ALL SELECT unnest(['id', 'name', 'value', 'segment', 'nation']), 'shown column', NULL
+UNION ALL SELECT 'owner_team', 'property', 'sales'
+UNION ALL SELECT unnest(['Type', 'Provider', 'Comment']), 'detail', unnest(['MANAGED', 'parquet', 'one row a customer'])
+UNION ALL SELECT 'rows', 'statistics', CAST(count(*) AS VARCHAR) FROM customer
+UNION ALL SELECT 'tables', 'catalog', '1'""")
+def snk14_rows(spark, d):
+    """What the catalog says of a table, as rows: columns, properties, provider, comment, analysed row count."""
+    name = _t(spark, d, "accounts")
+    db, short = name.split(".")
+    accounts(spark, d).createOrReplaceTempView(f"{short}_rows")
+    spark.sql(f"CREATE TABLE {name} USING parquet COMMENT 'one row a customer' "
+              f"TBLPROPERTIES ('owner_team' = 'sales') AS SELECT * FROM {short}_rows")
+    spark.catalog.dropTempView(f"{short}_rows")
+    spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS")
+    extended = spark.sql(f"DESCRIBE TABLE EXTENDED {name}")
+    parts = [
+        spark.sql(f"DESCRIBE TABLE {name}").selectExpr("col_name AS name", "'column' AS kind", "data_type AS detail"),
+        spark.sql(f"SHOW COLUMNS IN {name}").selectExpr("col_name", "'shown column'", "CAST(NULL AS STRING)"),
+        spark.sql(f"SHOW TBLPROPERTIES {name}").where("key = 'owner_team'").selectExpr("key", "'property'", "value"),
+        extended.where("col_name IN ('Type', 'Provider', 'Comment')").selectExpr("col_name", "'detail'", "data_type"),
+        extended.where("col_name = 'Statistics'").selectExpr("'rows'", "'statistics'", r"regexp_extract(data_type, '([0-9]+) rows', 1)"),
+        spark.sql(f"SHOW TABLES IN {db} LIKE '{short}'").selectExpr("'tables'", "'catalog'", "CAST(count(*) AS STRING)")]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.union(p)
+    return out
+
+
 @register("snk15_dynamic_partition_overwrite", """
 SELECT * FROM accounts WHERE segment <> 'BUILDING'
 UNION ALL SELECT id, name, value * 2 AS value, segment, nation FROM accounts WHERE segment = 'BUILDING'""",

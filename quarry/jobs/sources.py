@@ -119,6 +119,15 @@ def src04(spark, d):
     return b.select("path", "modificationTime", "length", F.length("content").alias("content_bytes"))
 
 
+@register("src04_binary_content", """
+SELECT event_id, event_name, user_id FROM events_nested""")
+def src04_content(spark, d):
+    """The bytes of whole files decoded, cut into lines and parsed: every record is there once."""
+    lines = (files.read_binary(spark, events_json(spark, d), "*.json")
+             .select(F.explode(F.split(F.decode("content", "UTF-8"), "\n")).alias("line")).where("line <> ''"))
+    return lines.select(F.from_json("line", "event_id BIGINT, event_name STRING, user_id STRING").alias("e")).select("e.*")
+
+
 @register("src05_parquet_by_path", "SELECT o_orderkey, o_custkey, o_totalprice FROM orders")
 def src05(spark, d):
     return spark.read.parquet(f"{d}/orders.parquet").select("o_orderkey", "o_custkey", "o_totalprice")
@@ -145,6 +154,15 @@ def src08(spark, d):
     return spark.read.csv(users_csv(spark, d))
 
 
+@register("src08_naive_csv_lines", """
+SELECT 'user_id' || chr(9) || 'user_first_touch_timestamp' || chr(9) || 'email' || chr(9) || 'updated' AS line
+UNION ALL SELECT user_id || chr(9) || user_first_touch_timestamp || chr(9) || coalesce(email, '') || chr(9)
+  || strftime(updated, '%Y-%m-%dT%H:%M:%S.%f') FROM users""")
+def src08_lines(spark, d):
+    """The naive scan's lines, the header of the files once: every field of a row is in its one wide column."""
+    return spark.read.csv(users_csv(spark, d)).select(F.col("_c0").alias("line")).distinct()
+
+
 @register("src09_struct_type_schema", _USERS_SQL)
 def src09(spark, d):
     return files.read_csv(spark, users_csv(spark, d), sep="\t", schema=USERS_SCHEMA, options=_TS)
@@ -173,9 +191,13 @@ def src12(spark, d):
                      F.col("user_id").cast("bigint").alias("user_id"))
 
 
-@register("src13_schema_as_ddl")
+@register("src13_schema_as_ddl", """
+SELECT '`device` string, `ecommerce` struct<purchase_revenue_in_usd:double,total_item_quantity:bigint,unique_items:bigint>, '
+  || '`event_id` bigint, `event_name` string, `event_timestamp` bigint, `geo` struct<city:string,state:string>, '
+  || '`items` array<struct<coupon:string,item_id:string,item_name:string,item_revenue_in_usd:double,price_in_usd:double,'
+  || 'quantity:bigint>>, `traffic_source` string, `user_id` string' AS ddl, count(*) AS rows FROM events""")
 def src13(spark, d):
-    """Infer once, keep the DDL, read every file again with it (rows-only: DDL spelling)."""
+    """Infer once, keep the DDL, read every file again with it."""
     ddl = files.schema_ddl(spark.read.json(events_json(spark, d)))
     df = spark.read.schema(ddl).json(events_json(spark, d))
     return df.agg(F.lit(ddl).alias("ddl"), F.count(F.lit(1)).alias("rows"))
@@ -312,6 +334,21 @@ def src27(spark, d):
     return files.directory_summary(spark, users_by_segment_json(spark, d))
 
 
+@register("src27_listing_matches_scan", """
+SELECT split_part(split_part(email, '@', 2), '.', 1) AS segment, count(*) AS rows, true AS same_files, true AS same_bytes
+FROM users GROUP BY ALL""")
+def src27_scan(spark, d):
+    """Per partition directory: the listed files and bytes are those that a scan of the table reads."""
+    path = users_by_segment_json(spark, d)
+    key = r"([^/]+/[^/]+)$"
+    listed = files.list_files(spark, path).select(F.regexp_extract("path", key, 1).alias("file"), "length")
+    read = (spark.read.json(path).select("segment", "_metadata.file_path", "_metadata.file_size")
+            .groupBy("segment", F.regexp_extract("file_path", key, 1).alias("file"), "file_size").count())
+    both = read.join(listed, "file", "full")
+    return both.groupBy("segment").agg(F.sum("count").alias("rows"), F.every(F.col("length").isNotNull() & F.col("file_size").isNotNull())
+                                       .alias("same_files"), F.every(F.col("length").eqNullSafe(F.col("file_size"))).alias("same_bytes"))
+
+
 @register("src28_message_envelope", """
 SELECT user_id AS key, event_id AS "offset", CAST(event_id % 2 AS INTEGER) AS partition, 'clickstream' AS topic,
   event_name FROM events_nested""")
@@ -429,6 +466,16 @@ def src33_no_header(spark, d):
     return _stream_to_table(spark, s, "src33b")
 
 
+@register("src33_csv_stream_no_header_lines", """
+SELECT 'customer_id' AS _c0, 'customer_name' AS _c1, 'state' AS _c2, 'city' AS _c3, 'lon' AS _c4, 'lat' AS _c5,
+  'units_purchased' AS _c6, 'loyalty_segment' AS _c7
+UNION ALL SELECT CAST(customer_id AS VARCHAR), customer_name, state, city, CAST(lon AS VARCHAR), CAST(lat AS VARCHAR),
+  CAST(units_purchased AS VARCHAR), CAST(loyalty_segment AS VARCHAR) FROM retail_customers""")
+def src33_no_header_lines(spark, d):
+    """The header-less stream's rows, the files' header line once."""
+    return src33_no_header(spark, d).drop("source_file").distinct()
+
+
 @register("src34_replayed_feed_one_file_per_trigger", """
 SELECT order_id, order_status, status_timestamp FROM status_feed""")
 def src34(spark, d):

@@ -1,11 +1,15 @@
 """APPLY CHANGES: a CDC feed into an SCD type-1 table, out-of-order and replay safe.
 
 State: the latest change per key, including deletes kept as tombstones,
-hash-partitioned into buckets.  Below the table's root
+hash-partitioned into buckets.  Unless the caller fixes their number it follows
+the state: one bucket for each ``ROWS_PER_BUCKET`` rows, a power of two, set by the
+first batch; a batch that finds the state outgrown hashes it anew into more buckets
+(one rewrite each time the state has doubled).  Below the table's root
 
 * ``versions/<v>/part=<bucket>`` holds the buckets that version ``v`` wrote;
 * ``manifest/<v>.json``, written last, says for every bucket which version
-  holds it, the bucket count, the schema, and the micro-batch it came from.
+  holds it and how many rows it has, the bucket count, the schema, and the
+  micro-batch it came from.
 
 Each micro-batch reads only the buckets it touches (from the versions the last
 manifest names), merges them with the newest change per key, and writes them
@@ -34,6 +38,8 @@ from quarry.sources import fs
 
 DELETED = "__deleted"
 BUCKET = "__bucket"
+#: About what a task rewrites when a micro-batch touches one bucket.
+ROWS_PER_BUCKET = 1_000_000
 
 
 def _latest(df: DataFrame, keys: Sequence[str], sequence_by: str) -> DataFrame:
@@ -47,13 +53,21 @@ def _marked(changes: DataFrame, delete_when: str | Column) -> DataFrame:
     return changes.withColumn(DELETED, F.coalesce(cond, F.lit(False)))
 
 
+def _bucket(keys: Sequence[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
+
+
+def buckets_for(rows: int) -> int:
+    """The power of two of buckets that leaves each at most about ``ROWS_PER_BUCKET`` rows."""
+    return 1 << max(0, -(-rows // ROWS_PER_BUCKET) - 1).bit_length()
+
+
 def _newest_changes(marked: DataFrame, keys: Sequence[str], sequence_by: str, buckets: int) -> DataFrame:
     """The newest change per key and its bucket; rows without key or sequence are dropped."""
     valid = marked.where(F.col(sequence_by).isNotNull())
     for k in keys:
         valid = valid.where(F.col(k).isNotNull())
-    bucket = F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
-    return _latest(valid.withColumn(BUCKET, bucket), keys, sequence_by)
+    return _latest(valid.withColumn(BUCKET, _bucket(keys, buckets)), keys, sequence_by)
 
 
 def merge_changes(state: DataFrame | None, changes: DataFrame, keys: Sequence[str], sequence_by: str,
@@ -93,9 +107,8 @@ def write_batch(spark: SparkSession, root: str, marked: DataFrame, batch: str, k
 
     ``batch`` names the micro-batch (its query and id): a second call with the
     name of the last version returns at once, as its manifest was written when
-    the first was done.  ``buckets`` is fixed by
-    the first batch (64 by default; choose it so that a bucket of the expected
-    state fits a task); another number later is refused.
+    the first was done.  A given ``buckets`` is fixed by the first batch, another
+    number later is refused; without one the number follows the state's rows.
     """
     last = manifest(spark, root)
     if last is not None and buckets not in (None, last["buckets"]):
@@ -103,19 +116,32 @@ def write_batch(spark: SparkSession, root: str, marked: DataFrame, batch: str, k
     if last is not None and last["batch"] == batch:
         return
     version, base = 0 if last is None else last["version"] + 1, last
-    buckets = last["buckets"] if last else buckets or 64
-    marked.persist()  # used twice: touched buckets, then the merge
+    follows = buckets is None if last is None else last.get("follows", False)
+    grown = False
+    marked.persist()  # used more than once: touched buckets, then the merge
     try:
+        if last is None:
+            buckets = buckets or buckets_for(marked.count())
+        else:
+            buckets = max(last["buckets"], buckets_for(sum(last["rows"].values()))) if follows else last["buckets"]
+            grown = buckets > last["buckets"]
         new = _newest_changes(marked, keys, sequence_by, buckets)
-        ids = [r[0] for r in new.select(BUCKET).distinct().collect()]  # <= buckets small ints
         if base is not None:
-            new = _latest(_read_buckets(spark, root, base, ids).unionByName(new, allowMissingColumns=True), keys, sequence_by)
+            ids = None if grown else [r[0] for r in new.select(BUCKET).distinct().collect()]  # <= buckets small ints
+            state = _read_buckets(spark, root, base, ids)
+            if grown:
+                state = state.withColumn(BUCKET, _bucket(keys, buckets))
+            new = _latest(state.unionByName(new, allowMissingColumns=True), keys, sequence_by)
         # REBALANCE: about one writer per bucket, while AQE still splits a bucket that grew large
         (new.withColumn("part", F.col(BUCKET)).hint("rebalance", "part").write.mode("overwrite")
          .option("partitionOverwriteMode", "static").partitionBy("part").parquet(f"{root}/versions/{version}"))
-        at = dict(base["at"] if base else {}) | {str(b): version for b in ids}
+        written = spark.read.schema(f"{BUCKET} int").parquet(f"{root}/versions/{version}").groupBy(BUCKET).count()
+        count = {str(b): n for b, n in written.collect()}  # <= buckets rows
+        keep = base if base and not grown else {"at": {}, "rows": {}}
+        at = keep["at"] | {b: version for b in count}
         fs.write_text(spark, f"{root}/manifest/{version}.json", json.dumps({
-            "version": version, "batch": batch, "buckets": buckets, "at": at, "schema": new.schema.jsonValue()}))
+            "version": version, "batch": batch, "buckets": buckets, "follows": follows, "at": at,
+            "rows": keep.get("rows", {}) | count, "schema": new.schema.jsonValue()}))
     finally:
         marked.unpersist()
     named = {*at.items(), *(base["at"] if base else {}).items()}

@@ -134,6 +134,30 @@ def test_cdc_bucket_count_is_fixed_and_only_named_columns_go(spark):
     assert "operation" not in cdc.read_target(spark, root, ["operation"]).columns
 
 
+def test_cdc_buckets_follow_the_state(spark, monkeypatch):
+    """A state that outgrows its buckets is hashed anew; deletes, late rows and a replay come out as before."""
+    from quarry.sources import fs
+    assert [cdc.buckets_for(n) for n in (0, 1, 10 ** 6, 10 ** 6 + 1, 3 * 10 ** 6 + 1)] == [1, 1, 1, 2, 4]
+    monkeypatch.setattr(cdc, "ROWS_PER_BUCKET", 20)
+    root = scratch_dir(spark, "t-grow")
+    write = lambda rows, name: cdc.write_batch(spark, root, _marked(spark, rows), name, ["id"], "seq")
+    write([(i, "a", "INSERT", 1) for i in range(15)], "q#0")
+    assert cdc.manifest(spark, root)["buckets"] == 1
+    write([(i, "b", "INSERT", 1) for i in range(15, 100)] + [(3, None, "DELETE", 5)], "q#1")
+    write([(3, "late", "UPDATE", 4), (4, "c", "UPDATE", 2)], "q#2")     # finds 100 rows in one bucket
+    m = cdc.manifest(spark, root)
+    assert m["buckets"] == 8 and sum(m["rows"].values()) == 100 and set(m["at"].values()) == {2}
+    write([(5, "d", "UPDATE", 2)], "q#3")
+    write([(5, "d", "UPDATE", 2)], "q#3")
+    m = cdc.manifest(spark, root)
+    assert m["buckets"] == 8 and sum(m["rows"].values()) == 100 and list(m["at"].values()).count(3) == 1
+    got = {r["id"]: r["name"] for r in cdc.read_target(spark, root).collect()}
+    assert got == {i: "a" if i < 15 else "b" for i in range(100) if i != 3} | {4: "c", 5: "d"}
+    empty = scratch_dir(spark, "t-grow-empty")
+    cdc.write_batch(spark, empty, _marked(spark, [(1, "a", "INSERT", 1)]).limit(0), "q#0", ["id"], "seq")
+    assert cdc.read_target(spark, empty).count() == 0 and fs.list_names(spark, f"{empty}/manifest")
+
+
 def test_schema_inference_sees_a_field_of_the_last_file_only(spark):
     root = scratch_dir(spark, "t-late-field")
     for k in range(40):
