@@ -6,6 +6,11 @@ Words of equal length advance together: prefix hashes of all words give the
 hash of any substring, sorted keys of the pieces of that length are probed by
 binary search, and a running maximum keeps the backpointers.
 
+A long word (text without spaces) is cut first, where no piece crosses: its
+parts can be segmented apart as well, and join the others of their length.  A
+part that stays long walks alone, with the same probes made for a window of
+its characters at once.
+
 Two kinds of model differ in what is maximised.  ``unigram``: the sum of the
 pieces' scores (ties: the longest last piece).  ``bpe``: the result of merging
 pairs in the order of their scores.  It is the only segmentation in which every
@@ -15,8 +20,7 @@ with, and exactly one survives at each place.  Characters without a piece come o
 as byte pieces.
 
 Defined results: null texts encode to null, empty ones to no ids; repeated
-rows are encoded alike; very long words take one step a character like any
-other; the space mark itself decodes to a space; an empty table gives an empty
+rows are encoded alike; a word may have any length; the space mark itself decodes to a space; an empty table gives an empty
 result.
 """
 
@@ -24,6 +28,7 @@ from __future__ import annotations
 
 import pickle
 import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import chain
@@ -39,6 +44,10 @@ SPACE = "▁"
 #: Odd multipliers, for the substring hashes and for their places in the marks.
 BASE = np.uint64(0x9E3779B97F4A7C15)
 MIX = np.uint64(0xD6E8FEB86659FD93)
+#: Words of more characters are cut, into parts of about half of that where that is possible.
+LONG = 64
+#: Characters of a long word that are probed at once.
+WINDOW = 1 << 16
 #: log2 of the marks of each length: places a key of that length may have.
 MARK_BITS = 18
 
@@ -237,6 +246,109 @@ def viterbi(words: list[str], p: Pieces) -> list[bytes]:
     return out
 
 
+def probe(c: np.ndarray, p: Pieces) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(size, places, ids) of the pieces that start at the places of a run of code points, shortest first."""
+    key = np.zeros(len(c), np.uint64)
+    for size in range(1, min(max(p.keys, default=0), len(c)) + 1):
+        key = key[:len(c) - size + 1] * BASE + c[size - 1:] + np.uint64(1)
+        if size not in p.keys:
+            continue
+        row = np.flatnonzero(p.marks[size][place(key)])
+        at = np.searchsorted(p.keys[size], key[row])
+        at[at == len(p.keys[size])] = 0
+        same = p.keys[size][at] == key[row]
+        yield size, row[same], p.ids[size][at[same]]
+
+
+def cut(word: str, p: Pieces) -> list[str]:
+    """A long word in parts that no piece joins, as long as they can be up to half of ``LONG``."""
+    c, over = codes([word])[:, 0], max(p.keys, default=1) - 1
+    crossed = np.zeros(len(c) + 1, bool)
+    for s in range(0, len(c), WINDOW):
+        part = c[s:s + WINDOW + over]
+        change = np.zeros(len(part) + 1, np.int32)
+        for size, row, _ in probe(part, p):
+            change[row + 1] += 1  # the borders row + 1 .. row + size - 1
+            change[row + size] -= 1
+        crossed[s:s + len(change)] |= np.cumsum(change) > 0
+    free = np.flatnonzero(~crossed)  # holds both ends
+    out, k = [], 0
+    while k + 1 < len(free):
+        last = max(int(np.searchsorted(free, free[k] + LONG // 2, side="right")) - 1, k + 1)
+        out.append(word[free[k]:free[last]])
+        k = last
+    return out
+
+
+class Alone:
+    """The best segmentation of one long word, a character at a time; remembers which pieces stay apart."""
+
+    def __init__(self, p: Pieces, most: int = 1 << 18):
+        self.p, self.most, self.memo = p, most, {}
+        if p.merges:
+            self.rank, self.left, self.right = p.merges.rank.tolist(), p.merges.left.tolist(), p.merges.right.tolist()
+            self.made = dict(zip(p.merges.pairs.tolist(), p.merges.made.tolist()))
+        self.score = np.zeros(len(p.text))
+        for size, ids in p.ids.items():
+            self.score[ids] = p.scores[size]
+
+    def apart(self, first: int, second: int) -> bool:
+        """``Merges.compatible`` of two ids."""
+        known = self.memo.get((first, second))
+        if known is not None:
+            return known
+        a, b, limit, n = self.rank[first], self.rank[second], 1 << 30, len(self.left)
+        while True:
+            ok = self.made.get(a * n + b, 1 << 40) >= limit
+            leaf_a, leaf_b = self.right[a] == a, self.left[b] == b
+            if not ok or (leaf_a and leaf_b):
+                break
+            if not leaf_a and (leaf_b or a > b):
+                limit, a = a, self.right[a]
+            else:
+                limit, b = b + 1, self.left[b]
+        if len(self.memo) >= self.most:
+            self.memo.clear()
+        self.memo[first, second] = ok
+        return ok
+
+    def __call__(self, word: str) -> bytes:
+        p, c, none = self.p, codes([word])[:, 0], float("-inf")
+        over = max(p.keys, default=1) - 1
+        best, which = array("d", [0.0]) * (len(c) + 1), array("i", [-1]) * (len(c) + 1)
+        for s in range(0, len(c), WINDOW):
+            low, end = max(0, s - over), min(len(c), s + WINDOW)
+            hits = [(row + low + size, np.full(len(row), size), ids,
+                     np.zeros(len(row)) if p.merges else self.score[ids])
+                    for size, row, ids in probe(c[low:end], p)]
+            upto, size, ids, score = (np.concatenate(x) for x in zip(*hits))
+            order = np.argsort(upto, kind="stable")  # by end, then by size
+            order = order[upto[order] > s]
+            first = np.searchsorted(upto[order], np.arange(s + 1, end + 2)).tolist()
+            size, ids, score = size[order].tolist(), ids[order].tolist(), score[order].tolist()
+            for j in range(s + 1, end + 1):
+                a, b = first[j - s - 1], first[j - s]
+                lone = not p.merges or a == b or size[a] > 1
+                top, last = best[j - 1] + p.unknown if lone else none, -1
+                for k in range(a, b):
+                    at = j - size[k]
+                    x = best[at] + score[k]
+                    if x >= top and x > none and (not p.merges or which[at] < 0 or self.apart(which[at], ids[k])):
+                        top, last = x, ids[k]
+                best[j], which[j] = top, last
+        out, j = array("i"), len(c)
+        while j:
+            i = which[j]
+            j -= len(p.text[i]) if i >= 0 else 1
+            if i >= 0 and not word.startswith(p.text[i], j):
+                raise ValueError("two substrings of one hash")
+            if i >= 0:
+                out.append(i)
+            else:
+                out.extend([p.byte_ids[x] for x in reversed(word[j].encode())])
+        return np.array(out[::-1], "<i4").tobytes()
+
+
 def with_bytes(word: str, ids: list[int], p: Pieces) -> list[int]:
     """The ids of a word with the byte pieces of its unknown characters (-1)."""
     out, at = [], 0
@@ -268,7 +380,25 @@ class Encoder:
     """Encodes batches; remembers the ids of words (at most ``most``)."""
 
     def __init__(self, p: Pieces, most: int = 200_000):
-        self.p, self.most, self.memo = p, most, {}
+        self.p, self.most, self.memo, self.alone = p, most, {}, None
+
+    def grouped(self, words: list[str]) -> dict[str, bytes]:
+        """The ids of words: those of one length together, long ones by their parts."""
+        out: dict[str, bytes] = {}
+        by_length: dict[int, list[str]] = {}
+        parts = {w: cut(w, self.p) for w in words if len(w) > LONG}
+        for w in dict.fromkeys(chain((w for w in words if len(w) <= LONG), *parts.values())):
+            if len(w) <= LONG:
+                by_length.setdefault(len(w), []).append(w)
+            else:
+                self.alone = self.alone or Alone(self.p)
+                out[w] = self.alone(w)
+        for length, group in by_length.items():
+            step = max(1, (1 << 19) // length)  # bounds the matrices of a step
+            for k in range(0, len(group), step):
+                part = group[k:k + step]
+                out.update(zip(part, viterbi(part, self.p)))
+        return {w: b"".join([out[x] for x in parts[w]]) if w in parts else out[w] for w in words}
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
         if not texts:
@@ -280,16 +410,9 @@ class Encoder:
         distinct, place_of = coded.dictionary.to_pylist(), coded.indices.to_numpy()
         if len(self.memo) > self.most:
             self.memo.clear()
-        new: dict[int, list[str]] = {}
-        for w in distinct:
-            if w not in self.memo:
-                new.setdefault(len(w), []).append(w)
-        for length, group in new.items():
-            step = max(1, (1 << 19) // length)  # bounds the matrices of a step
-            for k in range(0, len(group), step):
-                part = group[k:k + step]
-                self.memo.update(zip(part, viterbi(part, self.p)))
-        found = [self.memo[w] for w in distinct]
+        new = self.grouped([w for w in distinct if w not in self.memo])
+        found = [new[w] if w in new else self.memo[w] for w in distinct]
+        self.memo.update((w, ids) for w, ids in new.items() if len(w) <= LONG)
         held, size = np.frombuffer(b"".join(found), "<i4"), np.array([len(x) // 4 for x in found], np.int64)
         # the ids of all words one after the other, then cut by text
         size, start = size[place_of], (np.cumsum(size) - size)[place_of]
@@ -322,7 +445,7 @@ def encode(docs: DataFrame, model_path: str, column: str = "text", out: str = "i
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         run = Encoder(Pieces(**pickle.loads(sent.value)))
         for b in batches:
-            for part in slices(b, column):
+            for part in slices(b, column, chars=1 << 20):
                 texts = part.column(column).to_pylist()
                 ids = run([t or "" for t in texts])
                 col = pa.array([None if t is None else x for t, x in zip(texts, ids)], pa.list_(pa.int32()))

@@ -5,6 +5,7 @@ import itertools
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -466,6 +467,43 @@ def test_op6_ids_equal_the_library(kind, all_docs):
         assert run([text])[0].tolist() == encode(text), text[:60]
 
 
+def unspaced():
+    """Texts without a space: several scripts, random letters, runs of one or two characters."""
+    rng = np.random.default_rng(3)
+    han = ["".join(map(chr, rng.integers(0x4E00, 0x9FA5, n))) for n in (65, 200, 400, 3000)]
+    letters = ["".join(map(chr, rng.integers(97, 97 + k, 2000))) for k in (1, 2, 5, 26)]
+    mixed = ["".join(rng.choice(list("aé日本\u0378😀=1the"), 1500).tolist()) for _ in range(3)]
+    return han + letters + mixed + ["thequickbrownfox" * 90, "=" * 500, "a" * 64, "a" * 65, "日" * 64 + "b"]
+
+
+@pytest.mark.parametrize("kind", ["bpe", "unigram"])
+@pytest.mark.parametrize("window", [1 << 16, 97])
+def test_op6_text_without_spaces_equals_the_library(kind, window, monkeypatch):
+    monkeypatch.setattr(sp_codec, "WINDOW", window)
+    p, sp = sp_codec.pieces(open(MODEL, "rb").read(), kind), processor(kind)
+    texts = unspaced()
+    together = sp_codec.Encoder(p)(texts)
+    walk = sp_codec.Alone(p)
+    for text, ids in zip(texts, together):
+        word = sp_codec.SPACE + text
+        assert "".join(sp_codec.cut(word, p)) == word
+        whole = np.frombuffer(walk(word), "<i4")
+        if kind == "bpe":
+            assert ids.tolist() == whole.tolist() == sp.encode(text), text[:40]
+        else:  # equal scores may be reached in two ways: the batched search of the whole word decides
+            assert ids.tolist() == whole.tolist() == np.frombuffer(sp_codec.viterbi([word], p)[0], "<i4").tolist(), text[:40]
+
+
+def test_op6_long_words_are_fast():
+    """A run of a million characters is no matter of hours: batched where it can be cut, walked where it cannot."""
+    run = sp_codec.Encoder(sp_codec.pieces(open(MODEL, "rb").read(), "bpe"))
+    rng = np.random.default_rng(5)
+    for low, high, n in ((0x4E00, 0x9FA5, 300_000), (97, 123, 100_000)):
+        begin = time.time()
+        run(["".join(map(chr, rng.integers(low, high, n)))])
+        assert n / (time.time() - begin) > 10_000
+
+
 def test_op6_round_trip(spark, sf_dir):
     rows = QUERIES["op6_sentencepiece"](spark, sf_dir).collect()
     assert rows and all(r["same"] for r in rows)
