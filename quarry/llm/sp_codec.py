@@ -445,7 +445,7 @@ def encode(docs: DataFrame, model_path: str, column: str = "text", out: str = "i
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         run = Encoder(Pieces(**pickle.loads(sent.value)))
         for b in batches:
-            for part in slices(b, column, chars=1 << 20):
+            for part in slices(b, column, chars=1 << 21):
                 texts = part.column(column).to_pylist()
                 ids = run([t or "" for t in texts])
                 col = pa.array([None if t is None else x for t, x in zip(texts, ids)], pa.list_(pa.int32()))
