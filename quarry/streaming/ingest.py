@@ -16,6 +16,8 @@ from __future__ import annotations
 import json
 import threading
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -81,6 +83,7 @@ def apply_hints(schema: StructType, hints: str | Mapping[str, str | DataType]) -
 
 
 CORRUPT = "_corrupt_record"
+NESTED = (StructType, ArrayType, MapType)
 
 
 def _NOTHING() -> Column:  # noqa: N802
@@ -93,32 +96,52 @@ def _step(path: Column, name: Column) -> Column:
         F.concat(path, F.lit("["), F.to_json(F.array(name)), F.lit("]")))
 
 
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` evaluated once, however often ``body`` names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _misfits(raw: Column, typed: Column, kind: DataType, path: Column) -> Column:
-    """Entries ``(path, text)`` of what ``raw`` (VARIANT) holds and ``typed`` does not, over structs, arrays and maps."""
-    given = raw.isNotNull() & ~F.is_variant_null(raw)
+    """Entries ``(path, text)`` of what ``raw`` (VARIANT) holds and ``typed`` does not, over structs, arrays and maps.
 
+    ``raw``, ``typed`` and ``path`` are named several times: bind what is dear to compute.
+    """
     def entry(at: Column, value: Column) -> Column:
         return F.struct(at.alias("key"), F.coalesce(F.try_variant_get(value, "$", "string"), F.to_json(value)).alias("value"))
 
-    lost = F.when(given & typed.isNull(), F.array(entry(path, raw))).otherwise(_NOTHING())
+    def lost(value: Column, held: Column, at: Column) -> Column:
+        # most values fit, so that is asked first
+        return F.when(held.isNull() & value.isNotNull() & ~F.is_variant_null(value), entry(at, value))
+
+    def present(entries: Column) -> Column:
+        return F.filter(entries, lambda x: x.isNotNull())
+
+    def below(kind_of: str, body) -> Column:
+        return _let(F.try_variant_get(raw, "$", kind_of),
+                    lambda x: F.when(x.isNotNull(), body(x)).otherwise(present(F.array(lost(raw, typed, path)))))
+
     if isinstance(kind, StructType):
-        fields = F.try_variant_get(raw, "$", "map<string,variant>")
-        known = F.array(*[F.lit(f.name) for f in kind.fields])
-        unknown = F.transform(F.map_entries(F.map_filter(fields, lambda k, v: ~F.array_contains(known, k))),
-                              lambda e: entry(_step(path, e["key"]), e["value"]))
-        inside = F.concat(unknown, *[_misfits(fields[f.name], typed[f.name], f.dataType, _step(path, F.lit(f.name))) for f in kind.fields])
-        return F.when(given & fields.isNotNull(), inside).otherwise(lost)
+        known = [f.name for f in kind.fields]
+        plain = [f for f in kind.fields if not isinstance(f.dataType, NESTED)]
+
+        def inside(fields: Column) -> Column:
+            unknown = F.transform(F.filter(F.map_entries(fields), lambda e: ~e["key"].isin(known)),
+                                  lambda e: entry(_step(path, e["key"]), e["value"]))
+            misfits = [lost(fields[f.name], typed[f.name], _step(path, F.lit(f.name))) for f in plain]
+            return F.flatten(F.array(unknown, *([present(F.array(*misfits))] if plain else []),
+                                     *[field(fields, f) for f in kind.fields if f not in plain]))
+
+        def field(fields: Column, f: StructField) -> Column:
+            return _let(fields[f.name], lambda x: _misfits(x, typed[f.name], f.dataType, _step(path, F.lit(f.name))))
+
+        return below("map<string,variant>", inside)
     if isinstance(kind, ArrayType):
-        items = F.try_variant_get(raw, "$", "array<variant>")
-        inside = F.flatten(F.transform(items, lambda x, i: _misfits(
-            x, F.get(typed, i), kind.elementType, F.concat(path, F.lit("["), i.cast("string"), F.lit("]")))))
-        return F.when(given & items.isNotNull(), inside).otherwise(lost)
+        return below("array<variant>", lambda items: F.flatten(F.transform(items, lambda x, i: _misfits(
+            x, F.get(typed, i), kind.elementType, F.concat(path, F.lit("["), i.cast("string"), F.lit("]"))))))
     if isinstance(kind, MapType):
-        fields = F.try_variant_get(raw, "$", "map<string,variant>")
-        inside = F.flatten(F.transform(F.map_entries(fields), lambda e: _misfits(
-            e["value"], F.try_element_at(typed, e["key"]), kind.valueType, _step(path, e["key"]))))
-        return F.when(given & fields.isNotNull(), inside).otherwise(lost)
-    return lost
+        return below("map<string,variant>", lambda fields: F.flatten(F.transform(F.map_entries(fields), lambda e: _misfits(
+            e["value"], F.try_element_at(typed, e["key"]), kind.valueType, _step(path, e["key"])))))
+    return present(F.array(lost(raw, typed, path)))
 
 
 def rescued_column(raw: Column, typed: Column, schema: StructType) -> Column:
@@ -131,25 +154,36 @@ def rescued_column(raw: Column, typed: Column, schema: StructType) -> Column:
     with the typed one, and what does not fit or is unknown is rescued by its
     path (``items[0].qty``).  A line that is no JSON object is rescued whole,
     under ``_corrupt_record``.  NULL when nothing was rescued (or the line is
-    blank).
+    blank).  Each way of parsing reads a line once.
     """
-    as_map = F.from_json(raw, "map<string,string>")
-    known = F.array(*[F.lit(f.name) for f in schema.fields])
-    unknown = F.map_filter(as_map, lambda k, v: ~F.array_contains(known, k))
-    misfits = F.filter(F.array(*[
-        F.when(typed[f.name].isNull() & as_map[f.name].isNotNull(),
-               F.struct(F.lit(f.name).alias("key"), as_map[f.name].alias("value")))
-        for f in schema.fields]), lambda x: x.isNotNull())
-    bad = F.map_concat(F.map_from_entries(misfits), unknown)
-    deep = [f for f in schema.fields if isinstance(f.dataType, (StructType, ArrayType, MapType))]
-    if deep:
-        whole = F.try_variant_get(F.try_parse_json(raw), "$", "map<string,variant>")
-        below = F.concat(*[F.when(typed[f.name].isNotNull(), _misfits(whole[f.name], typed[f.name], f.dataType, F.lit(f.name)))
-                           .otherwise(_NOTHING()) for f in deep])
+    known = [f.name for f in schema.fields]
+    deep = [f for f in schema.fields if isinstance(f.dataType, NESTED)]
+
+    def field(whole: Column, f: StructField) -> Column:
+        return F.when(typed[f.name].isNotNull(), _let(whole[f.name], lambda x: _misfits(x, typed[f.name], f.dataType, F.lit(f.name)))
+                      ).otherwise(_NOTHING())
+
+    def bad_of(as_map: Column) -> Column:
+        unknown = F.map_filter(as_map, lambda k, v: ~k.isin(known))
+        misfits = F.filter(F.array(*[
+            F.when(typed[f.name].isNull() & as_map[f.name].isNotNull(),
+                   F.struct(F.lit(f.name).alias("key"), as_map[f.name].alias("value")))
+            for f in schema.fields]), lambda x: x.isNotNull())
+        bad = F.map_concat(F.map_from_entries(misfits), unknown)
+        if not deep:
+            return bad
+        # a value that is written as it was read has lost nothing
+        changed = reduce(or_, [typed[f.name].isNotNull() & ~F.coalesce(F.to_json(typed[f.name]) == as_map[f.name], F.lit(False)) for f in deep])
+        below = F.when(changed, _let(F.try_variant_get(F.try_parse_json(raw), "$", "map<string,variant>"),
+                                     lambda whole: F.flatten(F.array(*[field(whole, f) for f in deep])))).otherwise(_NOTHING())
         # a top-level key may be spelled like a path
-        bad = F.map_concat(bad, F.map_from_entries(F.filter(below, lambda e: ~F.coalesce(F.array_contains(F.map_keys(as_map), e["key"]), F.lit(False)))))
-    return (F.when(as_map.isNull() & (F.trim(raw) != ""), F.to_json(F.struct(raw.alias(CORRUPT))))
-            .when(F.size(bad) > 0, F.to_json(bad)))
+        return F.map_concat(bad, F.map_from_entries(F.filter(below, lambda e: ~F.coalesce(F.map_contains_key(as_map, e["key"]), F.lit(False)))))
+
+    def rescued(as_map: Column) -> Column:
+        return (F.when(as_map.isNull() & (F.trim(raw) != ""), F.to_json(F.struct(raw.alias(CORRUPT))))
+                .when(as_map.isNotNull(), _let(bad_of(as_map), lambda bad: F.when(F.size(bad) > 0, F.to_json(bad)))))
+
+    return _let(F.from_json(raw, "map<string,string>"), rescued)
 
 
 def read_json_stream(spark: SparkSession, path: str, schema: StructType, rescue: bool = True,

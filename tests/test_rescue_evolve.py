@@ -78,3 +78,19 @@ def test_a_committed_cdc_batch_that_is_replayed_writes_nothing(spark):
     cdc.write_batch(spark, root, feed([(1, "c", 2, False)]), "q#1", ["id"], "seq")
     assert stat == {os.path.join(d, f): os.path.getmtime(os.path.join(d, f)) for d, _, names in os.walk(path) for f in names}
     assert sorted((r["id"], r["name"]) for r in cdc.read_target(spark, root).collect()) == [(1, "c"), (2, "b")]
+
+
+def test_a_line_is_parsed_once_for_its_rescue(spark):
+    """Nested fields name the parsed line many times; each way of parsing must stand in the plan once."""
+    from pyspark.sql import functions as F
+    from pyspark.sql.types import StructType
+    ddl = "id INT, who STRUCT<name: STRING, age: INT, deep: STRUCT<at: TIMESTAMP>>, items ARRAY<STRUCT<qty: INT, price: INT>>"
+    schema = StructType.fromDDL(ddl)
+    lines = ['{"id":1,"who":{"name":"a","age":3},"items":[{"qty":1,"price":2}]}',
+             '{"id":2,"who":{"name":"a","gone":null},"items":[{"qty":"x","price":2},{"qty":1,"more":[1]}]}']
+    raw = spark.createDataFrame([(x,) for x in lines], "value string").select("value", F.from_json("value", schema).alias("j"))
+    out = raw.select("j.id", ingest.rescued_column(F.col("value"), F.col("j"), schema).alias("r"))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parseJson") == 1 and plan.count("from_json(MapType") == 1
+    got = {r["id"]: r["r"] and json.loads(r["r"]) for r in out.collect()}
+    assert got == {1: None, 2: {"who.gone": "null", "items[0].qty": "x", "items[1].more": "[1]"}}
