@@ -72,7 +72,7 @@ def users_by_segment_json(spark: SparkSession, d: str) -> str:
 def events_json(spark: SparkSession, d: str) -> str:
     def build():
         p = scratch_dir(spark, "events-json")
-        fx.events_nested(spark, d).repartition(files_for(spark, d, "events", minimum=4)).write.json(p)
+        ingest.deal(fx.events_nested(spark, d), files_for(spark, d, "events", minimum=4)).write.json(p)
         return p
     return _land(spark, d, "events_json", build)
 
@@ -81,7 +81,7 @@ def events_raw_json(spark: SparkSession, d: str) -> str:
     """The message envelope as JSON (binary columns become base64 text)."""
     def build():
         p = scratch_dir(spark, "events-raw-json")
-        fx.events_raw(spark, d).repartition(files_for(spark, d, "events", minimum=4)).write.json(p)
+        ingest.deal(fx.events_raw(spark, d), files_for(spark, d, "events", minimum=4)).write.json(p)
         return p
     return _land(spark, d, "events_raw_json", build)
 
@@ -422,7 +422,7 @@ def src32_nested(spark, d):
                           F.array(*[line(k) for k in range(3)]).alias("lines"))
         # quantities as numbers, but for the misfits
         text = F.regexp_replace(F.to_json(nested), '"qty":"([0-9]+)"', '"qty":$1')
-        fx.status_feed(spark, d).select(text.alias("value")).repartition(files_for(spark, d, "orders", minimum=4)).write.text(p)
+        ingest.deal(fx.status_feed(spark, d).select(text.alias("value")), files_for(spark, d, "orders", minimum=4)).write.text(p)
         return p
     s = ingest.cloud_files(spark, _land(spark, d, "status_nested", build), "json",
                            schema="order_id BIGINT, ship STRUCT<mode: STRING>, lines ARRAY<STRUCT<qty: INT>>")

@@ -64,12 +64,19 @@ def table_bytes(spark: SparkSession, sf_dir: str, *names: str) -> int:
     return sum(fs.path_bytes(spark, f"{sf_dir.rstrip('/')}/{n}.parquet") for n in names)
 
 
+#: Rows of a file that is derived from a table: tens of MB as text, a few hundred bytes a row.
+ROWS_PER_FILE = 100_000
+
+
 def files_for(spark: SparkSession, sf_dir: str, *names: str, minimum: int = 1,
               target_bytes: int = 128 * 1024 * 1024) -> int:
-    """Output files / partitions for data derived from ``names``: ~target_bytes each.
+    """Output files / partitions for data derived from ``names``: ~target_bytes of them, ~ROWS_PER_FILE rows of the last each.
 
     Keeps writers proportional to the data: a handful at test scale, tens of
     thousands at 100 TB (never a fixed small count that funnels everything
-    through a few tasks).
+    through a few tasks).  The last table is the one whose rows are written; the
+    rows bound a file, since text can take thirty times the bytes of its encoded
+    source.  They are counted from the file footers.
     """
-    return max(minimum, -(-table_bytes(spark, sf_dir, *names) // target_bytes))
+    rows = table(spark, sf_dir, names[-1]).count()
+    return max(minimum, -(-table_bytes(spark, sf_dir, *names) // target_bytes), -(-rows // ROWS_PER_FILE))

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.listener import StreamingQueryListener
-from pyspark.sql.types import ArrayType, DataType, MapType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, DataType, MapType, StringType, StructField, StructType, VariantType
 
 from quarry.sources import fs
 
@@ -34,10 +34,11 @@ def land_files(df: DataFrame, path: str, fmt: str = "json", n_files: int = 8,
 
     ``repartitionByRange`` puts consecutive ranges of ``order_by`` into
     consecutive files (sampled range bounds, no single-task sort), which is
-    how a replayed feed is landed for a streaming test.
+    how a replayed feed is landed for a streaming test.  Other rows are dealt by
+    ``deal``.
     """
     out = df.repartitionByRange(n_files, order_by).sortWithinPartitions(order_by) if order_by \
-        else df.repartition(n_files)
+        else deal(df, n_files)
     # Keep microseconds: the default text timestamp formats stop at millis.
     w = (out.write.mode(mode)
          .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
@@ -53,6 +54,22 @@ def land_files(df: DataFrame, path: str, fmt: str = "json", n_files: int = 8,
     return path
 
 
+def deal(df: DataFrame, n: int) -> DataFrame:
+    """``df`` in ``n`` parts by a hash of whole rows.
+
+    A round robin would first sort every input partition by all columns (so that a
+    task that runs again deals alike), and spill what a large one holds.
+    """
+    keys = [f.name for f in df.schema.fields if not _unhashable(f.dataType)]
+    return df.repartition(n, *[F.col(f"`{k}`") for k in keys]) if keys else df.repartition(n)
+
+
+def _unhashable(kind: DataType) -> bool:
+    if isinstance(kind, StructType):
+        return any(_unhashable(f.dataType) for f in kind.fields)
+    return _unhashable(kind.elementType) if isinstance(kind, ArrayType) else isinstance(kind, (MapType, VariantType))
+
+
 def infer_schema(spark: SparkSession, path: str, fmt: str = "json", infer_types: bool = True,
                  options: Mapping[str, str] | None = None) -> StructType:
     """Schema of all files now in ``path`` (one distributed batch read).
