@@ -62,18 +62,18 @@ def buckets_for(rows: int) -> int:
     return 1 << max(0, -(-rows // ROWS_PER_BUCKET) - 1).bit_length()
 
 
-def _newest_changes(marked: DataFrame, keys: Sequence[str], sequence_by: str, buckets: int) -> DataFrame:
-    """The newest change per key and its bucket; rows without key or sequence are dropped."""
+def _newest_changes(marked: DataFrame, keys: Sequence[str], sequence_by: str) -> DataFrame:
+    """The newest change per key; rows without key or sequence are dropped."""
     valid = marked.where(F.col(sequence_by).isNotNull())
     for k in keys:
         valid = valid.where(F.col(k).isNotNull())
-    return _latest(valid.withColumn(BUCKET, _bucket(keys, buckets)), keys, sequence_by)
+    return _latest(valid, keys, sequence_by)
 
 
 def merge_changes(state: DataFrame | None, changes: DataFrame, keys: Sequence[str], sequence_by: str,
                   delete_when: str | Column, buckets: int) -> DataFrame:
     """New content of the state buckets touched by ``changes`` (a batch DataFrame)."""
-    batch = _newest_changes(_marked(changes, delete_when), keys, sequence_by, buckets)
+    batch = _newest_changes(_marked(changes, delete_when), keys, sequence_by).withColumn(BUCKET, _bucket(keys, buckets))
     if state is None:
         return batch
     ids = [r[0] for r in batch.select(BUCKET).distinct().collect()]   # <= buckets small ints
@@ -118,14 +118,15 @@ def write_batch(spark: SparkSession, root: str, marked: DataFrame, batch: str, k
     version, base = 0 if last is None else last["version"] + 1, last
     follows = buckets is None if last is None else last.get("follows", False)
     grown = False
-    marked.persist()  # used more than once: touched buckets, then the merge
+    # one row a key, used more than once: their count, touched buckets, then the merge
+    newest = _newest_changes(marked, keys, sequence_by).persist()
     try:
         if last is None:
-            buckets = buckets or buckets_for(marked.count())
+            buckets = buckets or buckets_for(newest.count())
         else:
             buckets = max(last["buckets"], buckets_for(sum(last["rows"].values()))) if follows else last["buckets"]
             grown = buckets > last["buckets"]
-        new = _newest_changes(marked, keys, sequence_by, buckets)
+        new = newest.withColumn(BUCKET, _bucket(keys, buckets))
         if base is not None:
             ids = None if grown else [r[0] for r in new.select(BUCKET).distinct().collect()]  # <= buckets small ints
             state = _read_buckets(spark, root, base, ids)
@@ -143,7 +144,7 @@ def write_batch(spark: SparkSession, root: str, marked: DataFrame, batch: str, k
             "version": version, "batch": batch, "buckets": buckets, "follows": follows, "at": at,
             "rows": keep.get("rows", {}) | count, "schema": new.schema.jsonValue()}))
     finally:
-        marked.unpersist()
+        newest.unpersist()
     named = {*at.items(), *(base["at"] if base else {}).items()}
     for v in fs.list_names(spark, f"{root}/versions"):
         if int(v) < version and not any(str(x) == v for _, x in named):

@@ -213,3 +213,17 @@ def test_scratch_needs_a_shared_folder_on_a_cluster():
     sc = SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077")
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         checkpoint_root(SimpleNamespace(sparkContext=sc, conf=SimpleNamespace(get=lambda k, d=None: None)))
+
+
+def test_cdc_keeps_one_row_a_key_of_a_batch(spark, monkeypatch):
+    """What is held between the steps, and counted for the buckets, is the newest change per key, not the batch."""
+    counted, real = [], cdc.buckets_for
+    monkeypatch.setattr(cdc, "buckets_for", lambda n: counted.append(n) or real(n))
+    root = scratch_dir(spark, "t-held")
+    rows = [(i % 7, f"n{i}", "UPDATE", i) for i in range(300)] + [(None, "x", "UPDATE", 1), (1, "x", "UPDATE", None)]
+    cdc.write_batch(spark, root, _marked(spark, rows), "q#0", ["id"], "seq")
+    assert counted == [7]
+    cdc.write_batch(spark, root, _marked(spark, [(3, None, "DELETE", 999), (4, "late", "UPDATE", 0)]), "q#1", ["id"], "seq")
+    got = {r["id"]: r["name"] for r in cdc.read_target(spark, root).collect()}
+    newest = {i % 7: f"n{i}" for i in range(300)}
+    assert got == {k: v for k, v in newest.items() if k != 3}
