@@ -2,14 +2,16 @@
 
 Pieces never hold the space mark after another character, so a text splits
 into words (space marks, then other characters) that can be segmented apart.
-Words of equal length advance together: prefix hashes of all words give the
-hash of any substring, sorted keys of the pieces of that length are probed by
-binary search, and a running maximum keeps the backpointers.
+The different words of a slice of texts lie one after the other in one array
+and advance together, whatever their lengths: from every character the trie of
+the pieces is followed until no piece goes on, and what was found is taken up by
+the place of its end in its word, as many steps as the longest word has
+characters.
 
 A long word (text without spaces) is cut first, where no piece crosses: its
-parts can be segmented apart as well, and join the others of their length.  A
-part that stays long walks alone, with the same probes made for a window of
-its characters at once.
+parts can be segmented apart as well, and join the other words.  A part that
+stays long walks alone, with the pieces found for a window of its characters at
+once.
 
 Two kinds of model differ in what is maximised.  ``unigram``: the sum of the
 pieces' scores (ties: the longest last piece).  ``bpe``: the result of merging
@@ -27,7 +29,6 @@ result.
 from __future__ import annotations
 
 import pickle
-import re
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -41,23 +42,51 @@ from pyspark.sql import DataFrame
 from quarry.llm.common import file_bytes
 
 SPACE = "▁"
-#: Odd multipliers, for the substring hashes and for their places in the marks.
-BASE = np.uint64(0x9E3779B97F4A7C15)
+#: Odd multiplier, for the places of keys.
 MIX = np.uint64(0xD6E8FEB86659FD93)
+#: A place without a key.
+FREE = np.uint64(0xFFFFFFFFFFFFFFFF)
 #: Words of more characters are cut, into parts of about half of that where that is possible.
 LONG = 64
 #: Characters of a long word that are probed at once.
 WINDOW = 1 << 16
-#: log2 of the marks of each length: places a key of that length may have.
-MARK_BITS = 18
+#: Characters of words that advance together, which bounds the arrays of a step.
+STEP = 1 << 17
+#: log2 of the borders that are remembered.
+BORDER_BITS = 18
+
+
+@dataclass
+class Trie:
+    """The prefixes of all pieces, numbered from 1; 0 is the empty one."""
+    key: np.ndarray  # by place: a prefix and its next character
+    child: np.ndarray  # by place: the longer prefix
+    spelled: np.ndarray  # of each prefix: the id of the piece that it is, or -1
+    inner: np.ndarray  # of each prefix: whether longer ones exist
+
+    def follow(self, node: np.ndarray, code: np.ndarray) -> np.ndarray:
+        """The prefixes longer by a character, or -1."""
+        key = (node.astype(np.uint64) << np.uint64(21)) | code
+        at = place(key, len(self.key))
+        held = self.key[at]
+        out = np.where(held == key, self.child[at], np.int32(-1))
+        rest = np.flatnonzero((held != key) & (held != FREE))
+        key, at = key[rest], at[rest]
+        while len(rest):
+            at = (at + 1) % len(self.key)
+            held = self.key[at]
+            hit = held == key
+            out[rest[hit]] = self.child[at[hit]]
+            go = ~hit & (held != FREE)
+            rest, key, at = rest[go], key[go], at[go]
+        return out
 
 
 @dataclass
 class Pieces:
-    keys: dict[int, np.ndarray]  # by length: sorted hashes
-    ids: dict[int, np.ndarray]
-    scores: dict[int, np.ndarray]
-    marks: dict[int, np.ndarray]  # by length: whether any key has this place
+    trie: Trie
+    longest: int  # characters of the longest piece
+    score: np.ndarray  # of each id
     text: list[str | bytes]  # of each id: its string, or its byte
     raw: list[bytes]  # of each id: what it decodes to
     byte_ids: list[int]
@@ -73,6 +102,7 @@ class Merges:
     right: np.ndarray
     pairs: np.ndarray  # sorted keys (left rank * n + right rank) of all pairs that make a piece
     made: np.ndarray  # the rank of that piece
+    seen: np.ndarray | None = None  # by place: the last border asked for (key of its ranks), and whether it stays
 
     def joined(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """The rank of the piece that two pieces make, or a very large one."""
@@ -101,6 +131,21 @@ class Merges:
             a, b = np.where(undo_a, self.right[a], a), np.where(undo_a, b, self.left[b])
         return ok
 
+    def apart(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+        """``compatible`` of ids; remembers the last border of each place."""
+        if self.seen is None:
+            self.seen = np.full(1 << BORDER_BITS, -1)
+        n = len(self.left)
+        key = self.rank[first] * n + self.rank[second]
+        at = place(key.astype(np.uint64), len(self.seen))
+        held = self.seen[at]
+        new = np.flatnonzero(held >> 1 != key)
+        if len(new):
+            pair, back = np.unique(key[new], return_inverse=True)
+            held[new] = (2 * pair + self.compatible(pair // n, pair % n))[back]
+            self.seen[at[new]] = held[new]
+        return held & 1 == 1
+
 
 def merges(text: list[str | bytes], normal: list[int], score: list[float]) -> tuple[Merges, list[int]]:
     """Merges of a bpe model, and the ids that merging can reach."""
@@ -136,27 +181,41 @@ def merges(text: list[str | bytes], normal: list[int], score: list[float]) -> tu
 
 
 def codes(words: list[str]) -> np.ndarray:
-    """Code points of words of one length, a column each."""
-    c = np.frombuffer("".join(words).encode("utf-32-le"), "<u4").reshape(len(words), -1)
-    return np.ascontiguousarray(c.T).astype(np.uint64)
+    """Code points of words, one after the other."""
+    return np.frombuffer("".join(words).encode("utf-32-le"), "<u4")
 
 
-def hashes(c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Prefix hashes of each column and the powers of the multiplier (modulo 2**64)."""
-    h = np.zeros((c.shape[0] + 1, c.shape[1]), np.uint64)
-    power = np.cumprod(np.concatenate((np.ones(1, np.uint64), np.full(c.shape[0], BASE))))
-    for k in range(c.shape[0]):
-        h[k + 1] = h[k] * BASE + c[k] + np.uint64(1)
-    return h, power
+def place(key: np.ndarray, places: int) -> np.ndarray:
+    """Where a key stands, or is looked for first, among places (a power of two)."""
+    return ((key * MIX) >> np.uint64(65 - places.bit_length())).astype(np.int64)
 
 
-def place(key: np.ndarray) -> np.ndarray:
-    """Where the marks of a length say whether any piece has a key of this place."""
-    return (key * MIX) >> np.uint64(64 - MARK_BITS)
+def trie(text: list[str | bytes], ids: list[int]) -> Trie:
+    """The trie of the pieces with these ids."""
+    nodes: dict[int, int] = {}
+    ends = []
+    for i in ids:
+        at = 0
+        for ch in text[i]:
+            at = nodes.setdefault(at << 21 | ord(ch), len(nodes) + 1)
+        ends.append(at)
+    spelled, inner = np.full(len(nodes) + 1, -1, np.int32), np.zeros(len(nodes) + 1, bool)
+    spelled[ends] = ids
+    key, child = np.array(list(nodes), np.uint64), np.array(list(nodes.values()), np.int32)
+    inner[(key >> np.uint64(21)).astype(np.int64)] = True
+    places = 1 << (4 * len(nodes) + 4).bit_length()
+    out = Trie(np.full(places, FREE), np.full(places, -1, np.int32), spelled, inner)
+    at = place(key, places)
+    while len(key):  # each to its place, or to the next free one after it
+        free = np.flatnonzero(out.key[at] == FREE)
+        out.key[at[free]], out.child[at[free]] = key[free], child[free]
+        rest = out.key[at] != key
+        key, child, at = key[rest], child[rest], (at[rest] + 1) % places
+    return out
 
 
 def pieces(model: bytes, kind: str = "bpe") -> Pieces:
-    """The normal pieces of a SentencePiece model, keyed by hash."""
+    """The normal pieces of a SentencePiece model."""
     import sentencepiece
     sp = sentencepiece.SentencePieceProcessor(model_proto=model)
     n = sp.get_piece_size()
@@ -174,95 +233,114 @@ def pieces(model: bytes, kind: str = "bpe") -> Pieces:
     table = None
     if kind == "bpe":
         table, normal = merges(text, normal, score)
-    by_length: dict[int, list[int]] = {}
-    for i in normal:
-        by_length.setdefault(len(text[i]), []).append(i)
     raw = [t if isinstance(t, bytes) else t.encode() for t in text]
-    out = Pieces({}, {}, {}, {}, text, raw, byte_ids, min((score[i] for i in normal), default=0.0) - 10.0, table)
-    for length, ids in by_length.items():
-        h = hashes(codes([text[i] for i in ids]))[0][-1]
-        order = np.argsort(h)
-        out.keys[length], out.ids[length] = h[order], np.array(ids)[order]
-        out.scores[length] = np.array([score[i] for i in ids])[order]
-        out.marks[length] = np.zeros(1 << MARK_BITS, bool)
-        out.marks[length][place(h)] = True
-    return out
-
-
-def viterbi(words: list[str], p: Pieces) -> list[bytes]:
-    """Ids (little-endian 32 bit) of words of one length, all advanced together."""
-    c = codes(words)
-    length, n = c.shape
-    h, power = hashes(c)
-    best = np.full((length + 1, n), -np.inf)
-    best[0] = 0.0
-    back = np.ones((length + 1, n), np.int32)  # length of the last piece
-    which = np.full((length + 1, n), -1, np.int32)  # its id; -1: no piece
-    for j in range(1, length + 1):
-        hits = []
-        for size in sorted(p.keys):
-            if size > j:
-                break
-            key = h[j] - h[j - size] * power[size]
-            # most substrings are no piece: the marks tell before the search
-            row = np.flatnonzero(p.marks[size][place(key)])
-            key = key[row]
-            at = np.searchsorted(p.keys[size], key)
-            at[at == len(p.keys[size])] = 0
-            same = p.keys[size][at] == key
-            hits.append((size, row[same], at[same]))
-        # a character alone, where no piece is: in a unigram model always possible, at a price
-        lone = np.ones(n, bool)
+    return Pieces(trie(text, normal), max((len(text[i]) for i in normal), default=0), np.array(score), text, raw, byte_ids,
+                  min((score[i] for i in normal), default=0.0) - 10.0, table)
+
+
+def probe(c: np.ndarray, p: Pieces, room: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(size, places, ids) of the pieces that start at the places of a run of code points, shortest first.
+
+    ``room``: how many characters a piece may have at each place (else: up to the end of the run).
+    """
+    room = np.arange(len(c), 0, -1) if room is None else room
+    at, node = np.arange(len(c)), np.zeros(len(c), np.int32)
+    for size in range(1, max(p.longest, 1) + 1):
+        node = p.trie.follow(node, c[at + (size - 1)])
+        on = np.flatnonzero(node >= 0)
+        at, node = at[on], node[on]
+        ids = p.trie.spelled[node]
+        piece = np.flatnonzero(ids >= 0)
+        yield size, at[piece], ids[piece]
+        on = np.flatnonzero(p.trie.inner[node] & (room[at] > size))
+        at, node = at[on], node[on]
+        if not len(at):
+            break
+
+
+def segment(c: np.ndarray, length: np.ndarray, p: Pieces) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of words, all advanced together, and how many each gets; the words: code points, and how many each has."""
+    n, word = len(length), np.repeat(np.arange(len(length)), length)
+    start = np.cumsum(length) - length
+    hits = list(probe(c, p, (start + length)[word] - np.arange(len(c))))
+    # a character alone, where no piece is: in a unigram model always possible, at a price
+    lone = np.ones(len(c), bool)
+    if p.merges:
+        lone[hits[0][1]] = False
+    lone = np.flatnonzero(lone)
+    hits.insert(0, (1, lone, np.full(len(lone), -1, np.int32)))
+    row, ids = (np.concatenate([h[k] for h in hits]) for k in (1, 2))
+    size = np.repeat(np.array([h[0] for h in hits], np.int32), [len(h[1]) for h in hits])
+    del hits
+    # by the place of the end in the word, then by size; a word has a border more than characters
+    upto = row + size - start[word[row]]
+    ends = np.concatenate(([0], np.cumsum(np.bincount(upto, minlength=2)[1:]))).tolist()
+    order = np.argsort(upto.astype(np.min_scalar_type(len(ends))), kind="stable")
+    low, ids, size = (row + word[row])[order], ids[order], size[order]
+    del row, upto, order
+    first = start + np.arange(n)
+    # at each border: the id of the last piece (-1: none) and its length
+    which, back = np.full(len(c) + n, -2, np.int32), np.ones(len(c) + n, np.int32)
+    which[first] = -1
+    best = np.zeros(0 if p.merges else len(c) + n)
+    for a, b in zip(ends, ends[1:]):
+        at, i, step = low[a:b], ids[a:b], size[a:b]
+        before = which[at]
+        ok = before > -2
         if p.merges:
-            lone[hits[0][1]] = False
-            allowed = border(p, [which[j - size, row] if j > size else None for size, row, _ in hits],
-                             [p.ids[size][at] for size, _, at in hits])
-            hits = [(size, row[ok], at[ok]) for (size, row, at), ok in zip(hits, allowed)]
-        best[j] = np.where(lone, best[j - 1] + p.unknown, -np.inf)
-        for size, row, at in hits:
-            score = best[j - size, row] + (0.0 if p.merges else p.scores[size][at])
-            better = (score >= best[j, row]) & (score > -np.inf)
-            row, at, score = row[better], at[better], score[better]
-            best[j, row], back[j, row], which[j, row] = score, size, p.ids[size][at]
-    # walk all words back together; a word that has arrived stays at 0 and writes -2
-    row, at, steps = np.arange(n), np.full(n, length), []
-    while at.any():
-        steps.append(np.where(at > 0, which[at, row], -2))
-        at = np.where(at > 0, at - back[at, row], 0)
-    ids = np.stack(steps[::-1], axis=1)
-    there = ids != -2
-    flat, ends = ids[there].astype("<i4"), np.cumsum(there.sum(axis=1))
-    starts = np.concatenate(([0], ends[:-1]))
-    lacking = np.flatnonzero((ids == -1).any(axis=1)).tolist()
-    odd = {k: with_bytes(words[k], flat[starts[k]:ends[k]].tolist(), p) for k in lacking}
-    known = there.copy()
-    known[lacking] = False
-    if "".join([p.text[i] for i in ids[known].tolist()]) != "".join([w for k, w in enumerate(words) if k not in odd]):
-        raise ValueError("two substrings of one hash")
-    blob = flat.tobytes()
-    out = [blob[a:b] for a, b in zip((4 * starts).tolist(), (4 * ends).tolist())]
-    for k, more in odd.items():
-        out[k] = np.array(more, "<i4").tobytes()
-    return out
+            pair = np.flatnonzero((before >= 0) & (i >= 0))
+            ok[pair] = p.merges.apart(before[pair], i[pair])
+        ok = np.flatnonzero(ok)
+        at, i, step = at[ok], i[ok], step[ok]
+        to = at + step
+        if not p.merges:  # the best comes last and stays; of equal ones the longest
+            x = best[at] + np.where(i < 0, p.unknown, p.score[i])
+            order = np.argsort(x, kind="stable")
+            to, i, step = to[order], i[order], step[order]
+            best[to] = x[order]
+        which[to], back[to] = i, step
+    # walk all words back together
+    path, at = np.zeros(len(c) + n, bool), first + length
+    while len(at):
+        path[at] = True
+        at = at - back[at]
+        go = at > first
+        at, first = at[go], first[go]
+    there = np.flatnonzero(path)
+    out, of = which[there], np.repeat(np.arange(n), length + 1)[there]
+    if (out < -1).any():
+        raise ValueError("a word without a segmentation")
+    lacking = np.flatnonzero(out < 0)
+    if len(lacking):  # unknown characters, as byte pieces
+        odd = c[there[lacking] - of[lacking] - 1]
+        times = np.ones(len(out), np.int64)
+        times[lacking] += sum((odd >= least).astype(np.int64) for least in (0x80, 0x800, 0x10000))
+        out, of = np.repeat(out, times), np.repeat(of, times)
+        out[out < 0] = np.array(p.byte_ids)[np.frombuffer(odd.tobytes().decode("utf-32-le").encode(), np.uint8)]
+    return out, np.bincount(of, minlength=n)
+
+
+def segment_all(c: np.ndarray, length: np.ndarray, p: Pieces) -> tuple[np.ndarray, np.ndarray]:
+    """``segment`` of any number of words, about ``STEP`` characters at a time."""
+    ends, out, a = np.cumsum(length), [(np.zeros(0, np.int32), np.zeros(0, np.int64))], 0
+    while a < len(length):
+        done = ends[a] - length[a]
+        b = max(int(np.searchsorted(ends, done + STEP, side="right")), a + 1)
+        out.append(segment(c[done:ends[b - 1]], length[a:b], p))
+        a = b
+    return np.concatenate([x for x, _ in out]), np.concatenate([x for _, x in out])
 
 
-def probe(c: np.ndarray, p: Pieces) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(size, places, ids) of the pieces that start at the places of a run of code points, shortest first."""
-    key = np.zeros(len(c), np.uint64)
-    for size in range(1, min(max(p.keys, default=0), len(c)) + 1):
-        key = key[:len(c) - size + 1] * BASE + c[size - 1:] + np.uint64(1)
-        if size not in p.keys:
-            continue
-        row = np.flatnonzero(p.marks[size][place(key)])
-        at = np.searchsorted(p.keys[size], key[row])
-        at[at == len(p.keys[size])] = 0
-        same = p.keys[size][at] == key[row]
-        yield size, row[same], p.ids[size][at[same]]
+def viterbi(words: list[str], p: Pieces) -> list[bytes]:
+    """Ids (little-endian 32 bit) of words, all advanced together."""
+    ids, size = segment_all(codes(words), np.array([len(w) for w in words], np.int64), p)
+    blob, ends = ids.astype("<i4").tobytes(), 4 * np.cumsum(size)
+    return [blob[a:b] for a, b in zip((ends - 4 * size).tolist(), ends.tolist())]
 
 
 def cut(word: str, p: Pieces) -> list[str]:
     """A long word in parts that no piece joins, as long as they can be up to half of ``LONG``."""
-    c, over = codes([word])[:, 0], max(p.keys, default=1) - 1
+    c, over = codes([word]), max(p.longest, 1) - 1
     crossed = np.zeros(len(c) + 1, bool)
     for s in range(0, len(c), WINDOW):
         part = c[s:s + WINDOW + over]
@@ -288,9 +366,6 @@ class Alone:
         if p.merges:
             self.rank, self.left, self.right = p.merges.rank.tolist(), p.merges.left.tolist(), p.merges.right.tolist()
             self.made = dict(zip(p.merges.pairs.tolist(), p.merges.made.tolist()))
-        self.score = np.zeros(len(p.text))
-        for size, ids in p.ids.items():
-            self.score[ids] = p.scores[size]
 
     def apart(self, first: int, second: int) -> bool:
         """``Merges.compatible`` of two ids."""
@@ -313,13 +388,13 @@ class Alone:
         return ok
 
     def __call__(self, word: str) -> bytes:
-        p, c, none = self.p, codes([word])[:, 0], float("-inf")
-        over = max(p.keys, default=1) - 1
+        p, c, none = self.p, codes([word]), float("-inf")
+        over = max(p.longest, 1) - 1
         best, which = array("d", [0.0]) * (len(c) + 1), array("i", [-1]) * (len(c) + 1)
         for s in range(0, len(c), WINDOW):
             low, end = max(0, s - over), min(len(c), s + WINDOW)
             hits = [(row + low + size, np.full(len(row), size), ids,
-                     np.zeros(len(row)) if p.merges else self.score[ids])
+                     np.zeros(len(row)) if p.merges else p.score[ids])
                     for size, row, ids in probe(c[low:end], p)]
             upto, size, ids, score = (np.concatenate(x) for x in zip(*hits))
             order = np.argsort(upto, kind="stable")  # by end, then by size
@@ -340,8 +415,6 @@ class Alone:
         while j:
             i = which[j]
             j -= len(p.text[i]) if i >= 0 else 1
-            if i >= 0 and not word.startswith(p.text[i], j):
-                raise ValueError("two substrings of one hash")
             if i >= 0:
                 out.append(i)
             else:
@@ -349,82 +422,93 @@ class Alone:
         return np.array(out[::-1], "<i4").tobytes()
 
 
-def with_bytes(word: str, ids: list[int], p: Pieces) -> list[int]:
-    """The ids of a word with the byte pieces of its unknown characters (-1)."""
-    out, at = [], 0
-    for i in ids:
-        out += [p.byte_ids[x] for x in word[at].encode()] if i < 0 else [i]
-        at += 1 if i < 0 else len(p.text[i])
-    return out
-
-
-def border(p: Pieces, before: list[np.ndarray | None], pieces_: list[np.ndarray]) -> list[np.ndarray]:
-    """For each size: which pieces may follow the piece (-1: an unknown character) before them."""
-    a = np.concatenate([np.full(len(y), -1) if x is None else x for x, y in zip(before, pieces_)]).astype(np.int64)
-    b = np.concatenate(pieces_).astype(np.int64)
-    ok, both = np.ones(len(a), bool), np.flatnonzero(a >= 0)
-    pair, back = np.unique(p.merges.rank[a[both]] * len(p.merges.left) + p.merges.rank[b[both]], return_inverse=True)
-    ok[both] = p.merges.compatible(pair // len(p.merges.left), pair % len(p.merges.left))[back]
-    return np.split(ok, np.cumsum([len(x) for x in pieces_])[:-1])
-
+def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """All words of the texts, with spaces for space marks, and how many there are before and after each text.
 
-_WORD = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
+    A text that is not empty has a space put before it; a word starts at each
+    space that follows no space.
+    """
+    texts = pc.replace_substring(pc.fill_null(texts.cast(pa.string()), ""), SPACE, " ")
+    texts = pc.if_else(pc.equal(texts, ""), "", pc.binary_join_element_wise(" ", texts, ""))
+    ends = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:texts.offset + len(texts) + 1]
+    text = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[:ends[-1]]
+    begin = text == 32
+    begin[1:] &= text[:-1] != 32
+    begin[ends[:-1][ends[1:] > ends[:-1]]] = True
+    begin[:ends[0]] = False
+    start = np.flatnonzero(begin).astype(np.int32)
+    words = pa.StringArray.from_buffers(len(start), pa.py_buffer(np.append(start, ends[-1])), pa.py_buffer(text))
+    return words, np.searchsorted(start, ends)
 
 
-def words_of(text: str) -> list[str]:
-    """Words of a text in the model's alphabet: a space mark before it, spaces as marks."""
-    return _WORD.findall(SPACE + text.replace(" ", SPACE)) if text else []
+def gather(values: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``size`` values from each ``start`` on, one after the other, and how many there are before and after each."""
+    upto = np.concatenate(([0], np.cumsum(size)))
+    return values[np.arange(upto[-1]) + np.repeat(start - upto[:-1], size)], upto
 
 
 class Encoder:
-    """Encodes batches; remembers the ids of words (at most ``most``)."""
+    """Encodes batches; remembers the ids of words (at most ``most``, and those of the last slice)."""
 
     def __init__(self, p: Pieces, most: int = 200_000):
-        self.p, self.most, self.memo, self.alone = p, most, {}, None
-
-    def grouped(self, words: list[str]) -> dict[str, bytes]:
-        """The ids of words: those of one length together, long ones by their parts."""
-        out: dict[str, bytes] = {}
-        by_length: dict[int, list[str]] = {}
-        parts = {w: cut(w, self.p) for w in words if len(w) > LONG}
-        for w in dict.fromkeys(chain((w for w in words if len(w) <= LONG), *parts.values())):
-            if len(w) <= LONG:
-                by_length.setdefault(len(w), []).append(w)
-            else:
+        self.p, self.most, self.alone = p, most, None
+        self.words = pa.array([], pa.string())
+        self.ids, self.size = np.zeros(0, np.int32), np.zeros(0, np.int64)  # of all of them; how many each has
+
+    def long(self, words: list[str]) -> list[np.ndarray]:
+        """The ids of long words by their parts; what could not be cut walks alone."""
+        parts = [cut(w, self.p) for w in words]
+        distinct = list(dict.fromkeys(chain.from_iterable(parts)))
+        short = [w for w in distinct if len(w) <= LONG]
+        done = dict(zip(short, viterbi(short, self.p)))
+        for w in distinct:
+            if w not in done:
                 self.alone = self.alone or Alone(self.p)
-                out[w] = self.alone(w)
-        for length, group in by_length.items():
-            step = max(1, (1 << 19) // length)  # bounds the matrices of a step
-            for k in range(0, len(group), step):
-                part = group[k:k + step]
-                out.update(zip(part, viterbi(part, self.p)))
-        return {w: b"".join([out[x] for x in parts[w]]) if w in parts else out[w] for w in words}
+                done[w] = self.alone(w)
+        return [np.frombuffer(b"".join([done[x] for x in xs]), "<i4") for xs in parts]
+
+    def flat(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after the other, and how many there are before and after each."""
+        words, ends = words_of(texts)
+        coded = words.dictionary_encode()
+        words, place_of = coded.dictionary, coded.indices.to_numpy()
+        at = pc.fill_null(pc.index_in(words, value_set=self.words), -1).to_numpy()
+        length = pc.utf8_length(words).to_numpy().astype(np.int64)
+        # new words after the known ones, then long ones, which are not remembered
+        new, far = np.flatnonzero((at < 0) & (length <= LONG)), np.flatnonzero(length > LONG)
+        c = codes(words.take(pa.array(new)).to_pylist())
+        ids, size = segment_all(np.where(c == 32, np.uint32(ord(SPACE)), c), length[new], self.p)
+        beyond = self.long([w.replace(" ", SPACE) for w in words.take(pa.array(far)).to_pylist()])
+        held = np.concatenate((self.ids, ids, *beyond))
+        sizes = np.concatenate((self.size, size, np.array([len(x) for x in beyond], np.int64)))
+        starts = np.cumsum(sizes) - sizes
+        at = at.copy()
+        at[new], at[far] = len(self.size) + np.arange(len(new)), len(self.size) + len(new) + np.arange(len(far))
+        if len(self.words) + len(new) <= self.most:
+            self.words = pa.concat_arrays([self.words, words.take(pa.array(new))])
+            self.size = sizes[:len(self.words)]
+            self.ids = held[:self.size.sum()].copy()
+        else:
+            keep = np.flatnonzero(length <= LONG)
+            self.words, self.size = words.take(pa.array(keep)), sizes[at[keep]]
+            self.ids = gather(held, starts[at[keep]], self.size)[0]
+        at = at[place_of]
+        out, upto = gather(held, starts[at], sizes[at])
+        return out, upto[ends]
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
-        if not texts:
-            return []
-        words = [words_of(t) for t in texts]
-        ends = np.cumsum([len(ws) for ws in words])
-        coded = pa.array(list(chain.from_iterable(words)), pa.string()).dictionary_encode()
-        del words
-        distinct, place_of = coded.dictionary.to_pylist(), coded.indices.to_numpy()
-        if len(self.memo) > self.most:
-            self.memo.clear()
-        new = self.grouped([w for w in distinct if w not in self.memo])
-        found = [new[w] if w in new else self.memo[w] for w in distinct]
-        self.memo.update((w, ids) for w, ids in new.items() if len(w) <= LONG)
-        held, size = np.frombuffer(b"".join(found), "<i4"), np.array([len(x) // 4 for x in found], np.int64)
-        # the ids of all words one after the other, then cut by text
-        size, start = size[place_of], (np.cumsum(size) - size)[place_of]
-        upto = np.concatenate(([0], np.cumsum(size)))
-        ids = held[np.arange(upto[-1]) + np.repeat(start - upto[:-1], size)]
-        return np.split(ids, upto[ends[:-1]])
+        ids, upto = self.flat(pa.array(texts, pa.string()))
+        return np.split(ids, upto[1:-1]) if texts else []
 
 
-def decode(ids: np.ndarray, p: Pieces) -> str:
-    """The text of ids: pieces joined, byte pieces as UTF-8, marks as spaces, without the first."""
-    raw = p.raw
-    return b"".join([raw[i] for i in ids.tolist()]).decode(errors="replace").replace(SPACE, " ")[1:]
+def decode(ids: pa.Array, raw: pa.Array) -> list[str | None]:
+    """The texts of lists of ids: pieces joined, byte pieces as UTF-8, marks as spaces, without the first; null for null."""
+    ends = ids.offsets.to_numpy()
+    joined = raw.take(ids.values.slice(ends[0], ends[-1] - ends[0]))
+    upto = np.frombuffer(joined.buffers()[1], np.int64)[joined.offset + ends - ends[0]].tolist()
+    blob = memoryview(joined.buffers()[2] or b"")
+    return [None if null else str(blob[a:b], "utf-8", "replace").replace(SPACE, " ")[1:]
+            for null, a, b in zip(ids.is_null().to_pylist(), upto, upto[1:])]
 
 
 def slices(batch: pa.RecordBatch, column: str, rows: int = 1024, chars: int = 1 << 22) -> Iterator[pa.RecordBatch]:
@@ -446,9 +530,9 @@ def encode(docs: DataFrame, model_path: str, column: str = "text", out: str = "i
         run = Encoder(Pieces(**pickle.loads(sent.value)))
         for b in batches:
             for part in slices(b, column, chars=1 << 21):
-                texts = part.column(column).to_pylist()
-                ids = run([t or "" for t in texts])
-                col = pa.array([None if t is None else x for t, x in zip(texts, ids)], pa.list_(pa.int32()))
+                texts = part.column(column)
+                ids, upto = run.flat(texts)
+                col = pa.ListArray.from_arrays(pa.array(upto, pa.int32()), pa.array(ids, pa.int32()), mask=texts.is_null())
                 yield pa.RecordBatch.from_arrays([*part.columns, col], [*part.schema.names, out])
 
     return docs.mapInArrow(work, _schema(docs, f"`{out}` array<int>"))
@@ -456,14 +540,15 @@ def encode(docs: DataFrame, model_path: str, column: str = "text", out: str = "i
 
 def decode_column(rows: DataFrame, model_path: str, column: str = "ids", out: str = "decoded") -> DataFrame:
     """``rows`` with ``out``, the text of the ids in ``column`` (null for null)."""
-    sent = rows.sparkSession.sparkContext.broadcast(file_bytes(model_path))
+    # merges play no part in decoding
+    sent = rows.sparkSession.sparkContext.broadcast(pieces(file_bytes(model_path), "unigram").raw)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        p = pieces(sent.value, "unigram")  # merges play no part in decoding
+        raw = pa.array(sent.value, pa.large_binary())
         for b in batches:
             for k in range(0, b.num_rows, 256):
                 part = b.slice(k, 256)
-                texts = [None if not x.is_valid else decode(x.values.to_numpy(zero_copy_only=False), p) for x in part.column(column)]
+                texts = decode(part.column(column), raw)
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], [*part.schema.names, out])
 
     return rows.mapInArrow(work, _schema(rows, f"`{out}` string"))

@@ -10,6 +10,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import regex
 import xxhash
@@ -504,6 +505,34 @@ def test_op6_long_words_are_fast():
         assert n / (time.time() - begin) > 10_000
 
 
+def test_op6_words_of_all_lengths_advance_together(monkeypatch):
+    """The steps of a slice are as many as its longest word has characters, not a set of them for each length."""
+    p, sp, calls = sp_codec.pieces(open(MODEL, "rb").read(), "bpe"), processor("bpe"), []
+    whole = sp_codec.Merges.compatible
+    monkeypatch.setattr(sp_codec.Merges, "compatible", lambda self, a, b: calls.append(len(a)) or whole(self, a, b))
+    rng = np.random.default_rng(7)
+    texts = [" ".join("".join(rng.choice(list("aetionrshé\u0378"), n).tolist()) for n in range(1, sp_codec.LONG)) for _ in range(5)]
+    assert [x.tolist() for x in sp_codec.Encoder(p)(texts)] == sp.encode(texts)
+    assert 0 < len(calls) <= sp_codec.LONG
+
+
+def test_op6_forgets_words_and_steps_by_characters(monkeypatch):
+    """Few remembered words and borders, steps of few characters, nulls and parts of columns change nothing."""
+    monkeypatch.setattr(sp_codec, "STEP", 40)
+    monkeypatch.setattr(sp_codec, "BORDER_BITS", 4)
+    p, sp = sp_codec.pieces(open(MODEL, "rb").read(), "bpe"), processor("bpe")
+    run, raw = sp_codec.Encoder(p, most=20), pa.array(p.raw, pa.large_binary())
+    rng = np.random.default_rng(9)
+    some = ["".join(rng.choice(list("  ▁aetionrsh日\u0378😀\n"), 30).tolist()) for _ in range(60)]
+    texts = pa.array([None, *some, "", " ", "x" * 90 + " " + "日本" * 40, None, *some])
+    for part in (texts, texts.slice(1, 9), texts.slice(62, 4), texts.slice(0, 1), texts.slice(5, 0)):
+        ids, upto = run.flat(part)
+        lists = [ids[a:b].tolist() for a, b in zip(upto, upto[1:])]
+        assert lists == [sp.encode(t) if t else [] for t in part.to_pylist()]
+        col = pa.array([None if t is None else x for t, x in zip(part.to_pylist(), lists)], pa.list_(pa.int32()))
+        assert sp_codec.decode(col, raw) == [t and t.replace("▁", " ") for t in part.to_pylist()]
+
+
 def test_op6_round_trip(spark, sf_dir):
     rows = QUERIES["op6_sentencepiece"](spark, sf_dir).collect()
     assert rows and all(r["same"] for r in rows)
