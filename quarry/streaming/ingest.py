@@ -15,9 +15,10 @@ from __future__ import annotations
 
 import json
 import threading
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from functools import reduce
-from operator import or_
+from operator import add, or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -171,7 +172,8 @@ def rescued_column(raw: Column, typed: Column, schema: StructType) -> Column:
     with the typed one, and what does not fit or is unknown is rescued by its
     path (``items[0].qty``).  A line that is no JSON object is rescued whole,
     under ``_corrupt_record``.  NULL when nothing was rescued (or the line is
-    blank).  Each way of parsing reads a line once.
+    blank).  Each way of parsing reads a line once, and a line all of whose keys
+    came out typed, without nested values, is not parsed again.
     """
     known = [f.name for f in schema.fields]
     deep = [f for f in schema.fields if isinstance(f.dataType, NESTED)]
@@ -200,7 +202,17 @@ def rescued_column(raw: Column, typed: Column, schema: StructType) -> Column:
         return (F.when(as_map.isNull() & (F.trim(raw) != ""), F.to_json(F.struct(raw.alias(CORRUPT))))
                 .when(as_map.isNotNull(), _let(bad_of(as_map), lambda bad: F.when(F.size(bad) > 0, F.to_json(bad)))))
 
-    return _let(F.from_json(raw, "map<string,string>"), rescued)
+    found = _let(F.from_json(raw, "map<string,string>"), rescued)
+    if deep or _parser_made(known):
+        return found
+    # As many keys as typed values: each key is known, comes once and fits.  NULL (no JSON object) is not as many.
+    held = reduce(add, [typed[n].isNotNull().cast("int") for n in known], F.lit(0))
+    return F.when(~F.coalesce(F.size(F.json_object_keys(raw)) == held, F.lit(False)), found)
+
+
+def _parser_made(names: Sequence[str]) -> bool:
+    """Whether the parser itself fills one of the fields, which then says nothing about the line's keys."""
+    return SparkSession.active().conf.get("spark.sql.columnNameOfCorruptRecord") in names
 
 
 def read_json_stream(spark: SparkSession, path: str, schema: StructType, rescue: bool = True,
@@ -374,9 +386,25 @@ class Progress(StreamingQueryListener):
         return [p for _, p in sorted(self.batches.get(str(q.runId), {}).items())]
 
 
-def run_available_now(df: DataFrame, sink_path: str, checkpoint: str, fmt: str = "parquet",
-                      output_mode: str = "append", partition_by: Sequence[str] = ()) -> list:
-    """Process all available input, write it to ``sink_path``, stop; the progress of every micro-batch."""
+@contextmanager
+def _session_conf(spark: SparkSession, conf: Mapping[str, str]) -> Iterator[None]:
+    """The session with ``conf`` for as long as the block runs."""
+    before = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def run_available_now(df: DataFrame, sink_path: str, checkpoint: str, fmt: str = "parquet", output_mode: str = "append",
+                      partition_by: Sequence[str] = (), conf: Mapping[str, str] | None = None) -> list:
+    """Process all available input, write it to ``sink_path``, stop; the progress of every micro-batch.
+
+    The query starts with the session's settings and ``conf``; the session keeps its own.
+    """
     w = (df.writeStream.format(fmt).outputMode(output_mode)
            .option("checkpointLocation", checkpoint).option("path", sink_path)
            .trigger(availableNow=True))
@@ -385,7 +413,8 @@ def run_available_now(df: DataFrame, sink_path: str, checkpoint: str, fmt: str =
     streams, heard = df.sparkSession.streams, Progress()
     streams.addListener(heard)
     try:
-        q = w.start()
+        with _session_conf(df.sparkSession, conf or {}):
+            q = w.start()
         q.awaitTermination()
         return heard.of(q)
     finally:

@@ -15,7 +15,9 @@ side is a dimension (a row a key), not a second feed of facts.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -62,3 +64,38 @@ def account(spark: SparkSession, left: DataFrame, done: Paired, row_id: str, lef
     return (left.join(out, row_id, "left")
             .withColumn("status", F.when(F.col("__matched"), "matched").when(~F.col("__matched"), "unmatched")
                         .when(over, "late").otherwise("waiting")).drop("__matched"))
+
+
+#: Rows of join state, both sides together, for each core that a run has: some 400 bytes a row of the executors' heap.
+STATE_ROWS_PER_CORE = 1_000_000
+
+
+def join_parts(spark: SparkSession, rows: int) -> int:
+    """In how many parts a stream-stream join runs whose first run holds up to ``rows`` rows."""
+    return max(1, -(-rows // (STATE_ROWS_PER_CORE * spark.sparkContext.defaultParallelism)))
+
+
+def join_in_parts(left: DataFrame, right: DataFrame, left_key: str, right_key: str, parts: int, root: str,
+                  join: Callable[[DataFrame, DataFrame], DataFrame]) -> tuple[list, DataFrame]:
+    """An inner stream-stream join on a key, a part of the keys after the other; the progress of all batches, and the rows.
+
+    A join's first run holds its whole backlog, since the watermark moves after
+    it, and Spark keeps that state in the executors' heap.  Rows meet only by their
+    key, so each part of the keys (dealt by hash) is a join of its own, with its
+    own checkpoint and watermark; the next part unloads the state of the one before.
+    Both keys have one type, and ``parts`` stays the same for a ``root``.  A part's state
+    is dealt to two tasks a core, or to fewer where the session asks for that.
+    """
+    spark = left.sparkSession
+    key = "spark.sql.shuffle.partitions"
+    conf = {key: str(min(int(spark.conf.get(key)), 2 * spark.sparkContext.defaultParallelism))}
+
+    def part(df: DataFrame, name: str, i: int) -> DataFrame:
+        return df.where(F.pmod(F.xxhash64(name), F.lit(parts)) == i)
+
+    batches, sinks = [], []
+    for i in range(parts):
+        sinks.append(f"{root}/sink-{i}")
+        batches += ingest.run_available_now(join(part(left, left_key, i), part(right, right_key, i)), sinks[-1],
+                                            f"{root}/ckpt-{i}", conf=conf)
+    return batches, reduce(DataFrame.unionByName, [spark.read.parquet(p) for p in sinks])

@@ -4,7 +4,9 @@ import datetime as dt
 import json
 
 import pytest
+from pyspark.sql.functions import expr as spark_expr
 
+from quarry.jobs import streams
 from quarry.operators.quality import Rule
 from quarry.session import scratch_dir
 from quarry.streaming import checked, ingest, pairing
@@ -79,3 +81,37 @@ def test_every_recording_is_in_the_result_or_called_late_or_waiting(spark, tmp_p
     done, status = run()
     assert status == {1: "matched", 2: "unmatched", 3: "unmatched", 4: "matched", 5: "matched", 6: "late", 7: "waiting"}
     assert done.dropped == 1
+
+
+def test_a_join_in_parts_has_all_pairs_and_holds_a_part_of_the_state(spark, sf_dir, monkeypatch):
+    held, run = [], ingest.run_available_now
+
+    def heard(df, sink, *args, **kw):
+        batches = run(df, sink, *args, **kw)
+        if "stream-join" in sink:
+            held.append(max(op.numRowsTotal for p in batches for op in p.stateOperators))
+        return batches
+
+    g = streams.retail_graph(spark, sf_dir)
+    orders, status = g.read("orders_silver"), g.read("status_silver")
+    rows = orders.count() + status.count()
+    monkeypatch.setattr(ingest, "run_available_now", heard)
+    monkeypatch.setattr(pairing, "STATE_ROWS_PER_CORE", -(-rows // (4 * spark.sparkContext.defaultParallelism)), raising=False)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    got = sorted(streams.str08(spark, sf_dir).select("order_id", "order_status").collect())
+    near = "o.order_id = s.order_id AND timestamp_seconds(s.status_timestamp) BETWEEN o.order_timestamp AND o.order_timestamp + INTERVAL 1 DAY"
+    want = sorted(orders.alias("o").join(status.alias("s"), spark_expr(near)).select("o.order_id", "order_status").collect())
+    assert got == want and got
+    assert len(held) >= 3 and sum(held) == rows and max(held) < rows / 2
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+def test_keys_without_a_value_or_met_twice_are_joined_once(spark, tmp_path):
+    put(tmp_path / "a", "1.json", [{"k": k, "at": "2024-01-01T00:00:00"} for k in (1, 1, 2, None, 3)])
+    put(tmp_path / "b", "1.json", [{"k": k, "seen": "2024-01-01T01:00:00"} for k in (1, 1, None, 3, 4)])
+    a = spark.readStream.schema("k BIGINT, at TIMESTAMP").json(str(tmp_path / "a")).withWatermark("at", "1 day")
+    b = spark.readStream.schema("k BIGINT, seen TIMESTAMP").json(str(tmp_path / "b")).withColumnRenamed("k", "j").withWatermark("seen", "1 day")
+    batches, rows = pairing.join_in_parts(a, b, "k", "j", 3, scratch_dir(spark, "test-parts"),
+                                          lambda x, y: x.join(y, spark_expr("k = j AND seen BETWEEN at AND at + INTERVAL 1 DAY")).select("k"))
+    assert sorted(r["k"] for r in rows.collect()) == [1, 1, 1, 1, 3]
+    assert sum(op.numRowsDroppedByWatermark for p in batches for op in p.stateOperators) == 0

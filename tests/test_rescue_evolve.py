@@ -4,6 +4,8 @@ import json
 import os
 
 import pytest
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from quarry.operators import shape
 from quarry.session import scratch_dir
@@ -42,6 +44,34 @@ def test_nested_misfits_are_rescued_by_path(spark, line, want):
     assert (json.loads(got) if got else None) == want
 
 
+def held(spark, lines, ddl):
+    schema = StructType.fromDDL(ddl)
+    rows = spark.createDataFrame([(i, x) for i, x in enumerate(lines)], "i int, value string")
+    typed = rows.withColumn("j", F.from_json("value", schema))
+    out = typed.select("i", ingest.rescued_column(F.col("value"), F.col("j"), schema).alias("r")).collect()
+    return [json.loads(r["r"]) if r["r"] else None for r in sorted(out)]
+
+
+def test_flat_lines_are_rescued_whether_or_not_their_keys_are_counted(spark):
+    want = {
+        '{"a":1,"b":"x"}': None,
+        '{"a":1}': None,
+        '{"a":1,"b":null}': None,
+        "{}": None,
+        "   ": None,
+        '{"a":1,"c":"x"}': {"c": "x"},  # as many keys as fields, one of them unknown
+        '{"a":"no","b":"x"}': {"a": "no"},
+        '{"A":1,"b":"x"}': {"A": "1"},
+        '{"a":1,"b":"x"': {"_corrupt_record": '{"a":1,"b":"x"'},
+        "[1]": {"_corrupt_record": "[1]"},
+    }
+    assert dict(zip(want, held(spark, want, "a INT, b STRING"), strict=True)) == want
+
+
+def test_a_field_that_the_parser_fills_hides_no_misfit(spark):
+    assert held(spark, ['{"a":"no"}'], "a INT, _corrupt_record STRING")[0]["a"] == "no"
+
+
 def test_a_restart_reads_no_old_file_for_its_schema(spark):
     root = scratch_dir(spark, "t-evolve")
     src = land(spark, ['{"a": 1}', '{"a": 2}'], f"{root}/in")
